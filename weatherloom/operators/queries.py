@@ -54,8 +54,10 @@ def monthly_mean(daily: DataFrame, element: str | None = None) -> DataFrame:
     span = means.agg(F.min("month").alias("low"), F.max("month").alias("high"))
     step = F.expr("interval 1 month")
     first = F.trunc("low", "MM")
-    months = span.filter(F.col("low").isNotNull()).select(
-        F.last_day(F.explode(F.sequence(first, F.col("high"), step))).alias("month")
+    months = (
+        span.filter(F.col("low").isNotNull())
+        .select(F.explode(F.sequence(first, F.col("high"), step)).alias("first"))
+        .select(F.last_day("first").alias("month"))
     )
     # one row per calendar month: at most 12 x 9,999 rows, whatever the input
     return months.join(F.broadcast(means), "month", "left")
