@@ -32,6 +32,7 @@ from .operators.profile import (
     examine_sample,
     explain_layout,
     file_statistics,
+    first_file_lines,
     first_matching_file,
     profile_monthly,
     sample_lines,

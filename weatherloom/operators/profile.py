@@ -30,6 +30,12 @@ def first_matching_file(
     return files.agg(F.min_by("path", F.struct("file_name", "path"))).first()[0]
 
 
+def first_file_lines(lines: DataFrame, suffix: str = "tmax") -> DataFrame:
+    """Lines of the first file, by name, with the suffix."""
+    matching = lines.filter(F.col("file_name").endswith(f".{suffix}"))
+    return lines.filter(F.col("file_name") == matching.agg(F.min("file_name")).scalar())
+
+
 def profile_monthly(lines: DataFrame, first_lines: int | None = None) -> DataFrame:
     """Distinct stations and years and the year range.
 
