@@ -76,7 +76,7 @@ def shown(df: DataFrame, digits: int = 4) -> DataFrame:
 
 
 def daily_readings(spark: SparkSession, folder: str) -> DataFrame:
-    return wl.parse_daily(encode.daily_lines(spark, folder).drop("file_name"))
+    return wl.scan_daily(spark, encode.daily_text(spark, folder)).readings.drop("file_name")
 
 
 def monthly_readings(spark: SparkSession, folder: str, step: int = 100) -> DataFrame:
@@ -143,7 +143,7 @@ FROM daily GROUP BY ALL"""
 
 @query("a1_scan_daily", f"WITH {DAILY_CELLS} {DAILY_READINGS}")
 def a1(spark, folder):
-    path = encode.written(encode.daily_lines(spark, folder), "daily")
+    path = encode.daily_text(spark, folder)
     readings = wl.with_values(wl.scan_daily(spark, path).readings, DAILY)
     return reading_summary(readings, "id", "year", "month", "element", "dataset")
 
@@ -174,13 +174,13 @@ FROM {source}"""
 
 @query("a3_scan_monthly_network_stations", f"WITH {MONTHLY_STATIONS} {station_rows('monthly_list')}")
 def a3(spark, folder):
-    path = encode.written(encode.monthly_station_lines(spark, folder), "stations")
+    path = encode.monthly_station_text(spark, folder)
     return wl.scan_stations(spark, path, "monthly_network").drop("file_name", "position")
 
 
 @query("a4_scan_daily_network_stations", f"WITH {DAILY_STATIONS} {station_rows('daily_list')}")
 def a4(spark, folder):
-    path = encode.written(encode.daily_station_lines(spark, folder), "stations")
+    path = encode.daily_station_text(spark, folder)
     return wl.scan_stations(spark, path, "daily_network").drop("file_name", "position")
 
 
@@ -192,7 +192,7 @@ def a4(spark, folder):
         GROUP BY element""",
 )
 def a5(spark, folder):
-    path = encode.written(encode.daily_lines(spark, folder), "daily")
+    path = encode.daily_text(spark, folder)
     raw = C.line_bytes(F.col("line"))
     lines = wl.read_lines(spark, path)
     return lines.groupBy(C.cut(raw, DAILY.element).alias("element")).agg(
@@ -456,7 +456,7 @@ def b14(spark, folder):
 
 @query(
     "b15_line_chunks",
-    f"""WITH {DAILY_CELLS} SELECT id, {text("date_trunc('month', date)")} AS month, element,
+    f"""WITH {DAILY_CELLS} SELECT id, {text("CAST(date_trunc('month', date) AS DATE)")} AS month, element,
         {whole('day(date)')} AS slot, {DAILY_SLOT} AS chunk FROM daily_cells""",
 )
 def b15(spark, folder):
@@ -725,7 +725,7 @@ def f1(spark, folder):
 def f2(spark, folder):
     """Readings and long rows of a run, counted while the rows are written."""
     base = scratch_path(spark, "outputs")
-    path = encode.written(encode.daily_lines(spark, folder), "daily")
+    path = encode.daily_text(spark, folder)
     run = wl.run_daily(spark, path, daily_lookup(spark, folder), base, SNAPSHOT)
     return wl.read_daily(spark, base).agg(
         F.lit(run.readings["UNKNOWN"]).alias("n_readings"), F.count(F.lit(1)).alias("n_rows")
@@ -1034,7 +1034,7 @@ def i4(spark, folder):
 
 @query("j1_stream_daily", f"{LOCATED_DAILY} {DAILY_ROWS}")
 def j1(spark, folder):
-    landing = encode.written(encode.daily_lines(spark, folder), "landing")
+    landing = encode.daily_text(spark, folder)
     out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
     stream = wl.stream_daily(wl.landing_lines(spark, landing), daily_lookup(spark, folder))
     wl.append_daily(stream, out, checkpoint).awaitTermination()
@@ -1112,7 +1112,7 @@ def x5(spark, folder):
 
 @query(
     "x6_duplicate_years",
-    f"""WITH {monthly_cells(100000)}, series AS (
+    f"""WITH {monthly_cells(250000)}, series AS (
           SELECT id, dataset, element, year, list(value ORDER BY month) AS vals, COUNT(value) AS n
           FROM monthly GROUP BY ALL)
         SELECT id, dataset, element, {whole('COUNT(*)')} AS n_years, {whole('MIN(year)')} AS first_year,
@@ -1121,7 +1121,7 @@ def x5(spark, folder):
 )
 def x6(spark, folder):
     """On values in coarse steps, so that some years are equal."""
-    return wl.duplicate_years(monthly_readings(spark, folder, 100000))
+    return wl.duplicate_years(monthly_readings(spark, folder, 250000))
 
 
 @query(

@@ -14,7 +14,7 @@ together.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,7 +49,7 @@ def _slots(count: int, day: Column, packed: Column) -> list[Column]:
     return [F.max(F.when(day == i, packed)).alias(f"s{i}") for i in range(1, count + 1)]
 
 
-def daily_lines(spark: SparkSession, folder: str) -> DataFrame:
+def encode_daily(spark: SparkSession, folder: str) -> DataFrame:
     """``file_name`` and ``line`` of daily records, one file per station."""
     date = F.col("l_shipdate").cast("date")
     element = (
@@ -94,7 +94,7 @@ def monthly_file_name(station: Column, status: Column, order: Column) -> Column:
     return F.concat_ws(".", station, dataset, element)
 
 
-def monthly_lines(spark: SparkSession, folder: str, step: int = 100) -> DataFrame:
+def encode_monthly(spark: SparkSession, folder: str, step: int = 100) -> DataFrame:
     """``file_name``, ``position`` and ``line`` of monthly records, one file per
     station, dataset and element. A larger ``step`` gives coarser values."""
     station = hex_id("USH", F.floor(F.col("o_custkey") / 16).cast("long"))
@@ -200,11 +200,63 @@ def monthly_station_lines(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").select(key.alias("position"), line.alias("line"))
 
 
-def written(lines: DataFrame, name: str) -> str:
-    """Write lines as text files to the shared folder; returns the folder."""
-    path = scratch_path(lines.sparkSession, name)
-    lines.select("line").write.text(path)
-    return path
+_stored: dict[tuple, str] = {}
+
+
+def stored(
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    build: Callable[[], DataFrame],
+    as_text: bool = False,
+) -> str:
+    """Write what ``build`` returns to the shared folder, once per application;
+    returns the path.
+
+    Like a real archive, the lines are encoded once and scanned by many
+    queries. It also keeps the encoder's long expressions out of their plans.
+    """
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _stored:
+        path = scratch_path(spark, name)
+        df = build()
+        if as_text:
+            df.select("line").write.text(path)
+        else:
+            df.write.parquet(path)
+        _stored[key] = path
+    return _stored[key]
+
+
+def daily_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Encoded daily lines with their ``file_name``."""
+    return spark.read.parquet(
+        stored(spark, folder, "daily-lines", lambda: encode_daily(spark, folder))
+    )
+
+
+def daily_text(spark: SparkSession, folder: str) -> str:
+    """Folder of text files with the encoded daily lines."""
+    return stored(spark, folder, "daily-text", lambda: encode_daily(spark, folder), as_text=True)
+
+
+def monthly_lines(spark: SparkSession, folder: str, step: int = 100) -> DataFrame:
+    """Encoded monthly lines with their ``file_name`` and ``position``."""
+    return spark.read.parquet(
+        stored(spark, folder, f"monthly-lines-{step}", lambda: encode_monthly(spark, folder, step))
+    )
+
+
+def daily_station_text(spark: SparkSession, folder: str) -> str:
+    return stored(
+        spark, folder, "daily-stations", lambda: daily_station_lines(spark, folder), as_text=True
+    )
+
+
+def monthly_station_text(spark: SparkSession, folder: str) -> str:
+    return stored(
+        spark, folder, "monthly-stations", lambda: monthly_station_lines(spark, folder), as_text=True
+    )
 
 
 def packed_archives(lines: DataFrame, name: str) -> DataFrame:
