@@ -202,7 +202,7 @@ def test_scan_directory(spark, tmp_path):
     scan = wl.scan_daily(spark, str(tmp_path))
     assert scan.readings.count() == 6
     assert scan.rejects.count() == 0
-    names = {r.file_name for r in scan.readings.select("file_name").distinct().collect()}
+    names = {r.file_name for r in wl.parse_daily(wl.read_lines(spark, str(tmp_path))).select("file_name").distinct().collect()}
     assert names == {f"USC0000000{i}.dly" for i in range(3)}
 
 

@@ -23,9 +23,9 @@ from .layouts import (
     SlotLayout,
 )
 
-# fixed patterns: unsigned numbers of a given width (a leading plus is allowed),
-# and a real number
-UNSIGNED = {2: r"^[+0-9][0-9]$", 4: r"^[+0-9][0-9]{3}$"}
+# fixed patterns: unsigned numbers of two and four characters (a leading plus is
+# allowed), and a real number
+UNSIGNED = {2: r"[+0-9][0-9]", 4: r"[+0-9][0-9]{3}"}
 REAL = r"(?i)^[+-]?(inf|infinity|nan|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?)$"
 WHITESPACE = " \t\r\n\f\x0b"
 
@@ -61,7 +61,7 @@ def lenient_int(text: Column) -> Column:
 
 def unsigned_int(text: Column, width: int) -> Column:
     """Integer made of exactly ``width`` characters, without blanks, or null."""
-    return F.when(text.rlike(UNSIGNED[width]), text.try_cast("int"))
+    return F.when(text.rlike(f"^{UNSIGNED[width]}$"), text.try_cast("int"))
 
 
 def sentinel_to_null(number: Column, sentinel: int = MISSING_READING) -> Column:

@@ -78,6 +78,7 @@ class StationLayout:
     min_length: int = 71
 
 
+# --- fixed values: where the fields stand in a record -----------------------
 DAILY = SlotLayout(
     name="daily",
     id=(0, 11),
@@ -119,6 +120,7 @@ MONTHLY_NETWORK_STATIONS = StationLayout(
 DAILY_NETWORK_STATIONS = StationLayout(
     name="daily_network", latitude=(11, 20), longitude=(21, 30), elevation=(31, 37)
 )
+# ----------------------------------------------------------------------------
 
 STATION_LAYOUTS = {
     layout.name: layout for layout in (MONTHLY_NETWORK_STATIONS, DAILY_NETWORK_STATIONS)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import point
@@ -51,16 +51,24 @@ def monthly_mean(daily: DataFrame, element: str | None = None) -> DataFrame:
     means = daily.groupBy(F.last_day("date").alias("month")).agg(
         F.avg(F.col("value").cast("double")).alias("mean_value")
     )
-    span = means.agg(F.min("month").alias("low"), F.max("month").alias("high"))
-    step = F.expr("interval 1 month")
-    first = F.trunc("low", "MM")
-    months = (
-        span.filter(F.col("low").isNotNull())
-        .select(F.explode(F.sequence(first, F.col("high"), step)).alias("first"))
-        .select(F.last_day("first").alias("month"))
+    # Each month is followed by the empty months up to the next one with data.
+    # The window sees one row per calendar month, at most 12 x 9,999 of them
+    # whatever the input; joining a calendar instead would scan the input twice.
+    following = F.lead("month").over(Window.orderBy("month"))
+    first = F.trunc("month", "MM")
+    last = F.coalesce(F.add_months(F.trunc(following, "MM"), -1), first)
+    return (
+        means.withColumn("last", last)
+        .select(
+            "month",
+            "mean_value",
+            F.explode(F.sequence(first, F.col("last"), F.expr("interval 1 month"))).alias("first"),
+        )
+        .select(
+            F.last_day("first").alias("month"),
+            F.when(F.last_day("first") == F.col("month"), F.col("mean_value")).alias("mean_value"),
+        )
     )
-    # one row per calendar month: at most 12 x 9,999 rows, whatever the input
-    return months.join(F.broadcast(means), "month", "left")
 
 
 def coordinate_coverage(df: DataFrame) -> DataFrame:

@@ -58,12 +58,12 @@ def to_daily_long(readings: DataFrame, flags: bool = False) -> DataFrame:
     is evaluated once per reading: a day is real when its slot lies inside the
     month, and its date is the first of the month plus the slot.
     """
-    readings = _with_coordinates(readings)
     first = month_start(F.col("year"), F.col("month"))
+    # an impossible month has no days
     dated = (
-        readings.withColumn("first", first)
-        .filter(F.col("first").isNotNull())
-        .withColumn("days", F.dayofmonth(F.last_day("first")))
+        _with_coordinates(readings)
+        .withColumn("first", first)
+        .withColumn("days", F.coalesce(F.dayofmonth(F.last_day("first")), F.lit(0)))
     )
     slots = _explode_slots(dated, DAILY, "id", "element", "dataset", "lat", "lon", "first", "days")
     return (

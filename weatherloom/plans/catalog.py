@@ -76,7 +76,7 @@ def shown(df: DataFrame, digits: int = 4) -> DataFrame:
 
 
 def daily_readings(spark: SparkSession, folder: str) -> DataFrame:
-    return wl.scan_daily(spark, encode.daily_text(spark, folder)).readings.drop("file_name")
+    return wl.scan_daily(spark, encode.daily_text(spark, folder)).readings
 
 
 def monthly_readings(spark: SparkSession, folder: str, step: int = 100) -> DataFrame:
@@ -85,12 +85,12 @@ def monthly_readings(spark: SparkSession, folder: str, step: int = 100) -> DataF
 
 
 def daily_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    lines = encode.daily_station_lines(spark, folder)
+    lines = encode.daily_stations(spark, folder)
     return wl.station_lookup(wl.parse_stations(lines, "daily_network"))
 
 
 def monthly_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    lines = encode.monthly_station_lines(spark, folder)
+    lines = encode.monthly_stations(spark, folder)
     return wl.station_lookup(wl.parse_stations(lines, "monthly_network"))
 
 
@@ -174,13 +174,13 @@ FROM {source}"""
 
 @query("a3_scan_monthly_network_stations", f"WITH {MONTHLY_STATIONS} {station_rows('monthly_list')}")
 def a3(spark, folder):
-    path = encode.monthly_station_text(spark, folder)
+    path = encode.station_text(spark, folder, "monthly")
     return wl.scan_stations(spark, path, "monthly_network").drop("file_name", "position")
 
 
 @query("a4_scan_daily_network_stations", f"WITH {DAILY_STATIONS} {station_rows('daily_list')}")
 def a4(spark, folder):
-    path = encode.daily_station_text(spark, folder)
+    path = encode.station_text(spark, folder, "daily")
     return wl.scan_stations(spark, path, "daily_network").drop("file_name", "position")
 
 
@@ -204,7 +204,7 @@ def a5(spark, folder):
 
 @query("a6_unpack_archives", f"WITH {MONTHLY_CELLS} {MONTHLY_READINGS}")
 def a6(spark, folder):
-    archives = encode.packed_archives(encode.monthly_lines(spark, folder), "archives")
+    archives = encode.monthly_archives(spark, folder)
     readings = wl.with_values(wl.parse_monthly(wl.unpack_archives(archives)), MONTHLY)
     return reading_summary(readings, "id", "year", "dataset", "element")
 
@@ -438,7 +438,7 @@ def b12(spark, folder):
 
 @query("b13_station_id", f"WITH {DAILY_STATIONS} SELECT id, position FROM daily_list")
 def b13(spark, folder):
-    stations = wl.parse_stations(encode.daily_station_lines(spark, folder), "daily_network")
+    stations = wl.parse_stations(encode.daily_stations(spark, folder), "daily_network")
     parts = map(F.col, ("country_code", "network_code", "id_placeholder", "coop_id"))
     return stations.select(C.station_id(*parts).alias("id"), "position")
 
@@ -613,7 +613,7 @@ def c7(spark, folder):
     f"""WITH {DAILY_STATIONS} {station_rows('daily_list')} WHERE lat IS NOT NULL AND lon IS NOT NULL""",
 )
 def c8(spark, folder):
-    stations = wl.parse_stations(encode.daily_station_lines(spark, folder), "daily_network")
+    stations = wl.parse_stations(encode.daily_stations(spark, folder), "daily_network")
     return wl.complete_coordinates(stations).drop("position")
 
 
@@ -1011,7 +1011,7 @@ def i2(spark, folder):
 )
 def i3(spark, folder):
     base = scratch_path(spark, "outputs")
-    stations = wl.parse_stations(encode.daily_station_lines(spark, folder), "daily_network")
+    stations = wl.parse_stations(encode.daily_stations(spark, folder), "daily_network")
     wl.write_stations(stations, base, "daily_network", SNAPSHOT)
     return wl.read_stations(spark, base)
 

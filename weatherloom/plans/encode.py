@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialise, scratch_path
+from ..session import scratch_path
 
 DAILY_SOURCES = "ZRD06CX"
 MONTHLY_FLAGS = "abcde"
@@ -49,6 +49,12 @@ def _slots(count: int, day: Column, packed: Column) -> list[Column]:
     return [F.max(F.when(day == i, packed)).alias(f"s{i}") for i in range(1, count + 1)]
 
 
+def _joined(count: int, slot: Callable[[Column], Column]) -> Column:
+    """The texts of all slots of a line."""
+    packed = F.array(*[f"s{i}" for i in range(1, count + 1)])
+    return F.array_join(F.transform(packed, slot), "")
+
+
 def encode_daily(spark: SparkSession, folder: str) -> DataFrame:
     """``file_name`` and ``line`` of daily records, one file per station."""
     date = F.col("l_shipdate").cast("date")
@@ -81,10 +87,9 @@ def encode_daily(spark: SparkSession, folder: str) -> DataFrame:
         return F.coalesce(text, F.lit("-9999   "))
 
     station = hex_id("USC", F.col("station"))
-    slots = [slot(F.col(f"s{i}")) for i in range(1, 32)]
     return lines.select(
         F.concat(station, F.lit(".dly")).alias("file_name"),
-        F.concat(station, "month", "element", *slots).alias("line"),
+        F.concat(station, "month", "element", _joined(31, slot)).alias("line"),
     )
 
 
@@ -118,11 +123,10 @@ def encode_monthly(spark: SparkSession, folder: str, step: int = 100) -> DataFra
         )
         return F.coalesce(text, F.lit(" -9999   "))
 
-    slots = [slot(F.col(f"s{i}")) for i in range(1, 13)]
     year = F.lpad(F.col("year").cast("string"), 4, "0")
     header = F.concat(F.substring("file_name", 1, 11), F.lit(" "), year)
     return lines.select(
-        "file_name", F.col("year").alias("position"), F.concat(header, *slots).alias("line")
+        "file_name", F.col("year").alias("position"), F.concat(header, _joined(12, slot)).alias("line")
     )
 
 
@@ -151,7 +155,7 @@ def _decimal(number: Column, digits: int) -> Column:
     return exact.cast(f"decimal(18,{digits})").cast("string")
 
 
-def daily_station_lines(spark: SparkSession, folder: str) -> DataFrame:
+def encode_daily_stations(spark: SparkSession, folder: str) -> DataFrame:
     """``position`` and ``line`` of the daily network's stations.
 
     Every seventh supplier lacks a latitude, some are listed again later with
@@ -183,7 +187,7 @@ def daily_station_lines(spark: SparkSession, folder: str) -> DataFrame:
     return suppliers.select((key * 3 + copy).alias("position"), line.alias("line"))
 
 
-def monthly_station_lines(spark: SparkSession, folder: str) -> DataFrame:
+def encode_monthly_stations(spark: SparkSession, folder: str) -> DataFrame:
     """``position`` and ``line`` of the monthly network's stations: one line per
     customer, so a station is listed up to sixteen times."""
     key = F.col("c_custkey")
@@ -237,7 +241,7 @@ def daily_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def daily_text(spark: SparkSession, folder: str) -> str:
     """Folder of text files with the encoded daily lines."""
-    return stored(spark, folder, "daily-text", lambda: encode_daily(spark, folder), as_text=True)
+    return stored(spark, folder, "daily-text", lambda: daily_lines(spark, folder), as_text=True)
 
 
 def monthly_lines(spark: SparkSession, folder: str, step: int = 100) -> DataFrame:
@@ -247,15 +251,37 @@ def monthly_lines(spark: SparkSession, folder: str, step: int = 100) -> DataFram
     )
 
 
-def daily_station_text(spark: SparkSession, folder: str) -> str:
-    return stored(
-        spark, folder, "daily-stations", lambda: daily_station_lines(spark, folder), as_text=True
+def daily_stations(spark: SparkSession, folder: str) -> DataFrame:
+    """Encoded station list of the daily network with its ``position``."""
+    return spark.read.parquet(
+        stored(spark, folder, "daily-stations", lambda: encode_daily_stations(spark, folder))
+    )
+
+
+def monthly_stations(spark: SparkSession, folder: str) -> DataFrame:
+    """Encoded station list of the monthly network with its ``position``."""
+    return spark.read.parquet(
+        stored(spark, folder, "monthly-stations", lambda: encode_monthly_stations(spark, folder))
     )
 
 
-def monthly_station_text(spark: SparkSession, folder: str) -> str:
+def station_text(spark: SparkSession, folder: str, network: str) -> str:
+    """Folder of text files with a station list."""
+    stations = {"daily": daily_stations, "monthly": monthly_stations}[network]
     return stored(
-        spark, folder, "monthly-stations", lambda: monthly_station_lines(spark, folder), as_text=True
+        spark, folder, f"{network}-station-text", lambda: stations(spark, folder), as_text=True
+    )
+
+
+def monthly_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """Archives holding the monthly lines, in column ``archive``."""
+    return spark.read.parquet(
+        stored(
+            spark,
+            folder,
+            "monthly-archives",
+            lambda: packed_archives(monthly_lines(spark, folder), "archives"),
+        )
     )
 
 
@@ -263,8 +289,8 @@ def packed_archives(lines: DataFrame, name: str) -> DataFrame:
     """Write lines as tar.gz archives to the shared folder, one per task and
     batch by batch, and return their paths in column ``archive``.
 
-    Every attempt writes under a name of its own and the list holds what
-    succeeded, so a repeated task leaves no duplicates.
+    Every attempt writes under a name of its own. Store the returned list before
+    use: it then names one finished archive per task.
     """
     folder = scratch_path(lines.sparkSession, name)
 
@@ -296,5 +322,9 @@ def packed_archives(lines: DataFrame, name: str) -> DataFrame:
         full = f"{folder}/{path.rsplit('/', 1)[-1]}"
         yield pyarrow.RecordBatch.from_arrays([pyarrow.array([full])], names=["archive"])
 
-    paths = lines.select("file_name", "line").mapInArrow(pack, "archive string")
-    return materialise(paths, f"{name}-list")
+    # neighbouring lines of a file become one member; a range of (name, position)
+    # may cut a large file, so no task depends on the size of a file
+    ordered = lines.repartitionByRange("file_name", "position").sortWithinPartitions(
+        "file_name", "position"
+    )
+    return ordered.select("file_name", "line").mapInArrow(pack, "archive string")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.layouts import CORE_ELEMENTS, StationLayout
 from ..operators.joins import inject_coords, station_lookup
 from ..operators.reshape import to_daily_long, to_monthly_sparse
+from ..session import materialise
 from ..sources.readings import scan_daily, scan_monthly
 from ..sources.snapshots import write_daily, write_monthly, write_stations
 from ..sources.stations import scan_stations
@@ -39,11 +40,12 @@ def run_stations(
     base: str,
     snapshot_date: datetime.date | str,
 ) -> DataFrame:
-    """Station list to Parquet; returns the coordinate lookup."""
+    """Station list to Parquet; returns the coordinate lookup, stored once for
+    the runs that join it."""
     stations = scan_stations(spark, paths, layout)
     network = layout if isinstance(layout, str) else layout.name
     write_stations(stations, base, network, snapshot_date)
-    return station_lookup(stations)
+    return materialise(station_lookup(stations), "station-lookup")
 
 
 def run_daily(

@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import (
+    UNSIGNED,
     cut,
     element_properties,
     file_properties,
+    lenient_int,
     line_bytes,
     line_length,
     slot_values,
@@ -39,13 +41,26 @@ class Scan(NamedTuple):
     rejects: DataFrame
 
 
+def is_record(raw: Column, layout: SlotLayout) -> Column:
+    """True for a line of ``layout``: long enough, and dated.
+
+    One pattern covers year and month where they are neighbours, so that a good
+    line costs a single match.
+    """
+    start, end = layout.year
+    pattern = UNSIGNED[4]
+    if layout.month:
+        end = layout.month[1]
+        pattern += UNSIGNED[2]
+    dated = cut(raw, (start, end)).rlike(f"^{pattern}$")
+    return (line_length(raw) >= layout.min_length) & dated
+
+
 def reject_reason(raw: Column, layout: SlotLayout) -> Column:
-    """Why a line is not a record of ``layout``; null when it is one."""
+    """Why a line is not a record of ``layout``."""
     reason = F.when(line_length(raw) < layout.min_length, "short line")
     reason = reason.when(unsigned_int(cut(raw, layout.year), 4).isNull(), "bad year")
-    if layout.month:
-        reason = reason.when(unsigned_int(cut(raw, layout.month), 2).isNull(), "bad month")
-    return reason
+    return reason.otherwise("bad month") if layout.month else reason
 
 
 def _passed_through(lines: DataFrame) -> list[str]:
@@ -71,11 +86,11 @@ def parse_daily(
         ]
     else:
         properties = element_properties(cut(raw, DAILY.element), tuple(elements))
-    return df.filter(reject_reason(raw, DAILY).isNull()).select(
+    return df.filter(is_record(raw, DAILY)).select(
         *_passed_through(lines),
         cut(raw, DAILY.id).alias("id"),
-        unsigned_int(cut(raw, DAILY.year), 4).alias("year"),
-        unsigned_int(cut(raw, DAILY.month), 2).alias("month"),
+        lenient_int(cut(raw, DAILY.year)).alias("year"),
+        lenient_int(cut(raw, DAILY.month)).alias("month"),
         *properties,
         line_length(raw).alias("length"),
         "raw",
@@ -87,11 +102,11 @@ def parse_monthly(lines: DataFrame) -> DataFrame:
     raw = F.col("raw")
     return (
         lines.withColumn("raw", line_bytes(F.col("line")))
-        .filter(reject_reason(raw, MONTHLY).isNull())
+        .filter(is_record(raw, MONTHLY))
         .select(
             *_passed_through(lines),
             cut(raw, MONTHLY.id).alias("id"),
-            unsigned_int(cut(raw, MONTHLY.year), 4).alias("year"),
+            lenient_int(cut(raw, MONTHLY.year)).alias("year"),
             *file_properties(F.col("file_name")),
             line_length(raw).alias("length"),
             "raw",
@@ -101,8 +116,8 @@ def parse_monthly(lines: DataFrame) -> DataFrame:
 
 def rejected_lines(lines: DataFrame, layout: SlotLayout) -> DataFrame:
     """The lines that are not records, with the reason."""
-    reason = reject_reason(line_bytes(F.col("line")), layout)
-    return lines.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    raw = line_bytes(F.col("line"))
+    return lines.filter(~is_record(raw, layout)).withColumn("reason", reject_reason(raw, layout))
 
 
 def rejected_files(lines: DataFrame, layout: SlotLayout) -> DataFrame:
@@ -138,9 +153,15 @@ def scan_daily(
     bad_records: str = "quarantine",
     recursive: bool = False,
 ) -> Scan:
-    """Daily readings of a directory of fixed-width files."""
+    """Daily readings of a directory of fixed-width files.
+
+    Readings carry their file name only where it is needed, to drop files.
+    """
     lines = read_lines(spark, paths, recursive=recursive)
-    return split_bad_records(lines, parse_daily(lines, elements), DAILY, bad_records)
+    used = lines
+    if bad_records != "drop_file":
+        used = read_lines(spark, paths, recursive=recursive, with_file_name=False)
+    return split_bad_records(lines, parse_daily(used, elements), DAILY, bad_records)
 
 
 def scan_monthly(

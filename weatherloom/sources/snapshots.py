@@ -21,9 +21,6 @@ from ..functions.columns import sink_label
 from ..operators.reshape import DAILY_COLUMNS, MONTHLY_COLUMNS
 from .stations import STATION_COLUMNS
 
-DAILY_SCHEMA = (
-    "id string, date date, element string, dataset string, value float, lat float, lon float"
-)
 # Upper limit of a file: a task that reads very much splits its output.
 MAX_RECORDS_PER_FILE = 20_000_000
 
@@ -54,16 +51,22 @@ def write_daily(
     return path
 
 
-def write_monthly(sparse: DataFrame, base: str, snapshot_date: datetime.date | str) -> str:
+def write_monthly(
+    sparse: DataFrame, base: str, snapshot_date: datetime.date | str, compact: bool = False
+) -> str:
     """Write sparse monthly rows, one folder per dataset, snappy-compressed.
 
     Needs the ``dataset`` column. Only folders of datasets that occur are
-    written or replaced, so there is no output for an empty dataset.
+    written or replaced, so there is no output for an empty dataset. Every task
+    writes one file per dataset it meets; ``compact`` spends a shuffle on fewer
+    files, balanced by size, so that a large dataset still has many writers.
     """
     path = _snapshot(base, "monthly", snapshot_date)
+    rows = sparse.select(*MONTHLY_COLUMNS, sink_label(F.col("dataset")).alias("dataset"))
+    if compact:
+        rows = rows.hint("rebalance", "dataset")
     (
-        sparse.select(*MONTHLY_COLUMNS, sink_label(F.col("dataset")).alias("dataset"))
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)

@@ -14,9 +14,13 @@ def read_lines(
     pattern: str | None = None,
     recursive: bool = False,
     with_position: bool = False,
+    with_file_name: bool = True,
 ) -> DataFrame:
     """One row per line: ``file_name``, ``line`` and, on request, ``position``.
 
+    Leave the file name out where it is not used: it is attached to every row
+    before unused columns are pruned.
+
     Many paths are one scan. Input splits are the unit of parallelism, so a
     large file is read by many tasks and small files share one. ``position``
     orders the lines of a file: the start of the split in the file, then a
@@ -27,7 +31,9 @@ def read_lines(
         reader = reader.option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    columns = [F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("line")]
+    columns = [F.col("value").alias("line")]
+    if with_file_name:
+        columns.insert(0, F.col("_metadata.file_name").alias("file_name"))
     if with_position:
         columns.append(
             F.struct(
