@@ -153,10 +153,13 @@ def test_best_source(spark):
         ("a", date, "TMIN", "UNKNOWN", 4.0, "", "S"),
         ("b", date, "TMIN", "UNKNOWN", 4.0, "", "6"),
         ("b", date, "TMIN", "UNKNOWN", 5.0, "", "6"),
+        ("c", date, "TMIN", "UNKNOWN", 6.0, "", ""),
+        ("c", date, "TMIN", "UNKNOWN", 7.0, "", "S"),
     ]
     best = wl.best_source(spark.createDataFrame(rows, LONG))
     assert {(r.id, r.element, r.value, r.sflag) for r in best.collect()} == {
         ("a", "TMAX", 2.0, "Z"),
         ("a", "TMIN", 4.0, "S"),
         ("b", "TMIN", 5.0, "6"),
+        ("c", "TMIN", 7.0, "S"),
     }

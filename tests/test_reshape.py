@@ -161,12 +161,25 @@ def test_coordinate_join_keeps_every_reading(spark, budget):
     joined = wl.inject_coords(readings, lookup, budget)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert ("BroadcastHashJoin" in plan) == (budget > 64)
+    assert ("SortMergeJoin" in plan) == (budget == 64)
     assert joined.count() == 3000
     assert joined.agg(F.count_distinct("n")).first()[0] == 3000
     assert joined.filter("lat is null").select("id").distinct().collect()[0].id == "s9"
     assert joined.filter("lat != cast(substring(id, 2, 1) as float)").count() == 0
 
 
+def test_copies_of_one_row_are_spread(spark):
+    # one reading, copied: a third of all rows and more are the same
+    copies = spark.range(0, 3200, 1, 16).select(F.lit("s0").alias("id"), F.lit(1).alias("n"))
+    lookup = spark.createDataFrame([("s0", 1.0, 2.0), ("s1", 1.0, 2.0)], "id string, lat float, lon float")
+    joined = wl.inject_coords(copies, lookup, budget=64)
+    assert joined.count() == 3200 and joined.filter("lat = 1").count() == 3200
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_salt" in plan
+    salts = copies.select(F.pmod(F.xxhash64("id", "n") + F.spark_partition_id(), F.lit(32)).alias("s"))
+    assert salts.distinct().count() == 16
+
+
 def test_exclude_files_without_broadcast(spark):
     readings = spark.range(100).select(F.format_string("f%d", F.col("id") % 4).alias("file_name"), "id")
     bad = spark.createDataFrame([("f1", 1), ("f2", 3)], "file_name string, bad_lines int")

@@ -73,6 +73,14 @@ def test_monthly_run(spark, archive):
     assert wl.read_monthly(spark, base).count() == 108
 
 
+def test_compact_monthly_output(spark, archive):
+    base = str(archive / "out")
+    sparse = wl.to_monthly_sparse(wl.scan_monthly(spark, str(archive / "monthly")).readings, True)
+    path = wl.write_monthly(sparse.repartition(16), base, "2025-06-27", compact=True)
+    assert wl.read_monthly(spark, base).count() == 108
+    assert len(list(pathlib.Path(path).rglob("*.parquet"))) <= 9
+
+
 def test_latest_snapshot(spark, archive):
     base = str(archive / "out")
     lookup = spark.createDataFrame([("USC00000000", 1.0, 2.0)], "id string, lat float, lon float")

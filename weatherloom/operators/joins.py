@@ -39,17 +39,19 @@ def sized_join(
     """Join ``big`` with a ``small`` side that is unique on ``key``.
 
     Broadcasts the small side when its counted size allows it. Otherwise both
-    sides are shuffled, with every key of the big side cut into ``salts``
-    pieces (by a hash of the whole row, so a repeated task builds the same
-    pieces) and the small side repeated for each: a key that holds a third of
-    all rows then spreads over many tasks.
+    sides are sorted and merged, with every key of the big side cut into
+    ``salts`` pieces and the small side repeated for each: a key that holds a
+    third of all rows then spreads over many tasks. The piece follows from the
+    row and from the input split it comes from. So copies of one row in
+    different splits part ways, and a repeated task builds the same pieces.
     """
     if fits_broadcast(small, row_bytes, budget):
         return big.join(F.broadcast(small), key, how)
-    salt = F.pmod(F.xxhash64(*[F.col(name) for name in big.columns]), F.lit(salts)).cast("int")
+    row = F.xxhash64(*[F.col(name) for name in big.columns])
+    salt = F.pmod(row + F.spark_partition_id(), F.lit(salts)).cast("int")
     salted = big.withColumn("_salt", salt)
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+    return salted.join(repeated.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
 def complete_coordinates(stations: DataFrame) -> DataFrame:

@@ -91,7 +91,7 @@ def duplicate_years(readings: DataFrame) -> DataFrame:
 
 def best_source(
     daily_long: DataFrame,
-    priority: Sequence[str] = SOURCE_PRIORITY,
+    priority: str = SOURCE_PRIORITY,
     keys: Sequence[str] = ("id", "date", "element"),
 ) -> DataFrame:
     """One value per key: that of the most trusted source.
@@ -100,9 +100,8 @@ def best_source(
     grouped minimum keeps one candidate per key and task before the shuffle,
     where a ranking window would ship every copy to one task.
     """
-    rank = F.lit(len(priority))
-    for position, flag in enumerate(priority):
-        rank = F.when(F.col("sflag") == flag, position).otherwise(rank)
+    listed = F.nullif(F.instr(F.lit(priority), F.col("sflag")), F.lit(0))
+    rank = F.coalesce(F.when(F.col("sflag") != "", listed), F.lit(len(priority) + 1))
     best = F.min(F.struct(rank.alias("rank"), (-F.col("value")).alias("negated"), "sflag"))
     return (
         daily_long.groupBy(*keys)

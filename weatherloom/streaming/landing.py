@@ -26,7 +26,7 @@ def landing_lines(
         spark.readStream.option("lineSep", "\n")
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .text(folder)
-        .select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("line"))
+        .select(F.col("value").alias("line"))
     )
 
 
@@ -35,8 +35,7 @@ def stream_daily(
 ) -> DataFrame:
     """Long daily rows of a stream of lines, with coordinates from a static
     station lookup."""
-    readings = parse_daily(lines, elements).drop("file_name")
-    return to_daily_long(inject_coords(readings, lookup))
+    return to_daily_long(inject_coords(parse_daily(lines, elements), lookup))
 
 
 def append_daily(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
