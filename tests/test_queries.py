@@ -1,6 +1,5 @@
 import datetime
 
-import numpy as np
 from pyspark.sql import functions as F
 
 import weatherloom as wl

@@ -6,7 +6,7 @@ import pytest
 
 import weatherloom as wl
 from test_reshape import monthly_line
-from test_scans import STATION_LINES, daily_line, station_line
+from test_scans import daily_line, station_line
 
 
 @pytest.fixture

@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import weatherloom as wl
 
 from ..functions import columns as C
 from ..functions.layouts import CORE_ELEMENTS, DAILY, MONTHLY
-from ..operators.integrity import temperature_rules, required, DAILY_REQUIRED
+from ..operators.integrity import DAILY_REQUIRED, required, temperature_rules
 from ..operators.reshape import MEASURES
 from ..session import scratch_path
 from . import encode

@@ -296,13 +296,14 @@ def packed_archives(lines: DataFrame, name: str) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import io
+        import re
         import tarfile
         import uuid
 
         import pyarrow
         from pyarrow import fs
 
-        uri = folder.removeprefix("file:") if folder.startswith("file:/") else folder
+        uri = re.sub("^s3a://", "s3://", re.sub("^file:/+", "/", folder))
         store, root = fs.FileSystem.from_uri(uri)
         store.create_dir(root, recursive=True)
         path = f"{root}/{uuid.uuid4().hex}.tar.gz"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.layouts import ARCHIVE_DATASETS, ARCHIVE_ELEMENTS
@@ -13,6 +13,12 @@ from ..functions.layouts import ARCHIVE_DATASETS, ARCHIVE_ELEMENTS
 LINE_SCHEMA = "archive string, file_name string, line_no long, line binary"
 
 
+def arrow_uri(path: Column) -> Column:
+    """A path as Spark names it, as Arrow's file systems name it."""
+    local = F.regexp_replace(path, r"^file:/+", "/")
+    return F.regexp_replace(local, r"^s3a://", "s3://")
+
+
 def archive_manifest(
     spark: SparkSession,
     network: str,
@@ -41,16 +47,20 @@ def archive_manifest(
     )
 
 
-def unpack_archives(archives: DataFrame, batch_lines: int = 20_000) -> DataFrame:
+def unpack_archives(
+    archives: DataFrame, batch_lines: int = 20_000, max_tasks: int = 20_000
+) -> DataFrame:
     """The lines of the archives named in column ``archive``.
 
-    A gzip stream cannot be split, so one archive is one task, and every archive
-    gets a task of its own. Members are streamed: at most ``batch_lines`` lines
-    are held at a time, whatever the archive's size. Paths are opened through
-    Arrow's file systems, so they may lie on any shared store, and a lost task
-    just reads its archive again. Store the lines (or the readings) once when
-    they are used more than once.
+    A gzip stream cannot be split: every archive gets a task of its own, up to
+    ``max_tasks`` tasks, beyond which some tasks read several. Members are
+    streamed: at most ``batch_lines`` lines are held at a time, whatever the
+    archive's size. Paths are opened through Arrow's file systems, so they may
+    lie on any shared store, and a lost task just reads its archive again. Store
+    the lines (or the readings) once when they are used more than once.
     """
+    archives = archives.select("archive").distinct()
+    paths = archives.withColumn("uri", arrow_uri(F.col("archive")))
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tarfile
@@ -70,8 +80,7 @@ def unpack_archives(archives: DataFrame, batch_lines: int = 20_000) -> DataFrame
             )
 
         for batch in batches:
-            for archive in batch.column(0).to_pylist():
-                uri = archive.removeprefix("file:") if archive.startswith("file:/") else archive
+            for archive, uri in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 store, path = fs.FileSystem.from_uri(uri)
                 names, numbers, lines = [], [], []
                 with (
@@ -92,6 +101,5 @@ def unpack_archives(archives: DataFrame, batch_lines: int = 20_000) -> DataFrame
                 if lines:
                     yield batch_of(archive, names, numbers, lines)
 
-    paths = archives.select("archive").distinct()
-    spread = paths.repartitionByRange(max(paths.count(), 1), "archive")
+    spread = paths.repartitionByRange(min(max(paths.count(), 1), max_tasks), "archive")
     return spread.mapInArrow(unpack, LINE_SCHEMA).withColumn("line", F.col("line").cast("string"))
