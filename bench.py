@@ -67,6 +67,7 @@ def main():
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.files.openCostInBytes", "1m")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "8")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -80,7 +81,8 @@ def main():
     for step in (100, 250000):
         encode.monthly_lines(spark, FOLDER, step)
     station_text = encode.station_text(spark, FOLDER, "daily")
-    encode.monthly_stations(spark, FOLDER)
+    catalog.daily_lookup(spark, FOLDER)
+    catalog.monthly_lookup(spark, FOLDER)
     encode.monthly_archives(spark, FOLDER)
     prepared = round(time.perf_counter() - start, 3)
 
@@ -101,7 +103,7 @@ def main():
         lambda: consume(wl.monthly_mean(wl.latest(wl.read_daily(spark, base)), "TMAX"))
     )
     for name, key in QUERIES.items():
-        timings[name] = seconds(lambda: consume(catalog.QUERIES[key](spark, FOLDER)))
+        timings[name] = seconds(lambda: consume(catalog.BUILDERS[key](spark, FOLDER)))
 
     scale = re.search(r"sf([0-9.]+)$", FOLDER)
     print(

@@ -30,7 +30,7 @@ def _with_coordinates(df: DataFrame) -> DataFrame:
 def _explode_slots(df: DataFrame, layout: SlotLayout, *keep: Column | str) -> DataFrame:
     """One row per slot with ``slot`` (0-based) and what the value is cut from."""
     record = ["raw", "length"] if "raw" in df.columns else ["values"]
-    slots = F.explode(F.array(*[F.lit(i) for i in range(layout.slots)])).alias("slot")
+    slots = F.explode(F.sequence(F.lit(0), F.lit(layout.slots - 1))).alias("slot")
     return df.select(*keep, *record, slots)
 
 
@@ -51,12 +51,17 @@ def explode_values(readings: DataFrame, layout: SlotLayout, *keep: str) -> DataF
     return slots.select(*keep, "slot", record_value(slots, layout, F.col("slot")).alias("value"))
 
 
-def to_daily_long(readings: DataFrame, flags: bool = False) -> DataFrame:
+def to_daily_long(
+    readings: DataFrame, flags: bool = False, cluster: bool = False
+) -> DataFrame:
     """One row per measured day.
 
     Missing values and days the month does not have are dropped. The calendar
     is evaluated once per reading: a day is real when its slot lies inside the
     month, and its date is the first of the month plus the slot.
+
+    ``cluster`` orders each task's readings by element and month before they are
+    exploded, which clusters the days too at a thirty-first of the sorting.
     """
     first = month_start(F.col("year"), F.col("month"))
     # an impossible month has no days
@@ -65,6 +70,8 @@ def to_daily_long(readings: DataFrame, flags: bool = False) -> DataFrame:
         .withColumn("first", first)
         .withColumn("days", F.coalesce(F.dayofmonth(F.last_day("first")), F.lit(0)))
     )
+    if cluster:
+        dated = dated.sortWithinPartitions("element", "first")
     slots = _explode_slots(dated, DAILY, "id", "element", "dataset", "lat", "lon", "first", "days")
     return (
         slots.filter(F.col("slot") < F.col("days"))

@@ -1,7 +1,8 @@
 """The operators as queries on the given tables, with their expected results.
 
-Every query works on whole tables. ``QUERIES`` maps a name to a function of
-(session, table folder); ``ORACLES`` maps it to SQL over the same tables.
+Every query works on whole tables. ``BUILDERS`` maps a name to a function of
+(session, table folder), ``QUERIES`` to the same with the result shown in
+comparable types, and ``ORACLES`` to SQL over the same tables.
 Results are shown with ISO dates, whole numbers as BIGINT and rounded DOUBLEs,
 so that two engines can be compared value by value.
 """
@@ -9,6 +10,7 @@ so that two engines can be compared value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +43,7 @@ from .oracles import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BUILDERS: dict[str, Query] = {}
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -49,6 +52,7 @@ SNAPSHOT = "2025-06-27"
 
 def query(name: str, oracle: str) -> Callable[[Query], Query]:
     def register(build: Query) -> Query:
+        BUILDERS[name] = build
         QUERIES[name] = lambda spark, folder: shown(build(spark, folder))
         ORACLES[name] = oracle
         return build
@@ -84,16 +88,27 @@ def monthly_readings(spark: SparkSession, folder: str, step: int = 100) -> DataF
     return wl.parse_monthly(lines).drop("file_name")
 
 
-def daily_lookup(spark: SparkSession, folder: str) -> DataFrame:
+def build_daily_lookup(spark: SparkSession, folder: str) -> DataFrame:
     lines = encode.daily_stations(spark, folder)
     return wl.station_lookup(wl.parse_stations(lines, "daily_network"))
 
 
-def monthly_lookup(spark: SparkSession, folder: str) -> DataFrame:
+def build_monthly_lookup(spark: SparkSession, folder: str) -> DataFrame:
     lines = encode.monthly_stations(spark, folder)
     return wl.station_lookup(wl.parse_stations(lines, "monthly_network"))
 
 
+def daily_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The lookup as a run stores it, once for all joins."""
+    build = partial(build_daily_lookup, spark, folder)
+    return spark.read.parquet(encode.stored(spark, folder, "daily-lookup", build))
+
+
+def monthly_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    build = partial(build_monthly_lookup, spark, folder)
+    return spark.read.parquet(encode.stored(spark, folder, "monthly-lookup", build))
+
+
 def daily_table(spark: SparkSession, folder: str) -> DataFrame:
     readings = daily_readings(spark, folder)
     return wl.to_daily_long(wl.inject_coords(readings, daily_lookup(spark, folder)))
@@ -659,7 +674,7 @@ def d1_monthly(spark, folder):
     f"""WITH {DAILY_STATIONS} SELECT id, {number('lat')} AS lat, {number('lon')} AS lon FROM daily_lookup""",
 )
 def d2(spark, folder):
-    return daily_lookup(spark, folder)
+    return build_daily_lookup(spark, folder)
 
 
 def comparison(element: str) -> str:

@@ -22,6 +22,9 @@ def build_session(app_name: str = "weatherloom", **settings: str) -> SparkSessio
         # thousands of small station files: pack them into few read tasks
         "spark.sql.files.maxPartitionBytes": "128m",
         "spark.sql.files.openCostInBytes": "1m",
+        # monthly output: a few datasets per task are written side by side
+        # instead of being sorted first
+        "spark.sql.maxConcurrentOutputFileWriters": "8",
     }
     defaults.update({key.replace("__", "."): value for key, value in settings.items()})
     for key, value in defaults.items():

@@ -30,20 +30,12 @@ def _snapshot(base: str, kind: str, snapshot_date: datetime.date | str) -> str:
     return f"{base.rstrip('/')}/{kind}/snapshot_date={date.isoformat()}"
 
 
-def write_daily(
-    daily: DataFrame, base: str, snapshot_date: datetime.date | str, cluster: bool = True
-) -> str:
-    """Write the long daily table, zstd-compressed.
-
-    ``cluster`` sorts each task's rows by element and date (no shuffle), which
-    gives row groups a narrow range for element and date filters.
-    """
+def write_daily(daily: DataFrame, base: str, snapshot_date: datetime.date | str) -> str:
+    """Write the long daily table, zstd-compressed."""
     path = _snapshot(base, "daily", snapshot_date)
-    rows = daily.select(*DAILY_COLUMNS)
-    if cluster:
-        rows = rows.sortWithinPartitions("element", "date")
     (
-        rows.write.mode("overwrite")
+        daily.select(*DAILY_COLUMNS)
+        .write.mode("overwrite")
         .option("compression", "zstd")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .parquet(path)
