@@ -1,6 +1,11 @@
+import pathlib
+import sys
+
 import pytest
 from pyspark.sql import SparkSession
 
+sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent.parent))
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

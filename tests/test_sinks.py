@@ -1,5 +1,6 @@
 import datetime
 import pathlib
+import tarfile
 
 import pyarrow.parquet as pq
 import pytest
@@ -73,6 +74,32 @@ def test_monthly_run(spark, archive):
     assert wl.read_monthly(spark, base).count() == 108
 
 
+@pytest.mark.parametrize("bad_records", ["quarantine", "drop_file"])
+def test_monthly_archive_run(spark, archive, bad_records):
+    base = str(archive / "out")
+    (archive / "monthly" / "broken.raw.tmin").write_text(
+        monthly_line([1] * 12) + "\nUSH00000001 19x4\n"
+    )
+    (archive / "monthly" / "network-v2.5-stations.txt").write_text("USH00000001 no data\n")
+    for suffix in ("raw", "tob", "52j", "stations"):
+        with tarfile.open(archive / f"{suffix}.tar.gz", "w:gz") as tar:
+            for file in sorted((archive / "monthly").iterdir()):
+                if suffix in file.name:
+                    tar.add(file, f"release.20250627/{file.name}")
+    lookup = spark.createDataFrame([("USH00000000", 1.0, 2.0)], "id string, lat float, lon float")
+    archives = spark.createDataFrame(
+        [(str(path),) for path in archive.glob("*.tar.gz")], "archive string"
+    )
+    run = wl.run_monthly_archives(archives, lookup, base, "2025-06-27", bad_records)
+    kept = 4 if bad_records == "quarantine" else 3
+    assert run.readings == {"RAW": kept, "TOB": 3, "FLS52": 3, "UNKNOWN": 0}
+    assert [r.file_name for r in run.rejects.collect()] == ["broken.raw.tmin"]
+    assert wl.read_monthly(spark, base).count() == 12 * (kept + 6)
+    spread = wl.unpack_archives(archives, spread=5)
+    assert spread.rdd.getNumPartitions() == 5
+    assert spread.count() == 9 + 2 + 1
+
+
 def test_compact_monthly_output(spark, archive):
     base = str(archive / "out")
     sparse = wl.to_monthly_sparse(wl.scan_monthly(spark, str(archive / "monthly")).readings, True)

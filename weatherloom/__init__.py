@@ -64,7 +64,7 @@ from .operators.reshape import (
     to_monthly_sparse,
     to_monthly_wide,
 )
-from .plans.etl import run_daily, run_monthly, run_stations
+from .plans.etl import run_daily, run_monthly, run_monthly_archives, run_stations
 from .session import build_session, shared_folder
 from .sources.archives import archive_manifest, unpack_archives
 from .sources.readings import (

@@ -220,7 +220,8 @@ def a5(spark, folder):
 @query("a6_unpack_archives", f"WITH {MONTHLY_CELLS} {MONTHLY_READINGS}")
 def a6(spark, folder):
     archives = encode.monthly_archives(spark, folder)
-    readings = wl.with_values(wl.parse_monthly(wl.unpack_archives(archives)), MONTHLY)
+    lines = wl.unpack_archives(archives, spread=spark.sparkContext.defaultParallelism)
+    readings = wl.with_values(wl.parse_monthly(lines), MONTHLY)
     return reading_summary(readings, "id", "year", "dataset", "element")
 
 

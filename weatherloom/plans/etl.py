@@ -9,11 +9,19 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.layouts import CORE_ELEMENTS, StationLayout
+from ..functions.layouts import CORE_ELEMENTS, MONTHLY, StationLayout
 from ..operators.joins import inject_coords, station_lookup
 from ..operators.reshape import to_daily_long, to_monthly_sparse
 from ..session import materialise
-from ..sources.readings import scan_daily, scan_monthly
+from ..sources.archives import unpack_archives
+from ..sources.readings import (
+    Scan,
+    is_monthly_file,
+    parse_monthly,
+    scan_daily,
+    scan_monthly,
+    split_bad_records,
+)
 from ..sources.snapshots import write_daily, write_monthly, write_stations
 from ..sources.stations import scan_stations
 
@@ -27,7 +35,12 @@ class Run(NamedTuple):
 
 
 def _counted(readings: DataFrame, datasets: Sequence[str]) -> tuple[DataFrame, Observation]:
-    """Count readings per dataset while they flow to the sink."""
+    """Count readings per dataset while they flow to the sink.
+
+    Exact in a run of one stage, where every task counts once. If the coordinate
+    join had to shuffle and executors were lost, repeated tasks count again; the
+    table itself is not affected.
+    """
     observation = Observation()
     counters = [F.count_if(F.col("dataset") == name).alias(name) for name in datasets]
     return readings.observe(observation, *counters), observation
@@ -69,6 +82,15 @@ def run_daily(
     return Run(path, counts.get, scan.rejects)
 
 
+def _run_monthly(
+    scan: Scan, lookup: DataFrame, base: str, snapshot_date: datetime.date | str
+) -> Run:
+    readings, counts = _counted(scan.readings, ["RAW", "TOB", "FLS52", "UNKNOWN"])
+    sparse = to_monthly_sparse(inject_coords(readings, lookup), keep_dataset=True)
+    path = write_monthly(sparse, base, snapshot_date)
+    return Run(path, counts.get, scan.rejects)
+
+
 def run_monthly(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -78,8 +100,23 @@ def run_monthly(
     bad_records: str = "quarantine",
 ) -> Run:
     """Monthly text to one sparse Parquet table per dataset: one stage."""
-    scan = scan_monthly(spark, paths, bad_records)
-    readings, counts = _counted(scan.readings, ["RAW", "TOB", "FLS52", "UNKNOWN"])
-    sparse = to_monthly_sparse(inject_coords(readings, lookup), keep_dataset=True)
-    path = write_monthly(sparse, base, snapshot_date)
-    return Run(path, counts.get, scan.rejects)
+    return _run_monthly(scan_monthly(spark, paths, bad_records), lookup, base, snapshot_date)
+
+
+def run_monthly_archives(
+    archives: DataFrame,
+    lookup: DataFrame,
+    base: str,
+    snapshot_date: datetime.date | str,
+    bad_records: str = "quarantine",
+) -> Run:
+    """Monthly archives to one sparse Parquet table per dataset.
+
+    The lines are unpacked once, to a table that many tasks can read; only
+    decompression is bound to one task per archive. Members that are not data
+    files, such as a station list, are left out by name.
+    """
+    lines = materialise(unpack_archives(archives), "archive-lines").select("file_name", "line")
+    lines = lines.filter(is_monthly_file(F.col("file_name")))
+    scan = split_bad_records(lines, parse_monthly(lines), MONTHLY, bad_records)
+    return _run_monthly(scan, lookup, base, snapshot_date)

@@ -48,7 +48,10 @@ def archive_manifest(
 
 
 def unpack_archives(
-    archives: DataFrame, batch_lines: int = 20_000, max_tasks: int = 20_000
+    archives: DataFrame,
+    spread: int | None = None,
+    batch_lines: int = 20_000,
+    max_tasks: int = 20_000,
 ) -> DataFrame:
     """The lines of the archives named in column ``archive``.
 
@@ -56,8 +59,11 @@ def unpack_archives(
     ``max_tasks`` tasks, beyond which some tasks read several. Members are
     streamed: at most ``batch_lines`` lines are held at a time, whatever the
     archive's size. Paths are opened through Arrow's file systems, so they may
-    lie on any shared store, and a lost task just reads its archive again. Store
-    the lines (or the readings) once when they are used more than once.
+    lie on any shared store, and a lost task just reads its archive again.
+
+    ``spread`` deals the lines out to that many tasks, evenly and without a key,
+    so that a large archive binds one task for decompression only. Store the
+    lines once when they are used more than once.
     """
     archives = archives.select("archive").distinct()
     paths = archives.withColumn("uri", arrow_uri(F.col("archive")))
@@ -101,5 +107,8 @@ def unpack_archives(
                 if lines:
                     yield batch_of(archive, names, numbers, lines)
 
-    spread = paths.repartitionByRange(min(max(paths.count(), 1), max_tasks), "archive")
-    return spread.mapInArrow(unpack, LINE_SCHEMA).withColumn("line", F.col("line").cast("string"))
+    apart = paths.repartitionByRange(min(max(paths.count(), 1), max_tasks), "archive")
+    lines = apart.mapInArrow(unpack, LINE_SCHEMA)
+    if spread:
+        lines = lines.repartition(spread)
+    return lines.withColumn("line", F.col("line").cast("string"))

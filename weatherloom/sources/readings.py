@@ -34,6 +34,11 @@ from .text import list_files, read_lines
 MONTHLY_FILE_PATTERN = "{*.raw.*,*.tob.*,*.*.*.*}"
 
 
+def is_monthly_file(file_name: Column) -> Column:
+    """The same choice of monthly data files, for lines that carry their name."""
+    return file_name.rlike(r"\.(raw|tob)\.|\..*\..*\.")
+
+
 class Scan(NamedTuple):
     """Readings and what was turned away."""
 
