@@ -146,3 +146,39 @@ def test_isolated_values_and_duplicate_years(spark):
         for r in wl.duplicate_years(readings).collect()
     }
     assert found == expected and expected
+
+
+def test_hot_station(spark):
+    """One station holds most rows, and most of those are copies of one row."""
+    rng = random.Random(5)
+    hot = [("hot", 2000, "RAW", "Max", [float(m) for m in range(12)])] * 4000
+    hot += [
+        ("hot", rng.randint(1990, 1999), rng.choice(["RAW", "TOB"]), "Max",
+         [rng.choice([None, 1.0, 2.0]) for _ in range(12)])
+        for _ in range(500)
+    ]
+    rest = [
+        (f"s{i % 50}", 2000, "FLS52", "Min", [float(i % 7)] * 12) for i in range(2000)
+    ]
+    rows = hot + rest
+    readings = spark.createDataFrame(
+        rows, "id string, year int, dataset string, element string, values array<float>"
+    ).repartition(16)
+    lookup = spark.createDataFrame([("hot", 1.0, 2.0), ("s1", 3.0, 4.0)], "id string, lat float, lon float")
+    located = wl.inject_coords(readings, lookup, budget=64)
+    assert located.count() == len(rows)
+    assert located.filter("id = 'hot' and lat = 1").count() == len(hot)
+
+    best = {}
+    for id, year, dataset, element, values in rows:
+        for month, value in enumerate(values, start=1):
+            cell = best.setdefault((id, datetime.date(year, month, 1)), {})
+            if value is not None:
+                name = f"{element.lower()}_{dataset.lower()}"
+                cell[name] = max(value, cell.get(name, value))
+    wide = wl.to_monthly_wide(wl.to_monthly_sparse(located))
+    got = {
+        (r.id, r.date): {k: v for k, v in r.asDict().items() if "_" in k and v is not None}
+        for r in wide.collect()
+    }
+    assert wide.count() == len(best) and got == best

@@ -237,13 +237,18 @@ def test_monthly_folder_with_station_list(spark, tmp_path):
 def test_line_position_orders_a_split_file(spark, tmp_path):
     path = tmp_path / "numbers.txt"
     path.write_text("".join(f"{i:07d}\n" for i in range(20_000)))
+    (tmp_path / "letters.txt").write_text("a\n" + "bcd\n" * 9_999)
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
     try:
         lines = wl.read_lines(spark, str(path), with_position=True)
         assert lines.rdd.getNumPartitions() > 4
         ordered = [r.line for r in lines.orderBy("position").collect()]
-        assert wl.file_statistics(lines).first().first_line_length == 7
+        stats = wl.file_statistics(wl.read_lines(spark, str(tmp_path), with_position=True))
+        assert "SortAggregate" not in stats._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r) for r in stats.collect()} == {
+            ("numbers.txt", 20_000, 7), ("letters.txt", 10_000, 1)
+        }
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert ordered == [f"{i:07d}" for i in range(20_000)]

@@ -58,11 +58,21 @@ def profile_monthly(lines: DataFrame, first_lines: int | None = None) -> DataFra
 
 
 def file_statistics(lines: DataFrame) -> DataFrame:
-    """Lines per file and the length of the first one."""
-    length = line_length(line_bytes(F.col("line")))
-    return lines.groupBy("file_name").agg(
+    """Lines per file and the length of the first one.
+
+    Counted per input split first, then per file: both steps are hash aggregates
+    over plain numbers, and a large file sends one row per split.
+    """
+    block, row = F.lit(0), F.col("position")
+    if dict(lines.dtypes)["position"].startswith("struct"):
+        block, row = F.col("position.block"), F.col("position.row")
+    per_split = lines.groupBy("file_name", block.alias("block")).agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.min_by(length, "position").alias("first_line_length"),
+        F.min_by(line_length(line_bytes(F.col("line"))), row).alias("first_length"),
+    )
+    return per_split.groupBy("file_name").agg(
+        F.sum("n_lines").alias("n_lines"),
+        F.min_by("first_length", "block").alias("first_line_length"),
     )
 
 
