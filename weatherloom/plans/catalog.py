@@ -48,6 +48,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 SNAPSHOT = "2025-06-27"
+LOOKUP_SCHEMA = "id string, lat float, lon float"
 
 
 def query(name: str, oracle: str) -> Callable[[Query], Query]:
@@ -101,12 +102,12 @@ def build_monthly_lookup(spark: SparkSession, folder: str) -> DataFrame:
 def daily_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """The lookup as a run stores it, once for all joins."""
     build = partial(build_daily_lookup, spark, folder)
-    return spark.read.parquet(encode.stored(spark, folder, "daily-lookup", build))
+    return encode.stored_table(spark, folder, "daily-lookup", LOOKUP_SCHEMA, build)
 
 
 def monthly_lookup(spark: SparkSession, folder: str) -> DataFrame:
     build = partial(build_monthly_lookup, spark, folder)
-    return spark.read.parquet(encode.stored(spark, folder, "monthly-lookup", build))
+    return encode.stored_table(spark, folder, "monthly-lookup", LOOKUP_SCHEMA, build)
 
 
 def daily_table(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,6 +15,7 @@ together.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -232,11 +233,17 @@ def stored(
     return _stored[key]
 
 
+def stored_table(
+    spark: SparkSession, folder: str, name: str, schema: str, build: Callable[[], DataFrame]
+) -> DataFrame:
+    """A stored table of known schema."""
+    return spark.read.schema(schema).parquet(stored(spark, folder, name, build))
+
+
 def daily_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Encoded daily lines with their ``file_name``."""
-    return spark.read.parquet(
-        stored(spark, folder, "daily-lines", lambda: encode_daily(spark, folder))
-    )
+    build = partial(encode_daily, spark, folder)
+    return stored_table(spark, folder, "daily-lines", "file_name string, line string", build)
 
 
 def daily_text(spark: SparkSession, folder: str) -> str:
@@ -246,23 +253,21 @@ def daily_text(spark: SparkSession, folder: str) -> str:
 
 def monthly_lines(spark: SparkSession, folder: str, step: int = 100) -> DataFrame:
     """Encoded monthly lines with their ``file_name`` and ``position``."""
-    return spark.read.parquet(
-        stored(spark, folder, f"monthly-lines-{step}", lambda: encode_monthly(spark, folder, step))
-    )
+    build = partial(encode_monthly, spark, folder, step)
+    schema = "file_name string, position int, line string"
+    return stored_table(spark, folder, f"monthly-lines-{step}", schema, build)
 
 
 def daily_stations(spark: SparkSession, folder: str) -> DataFrame:
     """Encoded station list of the daily network with its ``position``."""
-    return spark.read.parquet(
-        stored(spark, folder, "daily-stations", lambda: encode_daily_stations(spark, folder))
-    )
+    build = partial(encode_daily_stations, spark, folder)
+    return stored_table(spark, folder, "daily-stations", "position long, line string", build)
 
 
 def monthly_stations(spark: SparkSession, folder: str) -> DataFrame:
     """Encoded station list of the monthly network with its ``position``."""
-    return spark.read.parquet(
-        stored(spark, folder, "monthly-stations", lambda: encode_monthly_stations(spark, folder))
-    )
+    build = partial(encode_monthly_stations, spark, folder)
+    return stored_table(spark, folder, "monthly-stations", "position long, line string", build)
 
 
 def station_text(spark: SparkSession, folder: str, network: str) -> str:
@@ -275,13 +280,12 @@ def station_text(spark: SparkSession, folder: str, network: str) -> str:
 
 def monthly_archives(spark: SparkSession, folder: str) -> DataFrame:
     """Archives holding the monthly lines, in column ``archive``."""
-    return spark.read.parquet(
-        stored(
-            spark,
-            folder,
-            "monthly-archives",
-            lambda: packed_archives(monthly_lines(spark, folder), "archives"),
-        )
+    return stored_table(
+        spark,
+        folder,
+        "monthly-archives",
+        "archive string",
+        lambda: packed_archives(monthly_lines(spark, folder), "archives"),
     )
 
 

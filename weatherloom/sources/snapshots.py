@@ -18,9 +18,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import sink_label
-from ..operators.reshape import DAILY_COLUMNS, MONTHLY_COLUMNS
+from ..operators.reshape import DAILY_COLUMNS, MEASURES, MONTHLY_COLUMNS
 from .stations import STATION_COLUMNS
 
+# The tables' fixed schemas with their folder columns: reading needs no inference.
+DAILY_SCHEMA = (
+    "id string, date date, element string, dataset string, value float, lat float, lon float, "
+    "snapshot_date date"
+)
+MONTHLY_SCHEMA = (
+    "id string, date date, "
+    + ", ".join(f"{name} float" for name in MEASURES)
+    + ", lat float, lon float, snapshot_date date, dataset string"
+)
+STATION_SCHEMA = (
+    "country_code string, network_code string, id_placeholder string, coop_id string, "
+    "latitude float, longitude float, elevation float, state string, name string, "
+    "network string, snapshot_date date"
+)
 # Upper limit of a file: a task that reads very much splits its output.
 MAX_RECORDS_PER_FILE = 20_000_000
 
@@ -81,19 +96,19 @@ def write_stations(
 
 def read_daily(spark: SparkSession, base: str) -> DataFrame:
     """All daily snapshots, with their ``snapshot_date``."""
-    return spark.read.parquet(f"{base.rstrip('/')}/daily")
+    return spark.read.schema(DAILY_SCHEMA).parquet(f"{base.rstrip('/')}/daily")
 
 
 def read_monthly(spark: SparkSession, base: str, dataset: str | None = None) -> DataFrame:
     """Monthly snapshots of one dataset or of all; the choice prunes folders."""
-    monthly = spark.read.parquet(f"{base.rstrip('/')}/monthly")
+    monthly = spark.read.schema(MONTHLY_SCHEMA).parquet(f"{base.rstrip('/')}/monthly")
     if dataset is not None:
         monthly = monthly.filter(F.col("dataset") == dataset.lower())
     return monthly
 
 
 def read_stations(spark: SparkSession, base: str, network: str | None = None) -> DataFrame:
-    stations = spark.read.parquet(f"{base.rstrip('/')}/stations")
+    stations = spark.read.schema(STATION_SCHEMA).parquet(f"{base.rstrip('/')}/stations")
     if network is not None:
         stations = stations.filter(F.col("network") == network)
     return stations
