@@ -4,21 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from weatherloom.llm.interpolation import score_texts
+from weatherloom.llm.line_rules import fit_line_model, line_rules
 from weatherloom.llm.near_dedup import near_duplicates
+from weatherloom.llm.quality_model import fit_quality, held_out, quality_scores
+from weatherloom.llm.token_counts import count_tokens
+
+QUALITY_CUT = 0.3
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(table(spark, folder, "documents"))
+
+
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return line_rules(documents, fit_line_model(documents, table(spark, folder, "labels")))
+
+
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    forest = fit_quality(documents, table(spark, folder, "labels"))
+    return quality_scores(documents, forest).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"),
+    )
+
+
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_lm_scoring": op4_lm_scoring,
+    "op5_token_counts": op5_token_counts,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}
