@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from weatherloom.llm.interpolation import score_texts
 from weatherloom.llm.line_rules import fit_line_model, line_rules
+from weatherloom.llm.mixing import ORACLE as MIX_ORACLE
+from weatherloom.llm.mixing import mix_sources
 from weatherloom.llm.near_dedup import near_duplicates
 from weatherloom.llm.quality_model import fit_quality, held_out, quality_scores
 from weatherloom.llm.token_counts import count_tokens
@@ -21,6 +23,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mix_sources(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents"))
 
@@ -49,10 +56,11 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mixing": op1_source_mixing,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_token_counts": op5_token_counts,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_source_mixing": MIX_ORACLE}
