@@ -26,8 +26,10 @@ from weatherloom.session import materialise
 
 WIDTH = 5
 PERCENT = 85
-BANDS = 32
-ROWS = 6
+BANDS = 24
+ROWS = 5
+# node numbers that one executor can hold: 16 bytes each in a hash relation
+BROADCAST_NODES = 2_000_000
 
 
 def near_duplicates(
@@ -162,13 +164,12 @@ def _decided(signed, percent, width):
         "nodes",
     )
     buckets = materialise(
-        nodes.select("node", "n_shingles")
+        nodes.select("node")
         .join(signed.select(F.col("row").alias("node"), "buckets"), "node")
-        .select("node", "n_shingles", F.explode("buckets").alias("bucket")),
+        .select("node", F.explode("buckets").alias("bucket")),
         "buckets",
     )
-    texts = signed.select(F.col("row").alias("node"), "text")
-    links, roots = _links(buckets, texts, percent, width)
+    roots = _links(buckets, nodes.select("node", "n_shingles"), signed, percent, width)
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least").alias("first"))
     owner = named.join(least, "root").select(
@@ -186,16 +187,19 @@ def _decided(signed, percent, width):
     )
 
 
-def _links(buckets, texts, percent, width):
-    shared = buckets.groupBy("bucket").agg(
-        F.min("node").alias("centre"), F.count("*").alias("members")
-    )
-    tried = _candidates(buckets, shared.where("members > 1"), percent)
+def _links(buckets, sizes, signed, percent, width):
+    shared = buckets.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("other"))
+    shared = shared.where("centre <> other").select("bucket", "centre")
+    # most buckets have one member; only the others matter from here on
+    buckets = materialise(buckets.join(shared, "bucket"), "shared")
+    texts = _texts(signed, buckets.select("node").distinct())
+    tried = _candidates(buckets.where("node <> centre"), sizes, percent)
     links = materialise(_confirmed(tried, texts, percent, width), "links")
     roots = connected_components(links)
     turn = 1
     while True:
-        spread = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        spread = buckets.select("bucket", "node").join(roots, "node", "left")
+        spread = spread.withColumn("root", F.coalesce("root", "node"))
         rank = F.xxhash64("node", F.lit(turn))
         split = (
             spread.groupBy("bucket")
@@ -204,27 +208,43 @@ def _links(buckets, texts, percent, width):
                 F.min_by("node", rank).alias("centre"), F.min_by("root", rank).alias("of"),
             )
             .where("low <> high")
+            .select("bucket", "centre", "of")
         )
-        fresh = _candidates(spread, split.select("bucket", "centre", "of"), percent, apart=True)
-        fresh = fresh.join(tried, ["leaf", "centre"], "left_anti")
+        pairs = spread.join(split, "bucket").where("root <> of")
+        fresh = _candidates(pairs, sizes, percent, tried)
         more = materialise(_confirmed(fresh, texts, percent, width), "links")
         if more.isEmpty():
-            return links, roots
+            return roots
         links = links.union(more)
         roots = connected_components(links)
         tried = tried.unionByName(fresh)
         turn += 1
 
 
-def _candidates(buckets, centres, percent, apart=False):
-    """(leaf, centre), each pair once, smaller node second; sizes allow the link."""
-    pairs = buckets.join(centres, "bucket").where("node <> centre")
-    if apart:
-        pairs = pairs.where("root <> of")
+def _texts(signed, nodes):
+    """Texts of the nodes that share a bucket, which are few in most corpora.
+
+    Their numbers are broadcast up to ``BROADCAST_NODES``; more are joined by
+    shuffling the texts once.
+    """
+    nodes = materialise(nodes, "candidates")
+    if nodes.count() <= BROADCAST_NODES:
+        nodes = F.broadcast(nodes)
+    return materialise(signed.select(F.col("row").alias("node"), "text").join(nodes, "node"), "texts")
+
+
+def _candidates(pairs, sizes, percent, tried=None):
+    """(leaf, centre), each pair once, the smaller node second; the sizes allow a link."""
     pairs = pairs.select(
         F.greatest("node", "centre").alias("leaf"), F.least("node", "centre").alias("centre")
+    ).distinct()
+    if tried is not None:
+        pairs = pairs.join(tried, ["leaf", "centre"], "left_anti")
+    pairs = pairs.join(sizes.select(F.col("node").alias("leaf"), F.col("n_shingles").alias("n")), "leaf").join(
+        sizes.select(F.col("node").alias("centre"), F.col("n_shingles").alias("m")), "centre"
     )
-    return materialise(pairs.distinct(), "pairs")
+    allowed = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
+    return materialise(pairs.where(allowed).select("leaf", "centre"), "pairs")
 
 
 def _confirmed(pairs, texts, percent, width):
