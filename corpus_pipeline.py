@@ -1,25 +1,66 @@
-"""A training corpus from ``documents``, stage by stage."""
+"""A training corpus from ``documents``, stage by stage.
+
+Every stage takes the rows that the stage before it kept. Null and empty texts go
+through like others; a null id is a row like others, except that it names no group
+of copies. Repeated rows are one document after the second stage.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from weatherloom.llm.mixing import mixed_documents
 from weatherloom.llm.near_dedup import drop_near_duplicates
+from weatherloom.llm.pieces import decode_pieces, encode_pieces
+from weatherloom.llm.quality_model import fit_quality, quality_scores
+from weatherloom.llm.secret_scan import without_live_secrets
 from weatherloom.session import scratch_path
 
+QUALITY_CUT = 0.3
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a quality score of 0.3 or more."""
+    forest = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = quality_scores(docs, forest, keep=docs.columns)
+    return scored.where(F.col("score") >= QUALITY_CUT).select(*docs.columns)
+
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, the one with the smallest id."""
     return drop_near_duplicates(docs)
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a live credential; copied examples may stay."""
+    return without_live_secrets(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix has it."""
+    return mixed_documents(docs)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids, n_pieces, score, n_best_scores and a hash of what the ids decode to."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode_pieces(docs, model)
+    return encoded.withColumn("decoded_sha256", F.sha2(decode_pieces(F.col("ids"), model), 256))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", quality_classifier),
     ("near_dedup", near_dedup),
+    ("secret_scan", secret_scan),
+    ("source_mix", source_mix),
+    ("sentencepiece", sentencepiece),
 ]
 
-ORACLE_SQL = None
+ORACLE_SQL = None  # the classifier is a fitted model
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,10 @@ from weatherloom.llm.line_rules import fit_line_model, line_rules
 from weatherloom.llm.mixing import ORACLE as MIX_ORACLE
 from weatherloom.llm.mixing import mix_sources
 from weatherloom.llm.near_dedup import near_duplicates
+from weatherloom.llm.pieces import decode_pieces, encode_pieces
 from weatherloom.llm.quality_model import fit_quality, held_out, quality_scores
+from weatherloom.llm.secret_scan import ORACLE as SECRET_ORACLE
+from weatherloom.llm.secret_scan import scan_secrets
 from weatherloom.llm.token_counts import count_tokens
 
 QUALITY_CUT = 0.3
@@ -28,6 +31,13 @@ def op1_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Four best segmentations of each text; the hash is of the text that the ids give."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode_pieces(table(spark, folder, "documents"), model)
+    return encoded.withColumn("decoded_sha256", F.sha2(decode_pieces(F.col("ids"), model), 256))
+
+
 def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents"))
 
@@ -36,6 +46,10 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_secrets(table(spark, folder, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return line_rules(documents, fit_line_model(documents, table(spark, folder, "labels")))
@@ -57,10 +71,12 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_sentencepiece": op2_sentencepiece,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_token_counts": op5_token_counts,
+    "op6_secret_scan": op6_secret_scan,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
-ORACLES: dict[str, str] = {"op1_source_mixing": MIX_ORACLE}
+ORACLES: dict[str, str] = {"op1_source_mixing": MIX_ORACLE, "op6_secret_scan": SECRET_ORACLE}
