@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weatherloom.llm.graph_search import nearest
 from weatherloom.llm.interpolation import score_texts
 from weatherloom.llm.line_rules import fit_line_model, line_rules
 from weatherloom.llm.mixing import ORACLE as MIX_ORACLE
@@ -50,6 +51,10 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(table(spark, folder, "documents"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return line_rules(documents, fit_line_model(documents, table(spark, folder, "labels")))
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_lm_scoring": op4_lm_scoring,
     "op5_token_counts": op5_token_counts,
     "op6_secret_scan": op6_secret_scan,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
