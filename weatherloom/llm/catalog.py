@@ -18,6 +18,7 @@ from weatherloom.llm.pieces import decode_pieces, encode_pieces
 from weatherloom.llm.quality_model import fit_quality, held_out, quality_scores
 from weatherloom.llm.secret_scan import ORACLE as SECRET_ORACLE
 from weatherloom.llm.secret_scan import scan_secrets
+from weatherloom.llm.severity import fit_severity, severity
 from weatherloom.llm.token_counts import count_tokens
 
 QUALITY_CUT = 0.3
@@ -39,6 +40,11 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encoded.withColumn("decoded_sha256", F.sha2(decode_pieces(F.col("ids"), model), 256))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return severity(documents, fit_severity(documents, table(spark, folder, "labels")))
+
+
 def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents"))
 
@@ -77,6 +83,7 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_toxicity": op3_toxicity,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_token_counts": op5_token_counts,
     "op6_secret_scan": op6_secret_scan,

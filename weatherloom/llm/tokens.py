@@ -47,14 +47,15 @@ class Words:
 
     ``doc[i]`` is the text that word i is in, ``start`` and ``end`` are its bytes
     in ``data`` (lower-cased if asked for), ``bounds`` the bytes of the texts.
+    ``between`` marks the bytes that separate words.
     """
 
-    def __init__(self, texts: pa.Array, lower: bool):
+    def __init__(self, texts: pa.Array, lower: bool, between: np.ndarray = SPACE):
         raw, bounds = text_bytes(texts)
         self.n_docs = len(texts)
         self.bounds = bounds
         self.data = LOWER[raw] if lower else raw
-        solid = ~SPACE[self.data]
+        solid = ~between[self.data]
         first = solid.copy()
         first[1:] &= ~solid[:-1]
         last = solid.copy()
