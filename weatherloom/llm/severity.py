@@ -1,64 +1,99 @@
 """Severity of toxic language by cumulative-link ordinal regression.
 
-A text has one latent score, a weighted sum over its words. Ordered thresholds cut
+A text has one latent score, a weighted sum over its words and their beginnings.
+Ordered thresholds cut
 the scores into grades: P(grade >= k) = 1 / (1 + exp(threshold_k - score)) with the
 same weights for every k. The expected severity is the sum of these over k.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from weatherloom.llm.labelled import labelled_sample
 from weatherloom.llm.shipping import map_arrow
-from weatherloom.llm.tokens import SPACE, Words, slices
+from weatherloom.llm.tokens import SPACE, Words, distinct_in_group, slices
+from weatherloom.session import materialise
 
 SAMPLE = 10_000
 WORDS_KEPT = 2_000
 LEAST_TEXTS = 3
+BEGINNINGS = (4, 5, 6, 7)  # bytes: stems of words that take many endings
 GRADES = 3
-STRONG_ODDS = 8.0
+STRONG_ODDS = 30.0
 BETWEEN = SPACE.copy()
 BETWEEN[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 
 
 @dataclass(frozen=True)
 class SeverityModel:
-    """``words``: sorted hashes; ``thresholds``: ascending, one for each grade above 0."""
+    """``words``: sorted hashes of features, ``strong``: those of high odds.
+
+    ``weights`` has one weight for each and one for the logarithm of the number of
+    strong ones in a text, so that the first of them counts most. ``thresholds``
+    ascend, one for each grade above 0.
+    """
 
     words: np.ndarray
+    strong: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
 
     def at_least(self, texts: pa.Array) -> np.ndarray:
         """P(grade >= k) for k = 1, 2, ..., one line for each text."""
-        n = len(texts)
-        text, word, count = word_counts(texts)
-        score = np.zeros(n)
-        if len(self.words) and len(word):
-            at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
-            known = self.words[at] == word
-            score = np.bincount(text[known], np.log1p(count[known]) * self.weights[at[known]], n)
-        return 1 / (1 + np.exp(self.thresholds - score[:, None]))
-
-
-def word_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, word hash, count), each word of a text once. Punctuation separates words."""
+        text, place, count = self.counts(texts)
+        row, column, value = inputs(text, place, count, self.strong, len(texts))
+        score = np.bincount(row, value * self.weights[column], len(texts))
+        return 1 / (1 + np.exp(np.clip(self.thresholds - score[:, None], -500, 500)))
+
+    def counts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return counted(*matched(texts, self.words), max(len(self.words), 1))
+
+
+def features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text, hash) of all words, then of the words' beginnings of each size."""
     words = Words(texts, lower=True, between=BETWEEN)
-    hashes = words.hashes()
-    order = np.lexsort((hashes, words.doc))
-    text, word = words.doc[order], hashes[order]
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (text[1:] != text[:-1]) | (word[1:] != word[:-1])
-    first = np.flatnonzero(new)
-    return text[first], word[first], np.diff(np.append(first, len(order)))
+    yield words.doc, words.hashes()
+    for size in BEGINNINGS:
+        longer, hashes = words.prefixes(size)
+        yield words.doc[longer], hashes
+
+
+def matched(texts: pa.Array, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, place in ``known``) of every feature that is in the sorted hashes ``known``."""
+    found = []
+    for text, value in features(texts):
+        if len(known) and len(value):
+            at = np.minimum(np.searchsorted(known, value), len(known) - 1)
+            hit = known[at] == value
+            found.append((text[hit], at[hit]))
+    if not found:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    return tuple(np.concatenate(parts) for parts in zip(*found, strict=True))
+
+
+def counted(text: np.ndarray, place: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    key, count = np.unique(text * width + place, return_counts=True)
+    return key // width, key % width, count
+
+
+def inputs(text, place, count, strong, n):
+    """(text, column, value) triples of the regression."""
+    hits = np.bincount(text, strong[place] * count, n)
+    some = np.flatnonzero(hits)
+    return (
+        np.concatenate([text, some]),
+        np.concatenate([place, np.full(len(some), len(strong))]),
+        np.concatenate([np.log1p(count), np.log1p(hits[some])]),
+    )
 
 
 def fit_severity(
@@ -67,67 +102,97 @@ def fit_severity(
 ) -> SeverityModel:
     """Fit on at most ``sample`` labelled documents.
 
-    Where the labels only say toxic or not, the toxic texts are graded 1 to
-    ``GRADES`` by how many words they have whose odds in toxic texts are at least
-    ``STRONG_ODDS`` times those in others, cut at the thirds. Without toxic or
+    Features are words and beginnings of words, those whose link with the label is
+    not chance. Where the labels only say toxic or not, the toxic texts are graded 1
+    to ``GRADES`` by how many features they have whose odds in toxic texts are at
+    least ``STRONG_ODDS`` times those in others, cut at the thirds. Without toxic or
     without other labels nothing is learned and every severity is near 0.
     """
     rows = labelled_sample(docs, labels, label, sample, id_col, text_col)
+    rows = materialise(rows.select("text", (F.col("label") >= 0.5).alias("toxic")), "labelled")
+    sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    n_toxic, n_other = sizes.get(True, 0), sizes.get(False, 0)
+    nothing = SeverityModel(
+        np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool), np.zeros(1), np.full(GRADES, 20.0)
+    )
+    if not n_toxic or not n_other:
+        return nothing
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, end in slices(batch.column("text")):
                 part = batch.slice(begin, end - begin)
-                text, word, n = word_counts(part.column("text"))
+                toxic = part.column("toxic").to_numpy(zero_copy_only=False)
+                for text, value in features(part.column("text")):
+                    text, value = distinct_in_group(text, value)
+                    known, of = np.unique(value, return_inverse=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(known.view(np.int64)),
+                            pa.array(np.bincount(of, toxic[text], len(known)).astype(np.int64)),
+                            pa.array(np.bincount(of, minlength=len(known)).astype(np.int64)),
+                        ],
+                        names=["word", "inside", "total"],
+                    )
+
+    seen = map_arrow(rows, presence, "word long, inside long, total long").groupBy("word")
+    seen = seen.agg(F.sum("inside").alias("inside"), F.sum("total").alias("total"))
+    seen = materialise(seen.where(F.col("total") >= LEAST_TEXTS), "features")
+    # a likelihood-ratio test at one in a hundred for all features together
+    sure = 2 * math.log(100 * max(seen.count(), 1))
+    test = association(F.col("inside"), F.col("total"), n_toxic, n_other)
+    kept = seen.withColumn("test", test).where(F.col("test") > sure).orderBy(F.desc("test"), "word")
+    kept = kept.limit(WORDS_KEPT).toPandas()
+    kept["word"] = kept["word"].to_numpy(np.int64).view(np.uint64)
+    kept = kept.sort_values("word")
+    words = kept["word"].to_numpy(np.uint64)
+    inside, outside = kept["inside"].to_numpy(float), (kept["total"] - kept["inside"]).to_numpy(float)
+    odds = np.log((inside + 0.5) / (n_toxic - inside + 0.5) * (n_other - outside + 0.5) / (outside + 0.5))
+
+    def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, end in slices(batch.column("text")):
+                part = batch.slice(begin, end - begin)
+                text, place, n = counted(*matched(part.column("text"), words), max(len(words), 1))
                 bounds = np.searchsorted(text, np.arange(part.num_rows + 1))
-                cells = [(word[a:b].tobytes(), n[a:b].tobytes()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                cells = [(place[a:b].tobytes(), n[a:b].tobytes()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("id"), part.column("label"),
+                        part.column("toxic"),
                         pa.array([a for a, _ in cells], pa.binary()), pa.array([b for _, b in cells], pa.binary()),
                     ],
-                    names=["id", "label", "words", "counts"],
+                    names=["toxic", "places", "counts"],
                 )
 
-    schema = StructType([rows.schema["id"]]).add("label", "double").add("words", "binary").add("counts", "binary")
-    found = map_arrow(rows, count, schema).toPandas().sort_values(["id", "words"], kind="stable")
-    words = [np.frombuffer(b, dtype=np.uint64) for b in found["words"]]
-    counts = [np.frombuffer(b, dtype=np.int64) for b in found["counts"]]
-    text = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    if not len(text):
-        return SeverityModel(np.zeros(0, dtype=np.uint64), np.zeros(0), np.full(GRADES, 20.0))
-    return fit_model(text, np.concatenate(words), np.concatenate(counts), found["label"].to_numpy(float) >= 0.5)
-
-
-def fit_model(text: np.ndarray, word: np.ndarray, count: np.ndarray, toxic: np.ndarray) -> SeverityModel:
-    """From (text, word, count) triples and one mark for each text."""
-    n_toxic, n_other = int(toxic.sum()), int((~toxic).sum())
-    if not n_toxic or not n_other:
-        return SeverityModel(np.zeros(0, dtype=np.uint64), np.zeros(0), np.full(GRADES, 20.0))
-    known, of = np.unique(word, return_inverse=True)
-    inside = np.bincount(of, toxic[text], len(known))
-    total = np.bincount(of, minlength=len(known))
-    outside = total - inside
-    odds = np.log((inside + 0.5) / (n_toxic - inside + 0.5)) - np.log((outside + 0.5) / (n_other - outside + 0.5))
-    spread = np.sqrt(1 / (inside + 0.5) + 1 / (outside + 0.5))
-    telling = np.where(total >= LEAST_TEXTS, np.abs(odds) / spread, -1)
-    kept = np.sort(np.argsort(-telling, kind="stable")[: min(WORDS_KEPT, int((telling >= 0).sum()))])
-    place = np.full(len(known), -1)
-    place[kept] = np.arange(len(kept))
-
-    strong = (odds >= np.log(STRONG_ODDS)) & (total >= LEAST_TEXTS)
-    hits = np.bincount(text, strong[of] * count, len(toxic))
+    found = map_arrow(rows, use, "toxic boolean, places binary, counts binary").toPandas()
+    found = found.sort_values(["toxic", "places", "counts"], kind="stable")
+    places = [np.frombuffer(b, dtype=np.int64) for b in found["places"]]
+    row = np.repeat(np.arange(len(places)), [len(p) for p in places])
+    place = np.concatenate(places)
+    count = np.concatenate([np.frombuffer(b, dtype=np.int64) for b in found["counts"]])
+    toxic = found["toxic"].to_numpy(bool)
+    strong = odds >= np.log(STRONG_ODDS)
+    hits = np.bincount(row, strong[place] * count, len(toxic))
     cuts = np.quantile(hits[toxic], np.arange(1, GRADES) / GRADES)
     grade = np.where(toxic, 1 + (hits[:, None] > cuts).sum(axis=1), 0)
+    triples = inputs(row, place, count, strong, len(toxic))
+    weights, thresholds = fit_cumulative(*triples, grade, len(words) + 1, GRADES)
+    return SeverityModel(words, strong, weights, thresholds)
 
-    mine = place[of] >= 0
-    weights, thresholds = fit_cumulative(
-        text[mine], place[of[mine]], np.log1p(count[mine]), grade, len(kept), GRADES
-    )
-    return SeverityModel(known[kept], weights, thresholds)
+
+def association(inside: Column, total: Column, n_inside: int, n_outside: int) -> Column:
+    """Twice the log-likelihood ratio of a feature's presence in two groups of texts."""
+    n = n_inside + n_outside
+    out = F.lit(0.0)
+    for seen, all_seen, group in (
+        (inside, total, n_inside), (total - inside, total, n_outside),
+        (n_inside - inside, n - total, n_inside), (n_outside - total + inside, n - total, n_outside),
+    ):
+        out += F.when(seen > 0, seen * F.log(seen * n / (all_seen * group))).otherwise(0.0)
+    return 2 * out
 
 
-def fit_cumulative(row, column, value, grade, width, grades, rounds=400, rate=0.05, ridge=2e-4):
+def fit_cumulative(row, column, value, grade, width, grades, rounds=1500, rate=0.1, ridge=2e-5):
     """Maximum likelihood with a small ridge, by Adam on the sparse triples.
 
     The gaps between thresholds are exponentials, which keeps them in order.

@@ -78,6 +78,15 @@ class Words:
         values = _BYTE[self.data[self.solid]] * _powers_to(int(lengths.max()))[place]
         return mix(np.add.reduceat(values, at) + lengths.astype(np.uint64))
 
+    def prefixes(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The words longer than ``size`` bytes and hashes of their first ``size`` bytes."""
+        longer = np.flatnonzero(self.end - self.start > size)
+        total = np.full(len(longer), size, dtype=np.uint64)
+        powers = _powers_to(size + 1)
+        for k in range(size):
+            total += _BYTE[self.data[self.start[longer] + k]] * powers[k]
+        return longer, mix(~total)
+
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts and where each begins; a null is an empty text."""
