@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from weatherloom.llm.mixing import mixed_documents
 from weatherloom.llm.near_dedup import drop_near_duplicates
 from weatherloom.llm.pieces import decode_pieces, encode_pieces
-from weatherloom.llm.quality_model import fit_quality, quality_scores
+from weatherloom.llm.quality_model import fit_quality, good_documents
 from weatherloom.llm.secret_scan import without_live_secrets
 from weatherloom.session import scratch_path
 
@@ -26,8 +26,7 @@ QUALITY_CUT = 0.3
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score of 0.3 or more."""
     forest = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality_scores(docs, forest, keep=docs.columns)
-    return scored.where(F.col("score") >= QUALITY_CUT).select(*docs.columns)
+    return good_documents(docs, forest, QUALITY_CUT)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -189,30 +189,35 @@ def fit_quality(
 
 
 def quality_scores(
-    docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None
+    docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, score) for each row, and the columns ``keep``; one stage without shuffle.
+    """(id, score) for each row, in one stage without shuffle.
 
     The score is the probability of label 1. A null, empty or blank text has
     all-zero statistics and is scored like any other. Rows with a null id and
-    repeated rows are scored each.
+    repeated rows are scored each. Other columns are not looked at.
     """
-    record = F.struct(*keep) if keep else F.lit(None).cast("boolean")
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), record.alias("record"))
-    kept = StructType([source.schema["id"], source.schema["record"]]).add("score", "double")
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return _scored(source, ["id"], forest).withColumnRenamed("id", id_col)
+
+
+def good_documents(docs: DataFrame, forest: Forest, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, with a score of ``least`` or more."""
+    source = docs.select(F.struct("*").alias("record"), F.col(text_col).alias("text"))
+    return _scored(source, ["record"], forest).where(F.col("score") >= least).select("record.*")
+
+
+def _scored(source: DataFrame, keep: list[str], forest: Forest) -> DataFrame:
+    schema = StructType([source.schema[name] for name in keep]).add("score", "double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, end in slices(batch.column("text")):
                 part = batch.slice(begin, end - begin)
-                values = forest.score(statistics(part.column("text")))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("record"), pa.array(values)], names=["id", "record", "score"]
-                )
+                values = pa.array(forest.score(statistics(part.column("text"))))
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), values], names=schema.names)
 
-    found = map_arrow(source, score, kept)
-    columns = [F.col(f"record.`{c}`") for c in keep or []]
-    return found.select(*([F.col("id").alias(id_col)] if not keep else columns), "score")
+    return map_arrow(source, score, schema)
 
 
 def held_out(id_col: Column, folds: int = 5) -> Column:
