@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -28,7 +29,7 @@ from weatherloom.llm.shipping import map_arrow, ship
 from weatherloom.llm.tokens import Words, mix
 from weatherloom.session import materialise
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 PART_ENTRIES = 1_000_000
 BUCKETS = 48
 FINEST = 60  # estimates below 2 ** -30 share a cell
@@ -134,7 +135,8 @@ def _packed(batch: pa.RecordBatch, block: int, apart: bool, schema) -> pa.Record
         pa.array([block]), pa.array([apart]), pa.array([total[0]]), pa.array([total[1]]),
         pa.array([int(sizes.sum())]),
         pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ids),
-        *(pa.array([x.tobytes()], pa.binary()) for x in (roles, sizes, np.r_[END, known], codes)),
+        *(pa.array([x.tobytes()], pa.binary()) for x in (roles, sizes, np.r_[END, known])),
+        pa.array([packed(codes)], pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(row, names=schema.names)
 
@@ -158,12 +160,16 @@ def _ngrams(words: np.ndarray, codes: np.ndarray):
 
 
 def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    kinds = (("roles", np.uint8), ("sizes", np.uint32), ("words", np.uint64), ("codes", np.uint32))
-    return tuple(np.frombuffer(row[name], dtype=kind) for name, kind in kinds)
+    kinds = (("roles", np.uint8), ("sizes", np.uint32), ("words", np.uint64))
+    plain = (np.frombuffer(row[name], dtype=kind) for name, kind in kinds)
+    return (*plain, unpacked(row["codes"]).astype(np.uint32))
 
 
 def _counts(blocks: DataFrame, parts: int) -> DataFrame:
-    """(block, part, fit, deleted): the totals of the block's n-grams in a part."""
+    """(block, part, fit, every): the totals of the block's n-grams in a part.
+
+    ``fit`` leaves out the deleted rows. Hashes travel as gaps between sorted values.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,37 +184,41 @@ def _counts(blocks: DataFrame, parts: int) -> DataFrame:
                 start = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
                 ends = np.r_[start[1:], len(part)]
                 k = len(start)
+                gaps = hashes.copy()
+                gaps[1:] -= hashes[:-1]
+                gaps[start] = hashes[start]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(part[start]),
                         pa.array(np.full(k, row["block"], dtype=np.int64)),
                         pa.array(np.full(k, row["apart"], dtype=bool)),
-                        _pieces(hashes, start, ends),
-                        _pieces(count.astype(np.uint32), start, ends),
+                        _cells(gaps, start, ends),
+                        _cells(count, start, ends),
                     ],
                     names=["part", "block", "apart", "hashes", "counts"],
                 )
 
     def total(table: pa.Table) -> pa.Table:
-        hashes = np.frombuffer(b"".join(table.column("hashes").to_pylist()), dtype=np.uint64)
-        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype=np.uint32)
-        sizes = np.array([len(x.as_buffer()) // 8 for x in table.column("hashes")], dtype=np.int64)
+        cells = [unpacked(x) for x in table.column("hashes").to_pylist()]
+        sizes = np.array([len(x) for x in cells], dtype=np.int64)
+        hashes = np.concatenate([np.cumsum(x, dtype=np.uint64) for x in cells])
+        counts = np.concatenate([unpacked(x) for x in table.column("counts").to_pylist()])
         apart = np.repeat(table.column("apart").to_numpy(), sizes)
         known, of = np.unique(hashes, return_inverse=True)
-        fit = np.bincount(of, weights=np.where(apart, 0, counts), minlength=len(known)).astype(np.int64)
-        deleted = np.bincount(of, weights=np.where(apart, counts, 0), minlength=len(known)).astype(np.int64)
-        types = int(np.sum((fit + deleted > 0) & (known & np.uint64(1) == 0)))
+        fit = np.bincount(of, weights=np.where(apart, 0, counts), minlength=len(known)).astype(np.uint64)
+        every = np.bincount(of, weights=counts, minlength=len(known)).astype(np.uint64)
+        types = int(np.sum((every > 0) & (known & np.uint64(1) == 0)))
         ends = np.cumsum(sizes)
         back = pa.table(
             {
                 "block": table.column("block").combine_chunks(),
                 "part": table.column("part").combine_chunks(),
                 "types": pa.nulls(len(sizes), pa.int64()),
-                "fit": _pieces(fit[of], ends - sizes, ends),
-                "deleted": _pieces(deleted[of], ends - sizes, ends),
+                "fit": _cells(fit[of], ends - sizes, ends),
+                "every": _cells(every[of], ends - sizes, ends),
             }
         )
-        own = pa.table({"block": [-1], "part": [-1], "types": [types], "fit": [b""], "deleted": [b""]})
+        own = pa.table({"block": [-1], "part": [-1], "types": [types], "fit": [b""], "every": [b""]})
         return pa.concat_tables([back, own.cast(back.schema)])
 
     sent = map_arrow(
@@ -216,18 +226,28 @@ def _counts(blocks: DataFrame, parts: int) -> DataFrame:
         "part long, block long, apart boolean, hashes binary, counts binary",
     )
     found = sent.groupBy("part").applyInArrow(
-        total, "block long, part long, types long, fit binary, deleted binary"
+        total, "block long, part long, types long, fit binary, every binary"
     )
     return materialise(found, "counts")
 
 
-def _pieces(values: np.ndarray, start: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """Consecutive ranges of ``values`` as binary cells."""
-    width = values.dtype.itemsize
-    bounds = np.append(start, ends[-1:] if len(ends) else [0]).astype(np.int64) * width
-    data = pa.py_buffer(np.ascontiguousarray(values).tobytes())
-    cells = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(bounds.tobytes()), data])
-    return cells.cast(pa.binary())
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed planes of equal bytes; high bytes that are zero cost nothing."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    used = 8 - int(np.argmax(planes[::-1].any(axis=1))) if planes.any() else 0
+    return len(values).to_bytes(7, "little") + bytes([used]) + zstandard.compress(planes[:used].tobytes(), 1)
+
+
+def unpacked(cell: bytes) -> np.ndarray:
+    n, used = int.from_bytes(cell[:7], "little"), cell[7]
+    planes = np.zeros((8, n), dtype=np.uint8)
+    planes[:used] = np.frombuffer(zstandard.decompress(cell[8:]), dtype=np.uint8).reshape(used, n)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def _cells(values: np.ndarray, start: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Ranges of ``values`` as binary cells."""
+    return pa.array([packed(values[a:b]) for a, b in zip(start, ends, strict=True)], pa.binary())
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -235,11 +255,9 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
 
 
-def _returned(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    table = table.sort_by("part")
-    return tuple(
-        np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=np.int64) for name in ("fit", "deleted")
-    )
+def _returned(table: pa.Table, name: str) -> np.ndarray:
+    cells = table.sort_by("part").column(name).to_pylist()
+    return np.concatenate([unpacked(x) for x in cells]).astype(np.int64)
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -259,7 +277,7 @@ def _weights(blocks: DataFrame, counts: DataFrame, n_fit: int, types: int) -> np
         if left.num_rows:
             _, _, words, codes = _opened(next(_rows(left.combine_chunks().to_batches()[0])))
             _, word_at, pair_at, before, pair = _ngrams(words, codes)
-            fit = _returned(right)[0]
+            fit = _returned(right, "fit")
             context, both = fit[word_at[before]], fit[pair_at[pair]]
             with np.errstate(divide="ignore", invalid="ignore"):
                 bigram = _cell(both / context)
@@ -270,6 +288,7 @@ def _weights(blocks: DataFrame, counts: DataFrame, n_fit: int, types: int) -> np
 
     apart = blocks.where("apart").select("block", "roles", "sizes", "words", "codes")
     back = counts.where("block >= 0").join(apart.select("block"), "block", "left_semi")
+    back = back.select("block", "part", "fit")
     grouped = apart.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(cells, "cell long, n long")
     found = grouped.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     cell, n = found["cell"].to_numpy(np.int64), found["n"].to_numpy(np.float64)
@@ -323,7 +342,7 @@ def _scores(blocks, counts, source, weights, n_train, types):
         row = next(_rows(left.select(["roles", "sizes", "words", "codes"]).combine_chunks().to_batches()[0]))
         roles, sizes, words, codes = _opened(row)
         _, word_at, pair_at, before, pair = _ngrams(words, codes)
-        seen = np.add(*_returned(right))
+        seen = _returned(right, "every")
         context, own, both = seen[word_at[before]], seen[word_at[codes]], seen[pair_at[pair]]
         weight = weights[bucket_of(context)]
         p = weight[:, 0] * both / np.maximum(context, 1)
@@ -343,5 +362,5 @@ def _scores(blocks, counts, source, weights, n_train, types):
 
     ship(source.sparkSession)
     left = blocks.select("block", "ids", "roles", "sizes", "words", "codes")
-    right = counts.where("block >= 0").select("block", "part", "fit", "deleted")
+    right = counts.where("block >= 0").select("block", "part", "every")
     return left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(score, schema)
