@@ -90,7 +90,7 @@ def main():
     base = scratch_path(spark, "bench-output")
 
     def daily_run():
-        lookup = wl.run_stations(spark, station_text, "daily_network", base, catalog.SNAPSHOT)
+        lookup = wl.run_stations(spark, station_text, "daily_network", base, catalog.SNAPSHOT).lookup
         wl.run_daily(spark, daily_text, lookup, base, catalog.SNAPSHOT)
 
     timings["daily_text_to_parquet"] = seconds(daily_run)

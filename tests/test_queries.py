@@ -155,7 +155,9 @@ def test_best_source(spark):
         ("c", date, "TMIN", "UNKNOWN", 6.0, "", ""),
         ("c", date, "TMIN", "UNKNOWN", 7.0, "", "S"),
     ]
-    best = wl.best_source(spark.createDataFrame(rows, LONG))
+    frame = spark.createDataFrame(rows, LONG)
+    best = wl.best_source(frame)
+    assert best.columns == frame.columns and {r.dataset for r in best.collect()} == {"UNKNOWN"}
     assert {(r.id, r.element, r.value, r.sflag) for r in best.collect()} == {
         ("a", "TMAX", 2.0, "Z"),
         ("a", "TMIN", 4.0, "S"),

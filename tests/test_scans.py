@@ -229,7 +229,7 @@ def test_monthly_folder_with_station_list(spark, tmp_path):
         ("RAW", "Max"),
         ("TOB", "Min"),
     ]
-    assert scan.rejects.count() == 0
+    assert [r.file_name for r in scan.rejects.collect()] == ["network-v2.5-stations.txt"]
     left = [r.file_name for r in wl.unread_files(spark, str(tmp_path)).collect()]
     assert left == ["network-v2.5-stations.txt"]
 
@@ -280,15 +280,125 @@ def test_archives(spark, tmp_path):
                 info.size = len(data)
                 tar.addfile(info, io.BytesIO(data))
     paths = [(str(tmp_path / f"net.{a}.tar.gz"),) for a in range(2)]
-    lines = wl.unpack_archives(spark.createDataFrame(paths, "archive string"), batch_lines=2)
+    lines = wl.unpack_archives(spark.createDataFrame(paths, "archive string"), block_bytes=300)
     assert lines.count() == 12
     assert lines.select("archive", "file_name").distinct().count() == 6
-    assert lines.agg(F.max("line_no")).first()[0] == 3
+    assert sorted(r.row for r in lines.select("position.row").collect()) == [1] * 6 + [2] * 4 + [3] * 2
     parsed = wl.parse_monthly(lines)
     assert parsed.count() == 12
     assert {r.dataset for r in parsed.collect()} == {"RAW"}
 
 
+def tar_bytes(names, text=MONTHLY_LINE + "\n"):
+    import io
+    import tarfile
+
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w") as tar:
+        for name in names:
+            info = tarfile.TarInfo(f"release/{name}")
+            info.size = len(text.encode())
+            tar.addfile(info, io.BytesIO(text.encode()))
+    return out.getvalue()
+
+
+def unpacked(spark, path, **more):
+    return wl.unpack_archives(spark.createDataFrame([(str(path),)], "archive string"), **more)
+
+
+def test_archive_of_several_gzip_members(spark, tmp_path):
+    import gzip
+
+    plain = tar_bytes(["A.raw.tmax", "B.raw.tmax", "C.raw.tmax"])
+    (tmp_path / "two.tar.gz").write_bytes(gzip.compress(plain[:700]) + gzip.compress(plain[700:]))
+    assert unpacked(spark, tmp_path / "two.tar.gz").count() == 3
+    joined = gzip.compress(tar_bytes(["A.raw.tmax"])) + gzip.compress(tar_bytes(["B.raw.tmax"]))
+    (tmp_path / "joined.tar.gz").write_bytes(joined)
+    assert {r.file_name for r in unpacked(spark, tmp_path / "joined.tar.gz").collect()} == {"A.raw.tmax", "B.raw.tmax"}
+
+
+@pytest.mark.parametrize("cut", [1024, 1024 + 100, 600, 0, -600])
+def test_cut_archives_are_errors(spark, tmp_path, cut):
+    import gzip
+
+    plain = tar_bytes(["A.raw.tmax", "B.raw.tmax"])
+    end = 4 * 512  # two members, each a header and a block; the end mark follows
+    path = tmp_path / "cut.tar.gz"
+    path.write_bytes(gzip.compress(plain[: end + cut if cut < 0 else cut]) if cut < end else b"")
+    with pytest.raises(Exception, match="cut.tar.gz cannot be read to its end"):
+        unpacked(spark, path).count()
+    path.write_bytes(gzip.compress(plain)[:-20])
+    with pytest.raises(Exception, match="cut.tar.gz cannot be read to its end"):
+        unpacked(spark, path).count()
+
+
+def test_archive_lines_keep_their_bytes_and_numbers(spark, tmp_path):
+    import gzip
+
+    text = "é1\r\n\n" + "x" * 5000 + "\nlast"
+    (tmp_path / "t.tar.gz").write_bytes(gzip.compress(tar_bytes(["A.raw.tmax"], text)))
+    for size in (3, 100, 1 << 20):
+        rows = unpacked(spark, tmp_path / "t.tar.gz", block_bytes=size, spread=4).collect()
+        assert [r.line for r in sorted(rows, key=lambda r: r.position.row)] == ["é1\r", "", "x" * 5000, "last"]
+        assert sorted(r.position.row for r in rows) == [1, 2, 3, 4]
+    plan = unpacked(spark, tmp_path / "t.tar.gz", spread=4)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobin" not in plan
+
+
+def test_archive_paths(spark, tmp_path, monkeypatch):
+    import gzip
+    import os
+
+    (tmp_path / "t.tar.gz").write_bytes(gzip.compress(tar_bytes(["A.raw.tmax"])))
+    relative = os.path.relpath(tmp_path / "t.tar.gz")
+    for path in (relative, f"file:{tmp_path}/t.tar.gz", f"file://{tmp_path}/t.tar.gz", str(tmp_path / "t.tar.gz")):
+        assert unpacked(spark, path).count() == 1
+
+
+def test_archives_can_be_profiled(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "t.tar.gz").write_bytes(gzip.compress(tar_bytes(["B.raw.tmax", "A.raw.tmax", "0.raw.tmin"])))
+    archives = spark.createDataFrame([(str(tmp_path / "t.tar.gz"),)], "archive string")
+    found = wl.examine_archives(archives)
+    assert [tuple(r) for r in found["statistics"].collect()] == [("A.raw.tmax", 1, len(MONTHLY_LINE))]
+    assert found["sample"].count() == 1 and found["profile"].first().n_stations == 1
+
+
+def test_last_list_wins_whatever_its_size(spark, tmp_path):
+    def line(lat):
+        return STATION_LINES[0][:12] + f"{lat:8.4f}" + STATION_LINES[0][20:]
+
+    for small, large in (("a", "b"), ("b", "a")):
+        lists = []
+        for name, lat in (("a", 11.0), ("b", 22.0)):
+            path = tmp_path / f"{small}{name}.txt"
+            more = 3000 if name == large else 0
+            filler = [line(1.0).replace("USH00011084", f"USH{i:08d}") for i in range(90_000_00, 90_000_00 + more)]
+            path.write_text("\n".join([line(lat), *filler]) + "\n")
+            lists.append(str(path))
+        lookup = wl.station_lookup(wl.scan_stations(spark, lists, "monthly_network"))
+        assert lookup.filter("id = 'USH00011084'").first().lat == 22.0
+        lookup = wl.station_lookup(wl.scan_stations(spark, lists[::-1], "monthly_network"))
+        assert lookup.filter("id = 'USH00011084'").first().lat == 11.0
+
+
+def test_short_names_of_stations(spark, tmp_path):
+    (tmp_path / "list.txt").write_text(STATION_LINES[0][:44] + "\n" + STATION_LINES[0][:30] + "\n")
+    run = wl.run_stations(spark, str(tmp_path / "list.txt"), "monthly_network", str(tmp_path / "out"), "2025-06-27")
+    assert run.lookup.count() == 1
+    assert wl.read_stations(spark, str(tmp_path / "out")).first().name == STATION_LINES[0][41:44].strip()
+    assert run.rejects.count() == 1
+
+
+def test_carriage_return_is_no_flag(lines_of):
+    full = monthly = MONTHLY_LINE[:123]
+    for line in (full, monthly + "\r"):
+        long = wl.to_monthly_long(wl.parse_monthly(lines_of([line], "X.raw.tmax")), flags=True)
+        assert long.orderBy("date").collect()[-1].dsflag == ""
+        assert "\r" not in "".join(r.chunk for r in wl.explain_layout(lines_of([line])).collect())
+
+
 def test_archive_manifest(spark):
     names = [r.archive for r in wl.archive_manifest(spark, "hcn", "store/v2").collect()]
     assert len(names) == len(set(names)) == 9

@@ -40,7 +40,7 @@ def codecs(path):
 
 def test_daily_run(spark, archive):
     base = str(archive / "out")
-    lookup = wl.run_stations(spark, str(archive / "lists"), "daily_network", base, "2025-06-27")
+    lookup = wl.run_stations(spark, str(archive / "lists"), "daily_network", base, "2025-06-27").lookup
     run = wl.run_daily(spark, str(archive / "daily"), lookup, base, "2025-06-27")
     assert run.readings == {"UNKNOWN": 72}
     assert run.rejects.count() == 0
@@ -60,7 +60,7 @@ def test_daily_run(spark, archive):
 
 def test_monthly_run(spark, archive):
     base = str(archive / "out")
-    lookup = wl.run_stations(spark, str(archive / "lists"), "daily_network", base, "2025-06-27")
+    lookup = wl.run_stations(spark, str(archive / "lists"), "daily_network", base, "2025-06-27").lookup
     run = wl.run_monthly(spark, str(archive / "monthly"), lookup, base, "2025-06-27")
     assert run.readings == {"RAW": 3, "TOB": 3, "FLS52": 3, "UNKNOWN": 0}
     assert codecs(run.path) == {"SNAPPY"}
@@ -72,6 +72,34 @@ def test_monthly_run(spark, archive):
     assert "PartitionFilters: [isnotnull(dataset" in plan
     wl.run_monthly(spark, str(archive / "monthly"), lookup, base, "2025-06-27")
     assert wl.read_monthly(spark, base).count() == 108
+    # a rerun without a dataset leaves nothing of it behind
+    kept = wl.run_monthly(spark, str(archive / "monthly" / "*.raw.*"), lookup, base, "2025-06-27")
+    assert sorted(p.name for p in pathlib.Path(kept.path).iterdir() if p.is_dir()) == ["dataset=raw"]
+
+
+def test_unknown_names_are_read_and_station_lists_rejected(spark, tmp_path):
+    folder = tmp_path / "monthly"
+    folder.mkdir()
+    for name in ("USH00000001.raw.tmax", "USH00000001", "unknown.file", "USH00000001.RAW.tmax"):
+        (folder / name).write_text(monthly_line([1] * 12) + "\n")
+    (folder / "stations.txt").write_text(station_line("USC00000001", "40.5", "-100.25") + "\n")
+    lookup = spark.createDataFrame([], "id string, lat float, lon float")
+    run = wl.run_monthly(spark, str(folder), lookup, str(tmp_path / "out"), "2025-06-27")
+    assert run.readings == {"RAW": 1, "TOB": 0, "FLS52": 0, "UNKNOWN": 3}
+    assert [r.file_name for r in run.rejects.collect()] == ["stations.txt"]
+
+
+def test_snapshots_are_not_merged(spark, archive):
+    base = str(archive / "out")
+    lookup = spark.createDataFrame([], "id string, lat float, lon float")
+    for date, pattern in (("2025-06-26", "*.raw.*"), ("2025-06-27", "*")):
+        wl.run_monthly(spark, str(archive / "monthly" / pattern), lookup, base, date)
+    both = wl.to_monthly_wide(wl.read_monthly(spark, base))
+    assert {str(r.snapshot_date) for r in both.collect()} == {"2025-06-26", "2025-06-27"}
+    newest = wl.read_monthly(spark, base, snapshot="latest")
+    assert newest.count() == 108 and wl.snapshot_dates(spark, f"{base}/monthly")[-1] == "2025-06-27"
+    assert "2025-06-26" not in "".join(newest.inputFiles())
+    assert wl.read_monthly(spark, base, snapshot="2025-06-26").count() == 36
 
 
 @pytest.mark.parametrize("bad_records", ["quarantine", "drop_file"])
@@ -93,7 +121,9 @@ def test_monthly_archive_run(spark, archive, bad_records):
     run = wl.run_monthly_archives(archives, lookup, base, "2025-06-27", bad_records)
     kept = 4 if bad_records == "quarantine" else 3
     assert run.readings == {"RAW": kept, "TOB": 3, "FLS52": 3, "UNKNOWN": 0}
-    assert [r.file_name for r in run.rejects.collect()] == ["broken.raw.tmin"]
+    assert sorted(r.file_name for r in run.rejects.collect()) == [
+        "broken.raw.tmin", "network-v2.5-stations.txt"
+    ]
     assert wl.read_monthly(spark, base).count() == 12 * (kept + 6)
     spread = wl.unpack_archives(archives, spread=5)
     assert spread.rdd.getNumPartitions() == 5
@@ -150,6 +180,15 @@ def test_stream_equals_batch(spark, archive):
         return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
     assert same(run(), batch())
+    # with rejects
+    (archive / "daily" / "bad.dly").write_text("short\nUSC0000000119x401TMAX\n")
+    rejects, state = str(archive / "rejects"), str(archive / "state")
+    lines = wl.landing_lines(spark, str(archive / "daily"))
+    wl.append_with_rejects(lines, lookup, f"{out}2", rejects, state).awaitTermination(120)
+    assert same(spark.read.parquet(f"{out}2").drop("batch"), batch())
+    assert sorted((r.file_name, r.reason) for r in spark.read.parquet(rejects).collect()) == [
+        ("bad.dly", "bad year"), ("bad.dly", "short line")
+    ]
     # a restart adds only the new file
     (archive / "daily" / "late.dly").write_text(daily_line([3] * 31, id="USC00000009") + "\n")
     assert same(run(), batch())

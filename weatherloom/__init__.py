@@ -29,6 +29,8 @@ from .operators.joins import (
     station_lookup,
 )
 from .operators.profile import (
+    examine_archives,
+    examine_lines,
     examine_sample,
     explain_layout,
     file_statistics,
@@ -83,10 +85,11 @@ from .sources.snapshots import (
     read_daily,
     read_monthly,
     read_stations,
+    snapshot_dates,
     write_daily,
     write_monthly,
     write_stations,
 )
 from .sources.stations import parse_stations, rejected_stations, scan_stations
 from .sources.text import list_files, read_lines
-from .streaming.landing import append_daily, landing_lines, stream_daily
+from .streaming.landing import append_daily, append_with_rejects, landing_lines, stream_daily

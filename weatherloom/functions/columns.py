@@ -94,11 +94,16 @@ def slot_value(raw: Column, slot: Column, length: Column, layout: SlotLayout) ->
     return value
 
 
-def slot_flags(raw: Column, slot: Column, layout: SlotLayout) -> list[Column]:
-    """The one-character flags behind the value of one slot, blanks as ''."""
+def slot_flags(raw: Column, slot: Column, length: Column, layout: SlotLayout) -> list[Column]:
+    """The one-character flags behind the value of one slot, blanks as ''.
+
+    A flag the line does not reach is blank too; ``length`` leaves out a carriage
+    return.
+    """
     first = slot_start(slot, layout) + F.lit(layout.value_width + 1)
+    flag = [F.substring(raw, first + F.lit(i), F.lit(1)).cast("string") for i in range(len(layout.flags))]
     return [
-        F.trim(F.substring(raw, first + F.lit(i), F.lit(1)).cast("string")).alias(name)
+        F.when(first + F.lit(i) <= length, F.trim(flag[i])).otherwise("").alias(name)
         for i, name in enumerate(layout.flags)
     ]
 
@@ -115,10 +120,11 @@ def slot_values(raw: Column, length: Column, layout: SlotLayout) -> Column:
 
 def line_chunks(raw: Column, start: int, width: int, count: int) -> Column:
     """Up to ``count`` chunks of ``width`` bytes from ``start``; the last one
-    may be short and empty ones are left out."""
+    may be short and empty ones are left out. A carriage return is no part."""
+    line = F.substring(raw, F.lit(1), line_length(raw))
     chunks = F.transform(
         F.sequence(F.lit(0), F.lit(count - 1)),
-        lambda i: F.substring(raw, F.lit(start + 1) + i * F.lit(width), F.lit(width)).cast(
+        lambda i: F.substring(line, F.lit(start + 1) + i * F.lit(width), F.lit(width)).cast(
             "string"
         ),
     )

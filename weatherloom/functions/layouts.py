@@ -74,8 +74,9 @@ class StationLayout:
     id_placeholder: tuple[int, int] = (3, 5)
     coop_id: tuple[int, int] = (5, 11)
     state: tuple[int, int] = (38, 40)
+    # the last field: a line whose trailing blanks were stripped ends inside it
     station_name: tuple[int, int] = (41, 71)
-    min_length: int = 71
+    min_length: int = 40
 
 
 # --- fixed values: where the fields stand in a record -----------------------

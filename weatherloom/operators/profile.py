@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import cut, line_bytes, line_chunks, line_length, unsigned_int
 from ..functions.layouts import MONTHLY, SlotLayout
+from ..session import materialise
+from ..sources.archives import unpack_archives
 from ..sources.text import list_files, read_lines
 
 # lines shorter than the header are left out of the statistics
@@ -49,12 +51,17 @@ def profile_monthly(lines: DataFrame, first_lines: int | None = None) -> DataFra
     parsed = lines.filter(line_length(raw) >= HEADER_LENGTH).select(
         cut(raw, MONTHLY.id).alias("id"), unsigned_int(cut(raw, MONTHLY.year), 4).alias("year")
     )
-    return parsed.agg(
-        F.count_distinct("id").alias("n_stations"),
-        F.count_distinct("year").alias("n_years"),
+    # one row per station and year first; both counts read these few rows
+    pairs = parsed.groupBy("id", "year").agg(F.count(F.lit(1)).alias("n_lines"))
+    stations = pairs.select("id").distinct().agg(F.count("id").alias("n_stations"))
+    years = pairs.select("year").distinct().agg(
+        F.count("year").alias("n_years"),
         F.min("year").alias("first_year"),
         F.max("year").alias("last_year"),
     )
+    return years.select(
+        stations.scalar().alias("n_stations"), "n_years", "first_year", "last_year"
+    )
 
 
 def file_statistics(lines: DataFrame) -> DataFrame:
@@ -97,11 +104,28 @@ def examine_sample(
     spark: SparkSession, path: str, suffix: str = "tmax", count: int = 5
 ) -> dict[str, DataFrame]:
     """Profile of the first matching file of a folder: its statistics, sample
-    lines, the layout of its first line, and its stations and years."""
+    lines, the layout of its first line, and its stations and years. Only this
+    file is read."""
     found = first_matching_file(spark, path, suffix)
     if found is None:
         return {}
-    lines = read_lines(spark, found, with_position=True)
+    return examine_lines(read_lines(spark, found, with_position=True), count)
+
+
+def examine_archives(
+    archives: DataFrame, suffix: str = "tmax", count: int = 5
+) -> dict[str, DataFrame]:
+    """The same of the first matching member of archives, by member name.
+
+    The lines are unpacked once and stored, since a member is only found by
+    reading its archive.
+    """
+    lines = materialise(unpack_archives(archives), "archive-lines")
+    return examine_lines(first_file_lines(lines, suffix), count)
+
+
+def examine_lines(lines: DataFrame, count: int = 5) -> dict[str, DataFrame]:
+    """Statistics, sample, layout of the first line, and profile of a file's lines."""
     return {
         "statistics": file_statistics(lines),
         "sample": sample_lines(lines, count),

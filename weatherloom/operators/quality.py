@@ -35,29 +35,45 @@ def average_from_extremes(wide: DataFrame, dataset: str = "raw") -> DataFrame:
 def isolated_values(monthly_long: DataFrame, months: int = ISOLATION_MONTHS) -> DataFrame:
     """Values with no other value within ``months`` months on either side.
 
-    Rows are first reduced to one per station, dataset, element and month, so
-    that a window holds at most one row per calendar month however many rows
-    the station has. Only the direct neighbours are needed, no frame is built.
+    Rows are first reduced to one per station, dataset, element and *year* with
+    twelve values, so that both shuffles carry a row per year and a window holds
+    at most one row per calendar year. Only the nearest months count: those in
+    the row itself, the last one of the year before it and the first after it.
     """
     series = ["id", "dataset", "element"]
-    values = (
-        monthly_long.filter(F.col("value").isNotNull() & F.col("date").isNotNull())
-        .groupBy(*series, "date")
-        .agg(F.max("value").alias("value"))
-        .withColumn("month_no", F.year("date") * 12 + F.month("date"))
+    year = monthly_long.filter(F.col("value").isNotNull() & F.col("date").isNotNull()).groupBy(
+        *series, F.year("date").alias("year")
     )
-    order = Window.partitionBy(*series).orderBy("month_no")
-    before = F.col("month_no") - F.lag("month_no").over(order)
-    after = F.lead("month_no").over(order) - F.col("month_no")
-    return (
-        values.withColumn("before", before)
-        .withColumn("after", after)
-        .filter(
-            (F.col("before").isNull() | (F.col("before") > months))
-            & (F.col("after").isNull() | (F.col("after") > months))
+    values = year.agg(
+        *[
+            F.max(F.when(F.month("date") == i + 1, F.col("value"))).alias(name)
+            for i, name in enumerate(SERIES)
+        ]
+    )
+    filled = F.array_compact(
+        F.array(
+            *[
+                F.when(F.col(name).isNotNull(), F.struct((F.col("year") * 12 + i).alias("month"), F.col(name).alias("value")))
+                for i, name in enumerate(SERIES)
+            ]
         )
-        .select(*series, "date", "value")
+    )
+    order = Window.partitionBy(*series).orderBy("year")
+    rows = values.select(*series, "year", filled.alias("filled"))
+    rows = rows.select(
+        *series,
+        "filled",
+        F.lag(F.element_at("filled", -1)["month"]).over(order).alias("last_before"),
+        F.lead(F.element_at("filled", 1)["month"]).over(order).alias("first_after"),
     )
+    place = F.posexplode("filled").alias("place", "own")
+    one = rows.select(*series, "filled", "last_before", "first_after", place)
+    before = F.coalesce(F.get("filled", F.col("place") - 1)["month"], F.col("last_before"))
+    after = F.coalesce(F.get("filled", F.col("place") + 1)["month"], F.col("first_after"))
+    month = F.col("own.month")
+    alone = (before.isNull() | (month - before > months)) & (after.isNull() | (after - month > months))
+    date = F.make_date(F.floor(month / 12).cast("int"), (month % 12 + 1).cast("int"), F.lit(1))
+    return one.filter(alone).select(*series, date.alias("date"), F.col("own.value").alias("value"))
 
 
 def annual_series(readings: DataFrame) -> DataFrame:
@@ -94,17 +110,22 @@ def best_source(
     priority: str = SOURCE_PRIORITY,
     keys: Sequence[str] = ("id", "date", "element"),
 ) -> DataFrame:
-    """One value per key: that of the most trusted source.
+    """One row per key, with all its columns: that of the most trusted source.
 
-    Unlisted sources rank last and equal ranks go to the largest value. A
-    grouped minimum keeps one candidate per key and task before the shuffle,
-    where a ranking window would ship every copy to one task.
+    Unlisted sources rank last and equal ranks go to the largest value, then to
+    the smallest of the other columns in order. A grouped minimum keeps one
+    candidate per key and task before the shuffle, where a ranking window would
+    ship every copy to one task.
     """
     listed = F.nullif(F.instr(F.lit(priority), F.col("sflag")), F.lit(0))
     rank = F.coalesce(F.when(F.col("sflag") != "", listed), F.lit(len(priority) + 1))
-    best = F.min(F.struct(rank.alias("rank"), (-F.col("value")).alias("negated"), "sflag"))
+    rest = [name for name in daily_long.columns if name not in (*keys, "value")]
+    best = F.min(F.struct(rank.alias("rank"), (-F.col("value")).alias("negated"), *rest))
+    own = {name: F.col(name) for name in keys}
+    own |= {name: F.col(f"best.{name}").alias(name) for name in rest}
+    own["value"] = (-F.col("best.negated")).alias("value")
     return (
         daily_long.groupBy(*keys)
         .agg(best.alias("best"))
-        .select(*keys, (-F.col("best.negated")).alias("value"), F.col("best.sflag").alias("sflag"))
+        .select(*(own[name] for name in daily_long.columns))
     )

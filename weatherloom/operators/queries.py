@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import point
+from .reshape import snapshot_key
 
 
 def of_element(daily: DataFrame, element: str) -> DataFrame:
@@ -108,7 +109,7 @@ def compare_quality(
     before, after = f"{element}_{base}", f"{element}_{corrected}"
     paired = (
         monthly.filter(F.col(before).isNotNull() | F.col(after).isNotNull())
-        .groupBy("id", "date")
+        .groupBy("id", "date", *snapshot_key(monthly))
         .agg(F.max(before).alias(before), F.max(after).alias(after))
     )
     return complete_rows(paired, ["id", "date", before, after]).withColumn(

@@ -42,7 +42,7 @@ def record_value(df: DataFrame, layout: SlotLayout, slot: Column) -> Column:
 
 
 def _flags(df: DataFrame, layout: SlotLayout, flags: bool) -> list[Column]:
-    return slot_flags(F.col("raw"), F.col("slot"), layout) if flags else []
+    return slot_flags(F.col("raw"), F.col("slot"), F.col("length"), layout) if flags else []
 
 
 def explode_values(readings: DataFrame, layout: SlotLayout, *keep: str) -> DataFrame:
@@ -135,7 +135,12 @@ def to_monthly_wide(sparse: DataFrame) -> DataFrame:
     before the one shuffle, so a station with very many rows costs no more than
     its number of months.
     """
-    keys = ["id", "date", "lat", "lon"]
+    keys = ["id", "date", "lat", "lon", *snapshot_key(sparse)]
     return sparse.groupBy(*keys).agg(*[F.max(name).alias(name) for name in MEASURES]).select(
-        *MONTHLY_COLUMNS
+        *MONTHLY_COLUMNS, *snapshot_key(sparse)
     )
+
+
+def snapshot_key(rows: DataFrame) -> list[str]:
+    """Rows of several snapshots are never merged: their date is a key like others."""
+    return ["snapshot_date"] if "snapshot_date" in rows.columns else []

@@ -12,18 +12,17 @@ from pyspark.sql import functions as F
 from ..functions.layouts import CORE_ELEMENTS, MONTHLY, StationLayout
 from ..operators.joins import inject_coords, station_lookup
 from ..operators.reshape import to_daily_long, to_monthly_sparse
-from ..session import materialise
+from ..session import materialise, remove, stored
 from ..sources.archives import unpack_archives
 from ..sources.readings import (
     Scan,
-    is_monthly_file,
     parse_monthly,
     scan_daily,
     scan_monthly,
     split_bad_records,
 )
 from ..sources.snapshots import write_daily, write_monthly, write_stations
-from ..sources.stations import scan_stations
+from ..sources.stations import parse_stations, rejected_stations, station_lines
 
 
 class Run(NamedTuple):
@@ -34,12 +33,19 @@ class Run(NamedTuple):
     rejects: DataFrame
 
 
+class Stations(NamedTuple):
+    """Where a station list was written, its lookup, and the lines it rejected."""
+
+    path: str
+    lookup: DataFrame
+    rejects: DataFrame
+
+
 def _counted(readings: DataFrame, datasets: Sequence[str]) -> tuple[DataFrame, Observation]:
-    """Count readings per dataset while they flow to the sink.
+    """Count located readings per dataset while they flow to the sink.
 
-    Exact in a run of one stage, where every task counts once. If the coordinate
-    join had to shuffle and executors were lost, repeated tasks count again; the
-    table itself is not affected.
+    After the coordinate join, which keeps the number of rows, the counters run
+    in the stage that writes, where every task counts once.
     """
     observation = Observation()
     counters = [F.count_if(F.col("dataset") == name).alias(name) for name in datasets]
@@ -52,13 +58,15 @@ def run_stations(
     layout: StationLayout | str,
     base: str,
     snapshot_date: datetime.date | str,
-) -> DataFrame:
-    """Station list to Parquet; returns the coordinate lookup, stored once for
-    the runs that join it."""
-    stations = scan_stations(spark, paths, layout)
+) -> Stations:
+    """Station lists to Parquet. The list is read once; the coordinate lookup is
+    stored for the runs that join it."""
+    lines = station_lines(spark, paths)
+    stations = materialise(parse_stations(lines, layout), "stations")
     network = layout if isinstance(layout, str) else layout.name
-    write_stations(stations, base, network, snapshot_date)
-    return materialise(station_lookup(stations), "station-lookup")
+    path = write_stations(stations, base, network, snapshot_date)
+    lookup = materialise(station_lookup(stations), "station-lookup")
+    return Stations(path, lookup, rejected_stations(lines, layout))
 
 
 def run_daily(
@@ -76,8 +84,8 @@ def run_daily(
     ranges for element and date filters.
     """
     scan = scan_daily(spark, paths, elements, bad_records)
-    readings, counts = _counted(scan.readings, ["UNKNOWN"])
-    long = to_daily_long(inject_coords(readings, lookup), cluster=True)
+    located, counts = _counted(inject_coords(scan.readings, lookup), ["UNKNOWN"])
+    long = to_daily_long(located, cluster=True)
     path = write_daily(long, base, snapshot_date)
     return Run(path, counts.get, scan.rejects)
 
@@ -85,8 +93,10 @@ def run_daily(
 def _run_monthly(
     scan: Scan, lookup: DataFrame, base: str, snapshot_date: datetime.date | str
 ) -> Run:
-    readings, counts = _counted(scan.readings, ["RAW", "TOB", "FLS52", "UNKNOWN"])
-    sparse = to_monthly_sparse(inject_coords(readings, lookup), keep_dataset=True)
+    located, counts = _counted(
+        inject_coords(scan.readings, lookup), ["RAW", "TOB", "FLS52", "UNKNOWN"]
+    )
+    sparse = to_monthly_sparse(located, keep_dataset=True)
     path = write_monthly(sparse, base, snapshot_date)
     return Run(path, counts.get, scan.rejects)
 
@@ -113,10 +123,15 @@ def run_monthly_archives(
     """Monthly archives to one sparse Parquet table per dataset.
 
     The lines are unpacked once, to a table that many tasks can read; only
-    decompression is bound to one task per archive. Members that are not data
-    files, such as a station list, are left out by name.
+    decompression is bound to one task per archive. Every member is read: lines
+    that are no records, such as those of a station list, are among the rejects,
+    which are stored before the unpacked lines are removed.
     """
-    lines = materialise(unpack_archives(archives), "archive-lines").select("file_name", "line")
-    lines = lines.filter(is_monthly_file(F.col("file_name")))
+    spark = archives.sparkSession
+    lines, path = stored(unpack_archives(archives), "archive-lines")
+    lines = lines.select("file_name", "line")
     scan = split_bad_records(lines, parse_monthly(lines), MONTHLY, bad_records)
-    return _run_monthly(scan, lookup, base, snapshot_date)
+    run = _run_monthly(scan, lookup, base, snapshot_date)
+    rejects = materialise(run.rejects, "rejects")
+    remove(spark, path)
+    return run._replace(rejects=rejects)

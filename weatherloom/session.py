@@ -40,6 +40,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if folder:
+        if folder.startswith("file:") and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is a local folder; executors cannot share it")
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(folder)
         return folder
@@ -61,7 +63,37 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage and keeps column pruning and filter pushdown for the
     readers of the result.
     """
+    return stored(df, name)[0]
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Like ``materialise``, with the path, for a caller that removes it."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that is not read any more."""
+    files, hadoop = _file_system(spark, path)
+    files.delete(hadoop, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and authority that the session's settings give it."""
+    files, hadoop = _file_system(spark, path)
+    return files.makeQualified(hadoop).toString()
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names one level below a folder; none where it does not exist."""
+    files, hadoop = _file_system(spark, path)
+    if not files.exists(hadoop):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(hadoop))

@@ -9,16 +9,35 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.layouts import ARCHIVE_DATASETS, ARCHIVE_ELEMENTS
+from ..session import qualified
 
-LINE_SCHEMA = "archive string, file_name string, line_no long, line binary"
+BLOCK_SCHEMA = (
+    "archive string, file_name string, block long, first_line long, content binary"
+)
+BLOCK_BYTES = 4 << 20
 
 
 def arrow_uri(path: Column) -> Column:
-    """A path as Spark names it, as Arrow's file systems name it."""
-    local = F.regexp_replace(path, r"^file:/+", "/")
+    """A qualified path as Spark names it, as Arrow's file systems name it."""
+    local = F.regexp_replace(path, r"^file:/+", "file:///")
     return F.regexp_replace(local, r"^s3a://", "s3://")
 
 
+def qualified_path(spark: SparkSession, path: Column) -> Column:
+    """Paths with scheme and authority, by the session's settings.
+
+    Tasks do not know the default file system or the working folder; both are
+    asked for once.
+    """
+    root = qualified(spark, "/").rstrip("/")
+    here = qualified(spark, ".").rstrip("/")
+    return (
+        F.when(path.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), path)
+        .when(path.startswith("/"), F.concat(F.lit(root), path))
+        .otherwise(F.concat(F.lit(f"{here}/"), path))
+    )
+
+
 def archive_manifest(
     spark: SparkSession,
     network: str,
@@ -50,65 +69,116 @@ def archive_manifest(
 def unpack_archives(
     archives: DataFrame,
     spread: int | None = None,
-    batch_lines: int = 20_000,
+    block_bytes: int = BLOCK_BYTES,
     max_tasks: int = 20_000,
 ) -> DataFrame:
-    """The lines of the archives named in column ``archive``.
+    """The lines of the archives named in column ``archive``, with ``file_name``
+    and ``position`` (block, row), where the row is the line's number.
 
     A gzip stream cannot be split: every archive gets a task of its own, up to
-    ``max_tasks`` tasks, beyond which some tasks read several. Members are
-    streamed: at most ``batch_lines`` lines are held at a time, whatever the
-    archive's size. Paths are opened through Arrow's file systems, so they may
-    lie on any shared store, and a lost task just reads its archive again.
-
-    ``spread`` deals the lines out to that many tasks, evenly and without a key,
-    so that a large archive binds one task for decompression only. Store the
-    lines once when they are used more than once.
+    ``max_tasks`` tasks, beyond which some tasks read several. That task only
+    decompresses: it passes on blocks of whole lines, about ``block_bytes`` each,
+    which are cut into lines by the JVM. ``spread`` deals the blocks out to that
+    many tasks before they are cut.
+
+    All members of the gzip stream and all tar files in it are read. A damaged
+    archive, or one that ends before the end mark of its last tar file, is an error
+    that names it. Paths are opened through Arrow's file systems, so they may lie on
+    any shared store, and a lost task just reads its archive again.
     """
+    spark = archives.sparkSession
     archives = archives.select("archive").distinct()
-    paths = archives.withColumn("uri", arrow_uri(F.col("archive")))
+    paths = archives.withColumn("uri", arrow_uri(qualified_path(spark, F.col("archive"))))
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tarfile
-
         import pyarrow
-        from pyarrow import fs
-
-        def batch_of(archive, names, numbers, lines):
-            return pyarrow.RecordBatch.from_arrays(
-                [
-                    pyarrow.array([archive] * len(lines), pyarrow.string()),
-                    pyarrow.array(names, pyarrow.string()),
-                    pyarrow.array(numbers, pyarrow.int64()),
-                    pyarrow.array(lines, pyarrow.binary()),
-                ],
-                names=["archive", "file_name", "line_no", "line"],
-            )
 
+        schema = pyarrow.schema(
+            [
+                ("archive", pyarrow.string()), ("file_name", pyarrow.string()),
+                ("block", pyarrow.int64()), ("first_line", pyarrow.int64()), ("content", pyarrow.binary()),
+            ]
+        )
         for batch in batches:
             for archive, uri in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                store, path = fs.FileSystem.from_uri(uri)
-                names, numbers, lines = [], [], []
-                with (
-                    store.open_input_stream(path, compression=None) as stream,
-                    tarfile.open(fileobj=stream, mode="r|gz") as tar,
-                ):
-                    for member in tar:
-                        if not member.isfile():
-                            continue
-                        name = member.name.rsplit("/", 1)[-1]
-                        for number, line in enumerate(tar.extractfile(member), start=1):
-                            names.append(name)
-                            numbers.append(number)
-                            lines.append(line.removesuffix(b"\n"))
-                            if len(lines) >= batch_lines:
-                                yield batch_of(archive, names, numbers, lines)
-                                names, numbers, lines = [], [], []
-                if lines:
-                    yield batch_of(archive, names, numbers, lines)
+                for number, block in enumerate(archive_blocks(archive, uri, block_bytes)):
+                    name, first, content = block
+                    row = dict(archive=archive, file_name=name, block=number, first_line=first, content=content)
+                    yield pyarrow.RecordBatch.from_pylist([row], schema)
 
     apart = paths.repartitionByRange(min(max(paths.count(), 1), max_tasks), "archive")
-    lines = apart.mapInArrow(unpack, LINE_SCHEMA)
+    blocks = apart.mapInArrow(unpack, BLOCK_SCHEMA)
     if spread:
-        lines = lines.repartition(spread)
-    return lines.withColumn("line", F.col("line").cast("string"))
+        blocks = blocks.repartition(spread, "archive", "block")
+    # one byte, one letter: lines in any encoding come out byte for byte
+    letters = F.decode("content", "ISO-8859-1")
+    lines = blocks.select(
+        "archive", "file_name", "block", "first_line",
+        F.posexplode(F.split(letters, "\n")).alias("row", "letters"),
+    )
+    return lines.select(
+        "archive",
+        "file_name",
+        F.struct("block", (F.col("first_line") + F.col("row")).alias("row")).alias("position"),
+        F.encode("letters", "ISO-8859-1").cast("string").alias("line"),
+    )
+
+
+def archive_blocks(archive: str, uri: str, block_bytes: int) -> Iterator[tuple[str, int, bytes]]:
+    """(member, number of the first line, bytes of whole lines) of one archive.
+
+    A block ends before a line feed or at the end of its member, so an empty
+    member has none and a line longer than ``block_bytes`` is one block.
+    """
+    import gzip
+    import tarfile
+    import zlib
+
+    from pyarrow import fs
+
+    ended = False
+
+    class Header(tarfile.TarInfo):
+        """Tells the end mark from the end of the data, and lets no bad header pass."""
+
+        @classmethod
+        def frombuf(cls, buffer, encoding, errors):
+            nonlocal ended
+            if not buffer:
+                return super().frombuf(buffer, encoding, errors)
+            ended = len(buffer) == tarfile.BLOCKSIZE and not any(buffer)
+            try:
+                return super().frombuf(buffer, encoding, errors)
+            except (tarfile.InvalidHeaderError, tarfile.TruncatedHeaderError) as error:
+                raise ValueError(str(error)) from error
+
+    try:
+        store, path = fs.FileSystem.from_uri(uri)
+        with (
+            store.open_input_stream(path, compression=None) as stream,
+            gzip.GzipFile(fileobj=stream) as plain,
+            tarfile.open(fileobj=plain, mode="r|", tarinfo=Header, ignore_zeros=True) as tar,
+        ):
+            for member in tar:
+                if member.isfile():
+                    name = member.name.rsplit("/", 1)[-1]
+                    for first, content in _line_blocks(tar.extractfile(member), block_bytes):
+                        yield name, first, content
+        if not ended:
+            raise ValueError("it ends before the end mark")
+    except (tarfile.TarError, zlib.error, EOFError, OSError, ValueError) as error:
+        raise ValueError(f"archive {archive} cannot be read to its end: {error}") from error
+
+
+def _line_blocks(member, block_bytes: int) -> Iterator[tuple[int, bytes]]:
+    first, rest = 1, b""
+    while chunk := member.read(block_bytes):
+        whole, feed, tail = chunk.rpartition(b"\n")
+        if feed:
+            content = rest + whole
+            yield first, content
+            first, rest = first + content.count(b"\n") + 1, tail
+        else:
+            rest += chunk
+    if rest:
+        yield first, rest

@@ -29,16 +29,11 @@ from ..functions.layouts import CORE_ELEMENTS, DAILY, MONTHLY, SlotLayout
 from ..operators.joins import exclude_files
 from .text import list_files, read_lines
 
-# Monthly data files: three-part names of the raw and tob sets, and four-part
-# names. The station list that lies in the same folder has neither form.
+# Names of monthly data files, for callers that choose by name: three-part names
+# of the raw and tob sets, and four-part names.
 MONTHLY_FILE_PATTERN = "{*.raw.*,*.tob.*,*.*.*.*}"
 
 
-def is_monthly_file(file_name: Column) -> Column:
-    """The same choice of monthly data files, for lines that carry their name."""
-    return file_name.rlike(r"\.(raw|tob)\.|\..*\..*\.")
-
-
 class Scan(NamedTuple):
     """Readings and what was turned away."""
 
@@ -174,16 +169,23 @@ def scan_monthly(
     paths: str | Sequence[str],
     bad_records: str = "quarantine",
     recursive: bool = False,
-    pattern: str | None = MONTHLY_FILE_PATTERN,
+    pattern: str | None = None,
 ) -> Scan:
-    """Monthly readings of a directory of fixed-width files."""
+    """Monthly readings of a directory of fixed-width files.
+
+    Every file is read and its lines decide: what is no record, such as a line of
+    a station list, is among the rejects, and records of a file with an unknown
+    name have an unknown dataset and element. ``pattern`` narrows the choice.
+    """
     lines = read_lines(spark, paths, pattern=pattern, recursive=recursive)
     return split_bad_records(lines, parse_monthly(lines), MONTHLY, bad_records)
 
 
-def unread_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files of a monthly folder that ``scan_monthly`` leaves out by name."""
-    matched = list_files(spark, path, MONTHLY_FILE_PATTERN)
+def unread_files(
+    spark: SparkSession, path: str, pattern: str = MONTHLY_FILE_PATTERN
+) -> DataFrame:
+    """Files of a folder that a scan with this pattern leaves out."""
+    matched = list_files(spark, path, pattern)
     return list_files(spark, path).join(matched, ["file_name", "path"], "left_anti")
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import sink_label
 from ..operators.reshape import DAILY_COLUMNS, MEASURES, MONTHLY_COLUMNS
+from ..session import folder_names
 from .stations import STATION_COLUMNS
 
 # The tables' fixed schemas with their folder columns: reading needs no inference.
@@ -63,9 +64,8 @@ def write_monthly(
 ) -> str:
     """Write sparse monthly rows, one folder per dataset, snappy-compressed.
 
-    Needs the ``dataset`` column. Only folders of datasets that occur are
-    written or replaced, so there is no output for an empty dataset. Every task
-    writes one file per dataset it meets; ``compact`` spends a shuffle on fewer
+    Needs the ``dataset`` column. The whole snapshot of the date is replaced, and
+    there is no output for an empty dataset. Every task writes one file per dataset it meets; ``compact`` spends a shuffle on fewer
     files, balanced by size, so that a large dataset still has many writers.
     """
     path = _snapshot(base, "monthly", snapshot_date)
@@ -74,7 +74,7 @@ def write_monthly(
         rows = rows.hint("rebalance", "dataset")
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static")
         .option("compression", "snappy")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy("dataset")
@@ -94,14 +94,40 @@ def write_stations(
     return path
 
 
-def read_daily(spark: SparkSession, base: str) -> DataFrame:
-    """All daily snapshots, with their ``snapshot_date``."""
-    return spark.read.schema(DAILY_SCHEMA).parquet(f"{base.rstrip('/')}/daily")
+def snapshot_dates(spark: SparkSession, folder: str) -> list[str]:
+    """Dates of the snapshots in a folder, oldest first, from the folder names alone."""
+    prefix = "snapshot_date="
+    names = folder_names(spark, folder)
+    return [name.removeprefix(prefix) for name in names if name.startswith(prefix)]
 
 
-def read_monthly(spark: SparkSession, base: str, dataset: str | None = None) -> DataFrame:
+def _snapshots(spark: SparkSession, folder: str, schema: str, snapshot: str | None) -> DataFrame:
+    """All snapshots of a folder, one of them, or the ``latest``.
+
+    A chosen snapshot is read from its own folder: no other one is listed.
+    """
+    reader = spark.read.schema(schema)
+    if snapshot is None:
+        return reader.parquet(folder)
+    if snapshot == "latest":
+        dates = snapshot_dates(spark, folder)
+        if not dates:
+            raise ValueError(f"no snapshot in {folder}")
+        snapshot = dates[-1]
+    path = f"{folder}/snapshot_date={datetime.date.fromisoformat(str(snapshot)).isoformat()}"
+    return reader.option("basePath", folder).parquet(path)
+
+
+def read_daily(spark: SparkSession, base: str, snapshot: str | None = None) -> DataFrame:
+    """Daily snapshots, with their ``snapshot_date``: all, one date, or "latest"."""
+    return _snapshots(spark, f"{base.rstrip('/')}/daily", DAILY_SCHEMA, snapshot)
+
+
+def read_monthly(
+    spark: SparkSession, base: str, dataset: str | None = None, snapshot: str | None = None
+) -> DataFrame:
     """Monthly snapshots of one dataset or of all; the choice prunes folders."""
-    monthly = spark.read.schema(MONTHLY_SCHEMA).parquet(f"{base.rstrip('/')}/monthly")
+    monthly = _snapshots(spark, f"{base.rstrip('/')}/monthly", MONTHLY_SCHEMA, snapshot)
     if dataset is not None:
         monthly = monthly.filter(F.col("dataset") == dataset.lower())
     return monthly
@@ -115,9 +141,9 @@ def read_stations(spark: SparkSession, base: str, network: str | None = None) ->
 
 
 def latest(snapshots: DataFrame) -> DataFrame:
-    """Rows of the newest snapshot.
+    """Rows of the newest of several snapshots that are read together.
 
-    The newest date is a scalar subquery on the partition column: it reads no
+    To read one snapshot only, use ``snapshot="latest"`` of the readers. The newest date is a scalar subquery on the partition column: it reads no
     data column, and its result prunes the folders of the outer scan.
     """
     newest = snapshots.agg(F.max("snapshot_date")).scalar()

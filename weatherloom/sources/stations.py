@@ -64,4 +64,9 @@ def scan_stations(
     spark: SparkSession, paths: str | Sequence[str], layout: StationLayout | str
 ) -> DataFrame:
     """Stations of one or more station lists, with their ``position``."""
-    return parse_stations(read_lines(spark, paths, with_position=True), layout)
+    return parse_stations(station_lines(spark, paths), layout)
+
+
+def station_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """The lines of station lists, in order of the lists."""
+    return read_lines(spark, paths, with_position=True)

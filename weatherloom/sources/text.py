@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +24,19 @@ def read_lines(
 
     Many paths are one scan. Input splits are the unit of parallelism, so a
     large file is read by many tasks and small files share one. ``position``
-    orders the lines of a file: the start of the split in the file, then a
-    counter that grows within the split.
+    orders all lines: the place of their path among ``paths``, the file's path,
+    the start of the split in the file, then a counter that grows within the
+    split. With positions, every path is a scan of its own. Spark leaves out
+    files whose names begin with an underscore or a dot.
     """
+    if with_position and not isinstance(paths, str):
+        parts = [
+            read_lines(spark, path, pattern, recursive, True, with_file_name).withColumn(
+                "position", F.col("position").withField("list", F.lit(number))
+            )
+            for number, path in enumerate(paths)
+        ]
+        return reduce(DataFrame.unionByName, parts)
     reader = spark.read.option("lineSep", "\n")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -37,6 +48,8 @@ def read_lines(
     if with_position:
         columns.append(
             F.struct(
+                F.lit(0).alias("list"),
+                F.col("_metadata.file_path").alias("file"),
                 F.col("_metadata.file_block_start").alias("block"),
                 F.monotonically_increasing_id().alias("row"),
             ).alias("position")
