@@ -84,6 +84,7 @@ def main():
     catalog.daily_lookup(spark, FOLDER)
     catalog.monthly_lookup(spark, FOLDER)
     encode.monthly_archives(spark, FOLDER)
+    monthly_text = encode.monthly_folder(spark, FOLDER)
     prepared = round(time.perf_counter() - start, 3)
 
     timings = {}
@@ -94,13 +95,12 @@ def main():
         wl.run_daily(spark, daily_text, lookup, base, catalog.SNAPSHOT)
 
     timings["daily_text_to_parquet"] = seconds(daily_run)
+    monthly_lookup = catalog.monthly_lookup(spark, FOLDER)
     timings["monthly_text_to_parquet"] = seconds(
-        lambda: wl.write_monthly(
-            catalog.monthly_table(spark, FOLDER, keep_dataset=True), base, catalog.SNAPSHOT
-        )
+        lambda: wl.run_monthly(spark, f"{monthly_text}/*", monthly_lookup, base, catalog.SNAPSHOT)
     )
     timings["monthly_mean_from_parquet"] = seconds(
-        lambda: consume(wl.monthly_mean(wl.latest(wl.read_daily(spark, base)), "TMAX"))
+        lambda: consume(wl.monthly_mean(wl.read_daily(spark, base, snapshot="latest"), "TMAX"))
     )
     for name, key in QUERIES.items():
         timings[name] = seconds(lambda: consume(catalog.BUILDERS[key](spark, FOLDER)))

@@ -46,7 +46,7 @@ if __name__ == "__main__":
     import __spark_entry__ as spark_entry
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    chosen = sys.argv[2:] or list(spark_entry.queries())
+    chosen = sys.argv[2:] or sorted(spark_entry.oracle_sql())
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")

@@ -89,6 +89,11 @@ def monthly_readings(spark: SparkSession, folder: str, step: int = 100) -> DataF
     return wl.parse_monthly(lines).drop("file_name")
 
 
+def scanned_monthly(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly readings of text files that are named as in an archive."""
+    return wl.scan_monthly(spark, encode.monthly_folder(spark, folder), recursive=True).readings
+
+
 def build_daily_lookup(spark: SparkSession, folder: str) -> DataFrame:
     lines = encode.daily_stations(spark, folder)
     return wl.station_lookup(wl.parse_stations(lines, "daily_network"))
@@ -116,7 +121,7 @@ def daily_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def monthly_table(spark: SparkSession, folder: str, keep_dataset: bool = False) -> DataFrame:
-    readings = monthly_readings(spark, folder)
+    readings = scanned_monthly(spark, folder)
     located = wl.inject_coords(readings, monthly_lookup(spark, folder))
     return wl.to_monthly_sparse(located, keep_dataset)
 
@@ -174,8 +179,7 @@ FROM monthly GROUP BY ALL"""
 
 @query("a2_scan_monthly", f"WITH {MONTHLY_CELLS} {MONTHLY_READINGS}")
 def a2(spark, folder):
-    lines = encode.monthly_lines(spark, folder)
-    readings = wl.with_values(wl.parse_monthly(lines), MONTHLY)
+    readings = wl.with_values(scanned_monthly(spark, folder), MONTHLY)
     return reading_summary(readings, "id", "year", "dataset", "element")
 
 
@@ -226,6 +230,29 @@ def a6(spark, folder):
     return reading_summary(readings, "id", "year", "dataset", "element")
 
 
+@query(
+    "a5_scan_named_files",
+    f"""WITH {MONTHLY_CELLS} SELECT suffix, {whole('COUNT(*)')} AS n_lines FROM monthly_readings GROUP BY ALL""",
+)
+def a5_named(spark, folder):
+    """Lines by what follows the station in their file's name."""
+    lines = wl.read_lines(spark, encode.monthly_folder(spark, folder), recursive=True)
+    suffix = F.regexp_replace("file_name", r"^[^.]*\.", "")
+    return lines.groupBy(suffix.alias("suffix")).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@query(
+    "a6_run_archives",
+    f"""{LOCATED_MONTHLY} SELECT *, '2025-06-27' AS snapshot_date FROM ({SPARSE_ROWS})""",
+)
+def a6_run(spark, folder):
+    base = scratch_path(spark, "outputs")
+    wl.run_monthly_archives(
+        encode.monthly_archives(spark, folder), monthly_lookup(spark, folder), base, SNAPSHOT
+    )
+    return wl.read_monthly(spark, base).drop("dataset")
+
+
 @query(
     "a7_archive_manifest",
     f"""WITH {MONTHLY_CELLS}
@@ -266,7 +293,7 @@ def a9(spark, folder):
     daily = daily_table(spark, folder)
     wl.write_daily(wl.of_element(daily, "TMAX"), base, "2025-06-26")
     wl.write_daily(daily, base, SNAPSHOT)
-    return wl.latest(wl.read_daily(spark, base))
+    return wl.read_daily(spark, base, snapshot="latest")
 
 
 # --- B: scalar functions ----------------------------------------------------
@@ -379,38 +406,44 @@ def b07(spark, folder):
     )
 
 
-ELEMENT_FORMS = ["tmax", "TMIN", "Prcp", "SNOW", "tavg", "TmAx", "prc "]
-
-
 @query(
     "b08_element_code",
-    f"""SELECT l_linenumber, {whole('COUNT(*)')} AS n,
-        CASE l_linenumber WHEN 1 THEN 'TMAX' WHEN 2 THEN 'TMIN' WHEN 3 THEN 'PRCP' WHEN 6 THEN 'TMAX'
-             ELSE 'Unknown' END AS element FROM lineitem GROUP BY ALL""",
+    f"""WITH {DAILY_CELLS} SELECT id, year, month, CASE WHEN element = 'SNOW' OR month = '12' THEN 'Unknown'
+        ELSE element END AS element FROM {DAILY_HEADERS}""",
 )
 def b08(spark, folder):
-    form = F.element_at(F.array(*map(F.lit, ELEMENT_FORMS)), F.col("l_linenumber"))
-    lines = table(spark, folder, "lineitem")
-    return lines.groupBy("l_linenumber", C.element_code(form).alias("element")).agg(
-        F.count(F.lit(1)).alias("n")
+    """Codes as they stand in the lines, in small letters in odd years, cut in December."""
+    raw = C.line_bytes(F.col("line"))
+    id, year, month, code = (C.cut(raw, s) for s in (DAILY.id, DAILY.year, DAILY.month, DAILY.element))
+    code = F.when(year.cast("int") % 2 == 1, F.lower(code)).otherwise(code)
+    code = F.when(month == "12", F.substring(code, 1, 3)).otherwise(code)
+    return encode.daily_lines(spark, folder).select(
+        id.alias("id"), year.alias("year"), month.alias("month"), C.element_code(code).alias("element")
     )
 
 
-NAME_FORMS = ["raw.tmax", "tob.tmin", "FLs.52j.tavg", "RAW.tmax", "raw.prcp", "any.thing.tmin", "file", "a.b.c.tmax"]
-
-
 @query(
     "b09_file_properties",
-    """SELECT o_orderkey,
-       CASE o_orderkey % 8 WHEN 0 THEN 'RAW' WHEN 1 THEN 'TOB' WHEN 2 THEN 'FLS52' WHEN 4 THEN 'RAW'
-            WHEN 5 THEN 'FLS52' ELSE 'UNKNOWN' END AS dataset,
-       CASE o_orderkey % 8 WHEN 0 THEN 'Max' WHEN 1 THEN 'Min' WHEN 2 THEN 'Avg' WHEN 3 THEN 'Max'
-            WHEN 5 THEN 'Min' ELSE 'Unknown' END AS element FROM orders""",
+    f"""WITH {MONTHLY_CELLS} SELECT id, {whole('year')} AS year,
+        CASE WHEN year % 4 = 0 AND dataset <> 'FLS52' THEN 'UNKNOWN' WHEN year % 4 = 1 THEN 'UNKNOWN'
+             WHEN year % 4 = 2 AND dataset <> 'FLS52' THEN 'FLS52' WHEN year % 4 = 2 THEN 'UNKNOWN'
+             ELSE dataset END AS dataset,
+        CASE WHEN year % 4 = 0 OR year % 4 = 1 THEN 'Unknown'
+             WHEN year % 4 = 2 AND dataset = 'FLS52' THEN 'Unknown' ELSE element END AS element
+        FROM monthly_readings""",
 )
 def b09(spark, folder):
-    form = F.get(F.array(*map(F.lit, NAME_FORMS)), (F.col("o_orderkey") % 8).cast("int"))
-    name = F.concat_ws(".", encode.hex_id("USH", F.col("o_custkey")), form)
-    return table(spark, folder, "orders").select("o_orderkey", *C.file_properties(name))
+    """Names as they are, in capitals, without their middle, or with one part more, by year."""
+    name, turn = F.col("file_name"), F.col("position") % 4
+    changed = (
+        F.when(turn == 0, F.upper(name))
+        .when(turn == 1, F.substring_index(name, ".", 1))
+        .when(turn == 2, F.regexp_replace(name, r"^([^.]*)\.", "$1.x."))
+        .otherwise(name)
+    )
+    return encode.monthly_lines(spark, folder).select(
+        F.substring("file_name", 1, 11).alias("id"), F.col("position").alias("year"), *C.file_properties(changed)
+    )
 
 
 @query(
@@ -534,6 +567,14 @@ def c1(spark, folder):
     return wl.count_by(wl.parse_daily(encode.daily_lines(spark, folder), CORE_ELEMENTS), "element")
 
 
+@query(
+    "c1_all_elements",
+    f"""WITH {DAILY_CELLS} SELECT element, {whole('COUNT(*)')} AS n_rows FROM {DAILY_HEADERS} GROUP BY ALL""",
+)
+def c1_all(spark, folder):
+    return wl.count_by(wl.parse_daily(encode.daily_lines(spark, folder), None), "element")
+
+
 @query(
     "c2_keep_all_monthly",
     f"""WITH {MONTHLY_CELLS}
@@ -600,6 +641,34 @@ def c4_drop_file(spark, folder):
     return wl.count_by(kept, "id")
 
 
+@query(
+    "c4_run_rejects",
+    """SELECT 'stations' AS kind, CAST(COUNT(*) AS BIGINT) AS n_lines
+       FROM (SELECT s_suppkey % 2 AS half FROM supplier WHERE s_acctbal < 2000) HAVING COUNT(*) > 0
+       UNION ALL SELECT CASE WHEN s_nationkey % 2 = 0 THEN 'bad year' ELSE 'short line' END,
+       CAST(COUNT(*) AS BIGINT) FROM supplier WHERE s_acctbal < 2000 GROUP BY ALL""",
+)
+def c4_run(spark, folder):
+    """What complete runs report: short station lines, and bad lines of the stream."""
+    text = encode.stored(
+        spark, folder, "spoiled-text", lambda: spoiled_lines(spark, folder), as_text=True
+    )
+    cut = encode.stored(
+        spark, folder, "spoiled-stations",
+        lambda: spoiled_lines(spark, folder).filter(F.length("line") < 40), as_text=True,
+    )
+    base = scratch_path(spark, "outputs")
+    stations = wl.run_stations(spark, cut, "daily_network", base, SNAPSHOT)
+    run = wl.append_with_rejects(
+        wl.landing_lines(spark, text), daily_lookup(spark, folder), f"{base}/daily-stream",
+        f"{base}/rejects", f"{base}/state",
+    )
+    run.awaitTermination()
+    lines = wl.count_by(spark.read.parquet(f"{base}/rejects"), "reason")
+    short = stations.rejects.groupBy(F.lit("stations").alias("kind")).agg(F.count(F.lit(1)).alias("n_lines"))
+    return short.union(lines.select("reason", "n_rows"))
+
+
 @query("c5_element_filter", f"{LOCATED_DAILY} {DAILY_ROWS} WHERE element = 'TMAX'")
 def c5(spark, folder):
     return wl.of_element(daily_table(spark, folder), "TMAX")
@@ -679,6 +748,18 @@ def d2(spark, folder):
     return build_daily_lookup(spark, folder)
 
 
+@query(
+    "d2_lookup_over_two_lists",
+    f"""WITH {DAILY_STATIONS} SELECT id, {number('lat')} AS lat, {number('lon')} AS lon FROM daily_list
+        WHERE lat IS NOT NULL AND lon IS NOT NULL QUALIFY row_number() OVER (
+          PARTITION BY id ORDER BY CAST(position % 2 = 0 AS INT) DESC, position DESC) = 1""",
+)
+def d2_two(spark, folder):
+    """The last list wins, whatever the sizes of the files."""
+    lists = encode.two_station_lists(spark, folder)
+    return wl.station_lookup(wl.scan_stations(spark, lists, "daily_network"))
+
+
 def comparison(element: str) -> str:
     return f"""WITH {MONTHLY_CELLS}
     SELECT id, {text('a.date')} AS date, {number('a.value')} AS {element.lower()}_raw,
@@ -835,6 +916,15 @@ def f8(spark, folder):
     return wl.file_statistics(encode.monthly_lines(spark, folder))
 
 
+@query(
+    "f8_archive_statistics",
+    f"""WITH {MONTHLY_CELLS} SELECT id || '.' || suffix AS file_name, {whole('COUNT(*)')} AS n_lines,
+        CAST(124 AS BIGINT) AS first_line_length FROM monthly_readings GROUP BY ALL""",
+)
+def f8_archives(spark, folder):
+    return wl.file_statistics(wl.unpack_archives(encode.monthly_archives(spark, folder)))
+
+
 @query(
     "f9_element_counts",
     f"WITH {DAILY_CELLS} SELECT element, {whole('COUNT(*)')} AS n_rows FROM daily GROUP BY ALL",
@@ -957,6 +1047,20 @@ def g_monthly(spark, folder):
     return wl.check_integrity(monthly_table(spark, folder), wl.monthly_rules())
 
 
+STATION_REPORT = [
+    present_sql(name) for name in ("country_code", "network_code", "id_placeholder", "coop_id", "name")
+]
+
+
+@query(
+    "g_station_report",
+    f"WITH {DAILY_STATIONS}, stations AS ({station_rows('daily_list')}) {rules_sql('stations', STATION_REPORT)}",
+)
+def g_stations(spark, folder):
+    stations = wl.scan_stations(spark, encode.station_text(spark, folder, "daily"), "daily_network")
+    return wl.check_integrity(stations, wl.station_rules())
+
+
 # --- H: samples -------------------------------------------------------------
 
 SAMPLED = f"WITH {MONTHLY_CELLS}, {MONTHLY_TEXT}"
@@ -1017,7 +1121,8 @@ def i1(spark, folder):
 )
 def i2(spark, folder):
     base = scratch_path(spark, "outputs")
-    wl.write_monthly(monthly_table(spark, folder, keep_dataset=True), base, SNAPSHOT)
+    files = f"{encode.monthly_folder(spark, folder)}/*"
+    wl.run_monthly(spark, files, monthly_lookup(spark, folder), base, SNAPSHOT)
     return wl.read_monthly(spark, base)
 
 
@@ -1046,6 +1151,22 @@ def i4(spark, folder):
     return wl.count_by(wl.read_daily(spark, base), "snapshot_date")
 
 
+@query(
+    "i4_rerun_without_a_dataset",
+    f"""WITH {MONTHLY_CELLS} SELECT lower(dataset) AS dataset, snapshot_date, {whole('12 * COUNT(*)')} AS n_rows
+        FROM monthly_readings JOIN (VALUES ('2025-06-26'), ('2025-06-27')) AS s(snapshot_date)
+        ON snapshot_date = '2025-06-26' OR dataset <> 'TOB' GROUP BY ALL""",
+)
+def i4_dataset(spark, folder):
+    """A snapshot written again without a dataset has no rows of it."""
+    base = scratch_path(spark, "outputs")
+    sparse = monthly_table(spark, folder, keep_dataset=True)
+    for date in ("2025-06-26", SNAPSHOT):
+        wl.write_monthly(sparse, base, date)
+    wl.write_monthly(sparse.filter(F.col("dataset") != "TOB"), base, SNAPSHOT)
+    return wl.count_by(wl.read_monthly(spark, base), "dataset", "snapshot_date")
+
+
 # --- J: stream --------------------------------------------------------------
 
 
@@ -1151,7 +1272,31 @@ def x6(spark, folder):
 )
 def x7(spark, folder):
     """Elements compete here, which gives several sources per station and day."""
-    return wl.best_source(flagged(spark, folder), keys=("id", "date"))
+    return wl.best_source(flagged(spark, folder), keys=("id", "date")).select("id", "date", "value", "sflag")
+
+
+@query(
+    "x7_best_source_default",
+    f"""WITH {DAILY_CELLS}, flagged AS ({FLAGGED}), twice AS (
+          SELECT * FROM flagged UNION ALL
+          SELECT id, date, element, CAST(value + 1 AS FLOAT), mflag, 'S', translate(sflag, 'ZRD06CX', 'X6ZRDC0')
+          FROM flagged),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY id, date, element
+          ORDER BY strpos('ZRD06CX', sflag), value DESC) AS r FROM twice)
+        SELECT id, {text('date')} AS date, element, 'UNKNOWN' AS dataset, {number('value')} AS value,
+        mflag, qflag, sflag FROM ranked WHERE r = 1""",
+)
+def x7_default(spark, folder):
+    """Every value and a copy of it from another source; the row comes out whole."""
+    own = flagged(spark, folder)
+    other = own.withColumns(
+        {
+            "value": (F.col("value") + 1).cast("float"),
+            "qflag": F.lit("S"),
+            "sflag": F.translate("sflag", "ZRD06CX", "X6ZRDC0"),
+        }
+    )
+    return wl.best_source(own.unionByName(other)).drop("lat", "lon")
 
 
 @query(

@@ -270,6 +270,19 @@ def monthly_stations(spark: SparkSession, folder: str) -> DataFrame:
     return stored_table(spark, folder, "monthly-stations", "position long, line string", build)
 
 
+def two_station_lists(spark: SparkSession, folder: str) -> list[str]:
+    """The daily network's list as two: odd positions, then even ones."""
+
+    def part(even: int) -> DataFrame:
+        stations = daily_stations(spark, folder)
+        return stations.filter(F.col("position") % 2 == 1 - even).orderBy("position")
+
+    return [
+        stored(spark, folder, f"station-list-{even}", lambda even=even: part(even), as_text=True)
+        for even in (0, 1)
+    ]
+
+
 def station_text(spark: SparkSession, folder: str, network: str) -> str:
     """Folder of text files with a station list."""
     stations = {"daily": daily_stations, "monthly": monthly_stations}[network]
@@ -278,6 +291,54 @@ def station_text(spark: SparkSession, folder: str, network: str) -> str:
     )
 
 
+def monthly_folder(spark: SparkSession, folder: str) -> str:
+    """Folder of text files with the names of a real archive, for scans that take
+    dataset and element from the file name."""
+    key = (spark.sparkContext.applicationId, folder, "monthly-folder")
+    if key not in _stored:
+        path = scratch_path(spark, "monthly-folder")
+        named_files(monthly_lines(spark, folder), path).write.format("noop").mode("overwrite").save()
+        _stored[key] = path
+    return _stored[key]
+
+
+def named_files(lines: DataFrame, folder: str) -> DataFrame:
+    """Write lines to text files of their names, below one folder for each task.
+
+    The station's last four letters are left out of the names, which makes fewer
+    files of more stations. A task that is repeated writes the same folder again.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import re
+
+        import pyarrow
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        uri = re.sub("^s3a://", "s3://", re.sub("^file:/+", "/", folder))
+        store, root = fs.FileSystem.from_uri(uri)
+        root = f"{root}/{TaskContext.get().partitionId():05d}"
+        store.create_dir(root, recursive=True)
+        name, stream, count = None, None, 0
+        for batch in batches:
+            for file_name, line in zip(*(column.to_pylist() for column in batch.columns)):
+                if file_name != name:
+                    if stream:
+                        stream.close()
+                    name, stream = file_name, store.open_output_stream(f"{root}/{file_name}")
+                stream.write(line.encode() + b"\n")
+                count += 1
+        if stream:
+            stream.close()
+        yield pyarrow.RecordBatch.from_arrays([pyarrow.array([count])], names=["n_lines"])
+
+    part = F.concat(F.substring("file_name", 1, 7), F.lit("0000"), F.substring("file_name", 12, 99))
+    files = lines.select(part.alias("file_name"), "line")
+    ordered = files.repartitionByRange("file_name", "line").sortWithinPartitions("file_name", "line")
+    return ordered.mapInArrow(write, "n_lines long")
+
+
 def monthly_archives(spark: SparkSession, folder: str) -> DataFrame:
     """Archives holding the monthly lines, in column ``archive``."""
     return stored_table(
