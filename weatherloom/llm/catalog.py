@@ -13,6 +13,7 @@ from weatherloom.llm.interpolation import score_texts
 from weatherloom.llm.line_rules import fit_line_model, line_rules
 from weatherloom.llm.mixing import ORACLE as MIX_ORACLE
 from weatherloom.llm.mixing import mix_sources
+from weatherloom.llm.near_dedup import ORACLE as NEAR_ORACLE
 from weatherloom.llm.near_dedup import near_duplicates
 from weatherloom.llm.pieces import decode_pieces, encode_pieces
 from weatherloom.llm.quality_model import fit_quality, held_out, quality_scores
@@ -92,4 +93,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
-ORACLES: dict[str, str] = {"op1_source_mixing": MIX_ORACLE, "op6_secret_scan": SECRET_ORACLE}
+ORACLES: dict[str, str] = {
+    "op1_source_mixing": MIX_ORACLE,
+    "op6_secret_scan": SECRET_ORACLE,
+    "op10_minhash_near_dedup": NEAR_ORACLE,
+}

@@ -270,3 +270,38 @@ def alike(a, b, n: int, percent: int) -> np.ndarray:
     doc, value = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
     union = np.bincount(distinct_in_group(doc, value)[0], minlength=n)
     return 100 * (sizes - union) >= percent * union
+
+
+# all pairs that share a shingle, and all that links reach; for small tables
+ORACLE = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+           WHEN len(w) = 0 THEN []
+           WHEN len(w) < {WIDTH} THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - {WIDTH - 2}), lambda i: array_to_string(w[i:i + {WIDTH - 1}], ' '))
+         END) AS s
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * k >= {PERCENT} * (x.n + y.n - k)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.doc_id
+), roots AS (
+  SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM roots LEFT JOIN sizes USING (doc_id)
+"""
