@@ -18,7 +18,7 @@ from weatherloom.llm.near_dedup import drop_near_duplicates
 from weatherloom.llm.pieces import decode_pieces, encode_pieces
 from weatherloom.llm.quality_model import fit_quality, good_documents
 from weatherloom.llm.secret_scan import without_live_secrets
-from weatherloom.session import scratch_path
+from weatherloom.session import remove, scratch_path
 
 QUALITY_CUT = 0.3
 
@@ -63,10 +63,17 @@ ORACLE_SQL = None  # the classifier is a fitted model
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows. Each stage is written to the shared folder and reread."""
+    """The last stage's rows. Each stage is written to the shared folder and reread.
+
+    What a stage has read is removed when it is done.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
         path = scratch_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs

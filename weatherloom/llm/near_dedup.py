@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from weatherloom.llm.components import connected_components
+from weatherloom.llm.scratch import Scratch
 from weatherloom.llm.shipping import map_arrow
 from weatherloom.llm.tokens import Words, distinct_in_group, mix, shingle_sets, slices
 from weatherloom.session import materialise
@@ -163,13 +164,14 @@ def _decided(signed, percent, width):
         .agg(F.min("row").alias("node"), F.min(order).alias("least")),
         "nodes",
     )
-    buckets = materialise(
-        nodes.select("node")
-        .join(signed.select(F.col("row").alias("node"), "buckets"), "node")
-        .select("node", F.explode("buckets").alias("bucket")),
-        "buckets",
-    )
-    roots = _links(buckets, nodes.select("node", "n_shingles"), signed, percent, width)
+    with Scratch(signed.sparkSession) as scratch:
+        buckets = scratch.keep(
+            nodes.select("node")
+            .join(signed.select(F.col("row").alias("node"), "buckets"), "node")
+            .select("node", F.explode("buckets").alias("bucket")),
+            "buckets",
+        )
+        roots = _roots(buckets, nodes.select("node", "n_shingles"), signed, percent, width, scratch)
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least").alias("first"))
     owner = named.join(least, "root").select(
@@ -187,14 +189,15 @@ def _decided(signed, percent, width):
     )
 
 
-def _links(buckets, sizes, signed, percent, width):
+def _roots(buckets, sizes, signed, percent, width, scratch):
+    """(node, root) of all nodes that have a link."""
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("other"))
     shared = shared.where("centre <> other").select("bucket", "centre")
     # most buckets have one member; only the others matter from here on
-    buckets = materialise(buckets.join(shared, "bucket"), "shared")
-    texts = _texts(signed, buckets.select("node").distinct())
-    tried = _candidates(buckets.where("node <> centre"), sizes, percent)
-    links = materialise(_confirmed(tried, texts, percent, width), "links")
+    buckets = scratch.keep(buckets.join(shared, "bucket"), "shared")
+    texts = _texts(signed, buckets.select("node").distinct(), scratch)
+    tried = scratch.keep(_candidates(buckets.where("node <> centre"), sizes, percent), "pairs")
+    links = scratch.keep(_confirmed(tried, texts, percent, width), "links")
     roots = connected_components(links)
     turn = 1
     while True:
@@ -211,8 +214,8 @@ def _links(buckets, sizes, signed, percent, width):
             .select("bucket", "centre", "of")
         )
         pairs = spread.join(split, "bucket").where("root <> of")
-        fresh = _candidates(pairs, sizes, percent, tried)
-        more = materialise(_confirmed(fresh, texts, percent, width), "links")
+        fresh = scratch.keep(_candidates(pairs, sizes, percent, tried), "pairs")
+        more = scratch.keep(_confirmed(fresh, texts, percent, width), "links")
         if more.isEmpty():
             return roots
         links = links.union(more)
@@ -221,16 +224,16 @@ def _links(buckets, sizes, signed, percent, width):
         turn += 1
 
 
-def _texts(signed, nodes):
+def _texts(signed, nodes, scratch):
     """Texts of the nodes that share a bucket, which are few in most corpora.
 
     Their numbers are broadcast up to ``BROADCAST_NODES``; more are joined by
     shuffling the texts once.
     """
-    nodes = materialise(nodes, "candidates")
+    nodes = scratch.keep(nodes, "candidates")
     if nodes.count() <= BROADCAST_NODES:
         nodes = F.broadcast(nodes)
-    return materialise(signed.select(F.col("row").alias("node"), "text").join(nodes, "node"), "texts")
+    return scratch.keep(signed.select(F.col("row").alias("node"), "text").join(nodes, "node"), "texts")
 
 
 def _candidates(pairs, sizes, percent, tried=None):
@@ -244,7 +247,7 @@ def _candidates(pairs, sizes, percent, tried=None):
         sizes.select(F.col("node").alias("centre"), F.col("n_shingles").alias("m")), "centre"
     )
     allowed = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    return materialise(pairs.where(allowed).select("leaf", "centre"), "pairs")
+    return pairs.where(allowed).select("leaf", "centre")
 
 
 def _confirmed(pairs, texts, percent, width):

@@ -183,9 +183,12 @@ def fit_quality(
                     names=["label", "x"],
                 )
 
-    found = map_arrow(rows, measure, "label double, x array<double>").orderBy("x", "label").toPandas()
+    found = map_arrow(rows, measure, "label double, x array<double>").toPandas()
     x = np.array(found["x"].tolist(), dtype=np.float64).reshape(-1, len(FEATURES))
-    return fit_forest(x, (found["label"].to_numpy(float) >= 0.5).astype(float))
+    y = (found["label"].to_numpy(float) >= 0.5).astype(float)
+    # rows come in any order; sums of floats should not depend on it
+    order = np.lexsort((y, *x.T))
+    return fit_forest(x[order], y[order])
 
 
 def quality_scores(
