@@ -585,9 +585,9 @@ def c1_all(spark, folder):
 )
 def c2(spark, folder):
     """Readings of files with unknown names are kept."""
-    renamed = F.regexp_replace("file_name", r"\..*tavg$", "")
-    lines = encode.monthly_lines(spark, folder).withColumn("file_name", renamed)
-    return wl.count_by(wl.parse_monthly(lines), "dataset", "element")
+    path = encode.monthly_folder(spark, folder, averages_named=False)
+    readings = wl.scan_monthly(spark, path, recursive=True).readings
+    return wl.count_by(readings, "dataset", "element")
 
 
 @query(

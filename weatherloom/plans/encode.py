@@ -291,13 +291,19 @@ def station_text(spark: SparkSession, folder: str, network: str) -> str:
     )
 
 
-def monthly_folder(spark: SparkSession, folder: str) -> str:
+def monthly_folder(spark: SparkSession, folder: str, averages_named: bool = True) -> str:
     """Folder of text files with the names of a real archive, for scans that take
-    dataset and element from the file name."""
-    key = (spark.sparkContext.applicationId, folder, "monthly-folder")
+    dataset and element from the file name. Files of averages may go without
+    these parts of their names."""
+    name = "monthly-folder" if averages_named else "monthly-folder-unnamed"
+    key = (spark.sparkContext.applicationId, folder, name)
     if key not in _stored:
-        path = scratch_path(spark, "monthly-folder")
-        named_files(monthly_lines(spark, folder), path).write.format("noop").mode("overwrite").save()
+        path = scratch_path(spark, name)
+        lines = monthly_lines(spark, folder)
+        if not averages_named:
+            bare = F.regexp_replace("file_name", r"\..*tavg$", "")
+            lines = lines.withColumn("file_name", bare)
+        named_files(lines, path).write.format("noop").mode("overwrite").save()
         _stored[key] = path
     return _stored[key]
 
