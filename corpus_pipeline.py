@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from weatherloom.llm.mixing import mixed_documents
 from weatherloom.llm.near_dedup import drop_near_duplicates
-from weatherloom.llm.pieces import decode_pieces, encode_pieces
+from weatherloom.llm.pieces import encode_pieces
 from weatherloom.llm.quality_model import fit_quality, good_documents
 from weatherloom.llm.secret_scan import without_live_secrets
 from weatherloom.session import remove, scratch_path
@@ -47,8 +47,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_pieces, score, n_best_scores and a hash of what the ids decode to."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = encode_pieces(docs, model)
-    return encoded.withColumn("decoded_sha256", F.sha2(decode_pieces(F.col("ids"), model), 256))
+    encoded = encode_pieces(docs, model, decoded=True)
+    return encoded.withColumn("decoded", F.sha2("decoded", 256)).withColumnRenamed("decoded", "decoded_sha256")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

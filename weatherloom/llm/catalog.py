@@ -15,7 +15,7 @@ from weatherloom.llm.mixing import ORACLE as MIX_ORACLE
 from weatherloom.llm.mixing import mix_sources
 from weatherloom.llm.near_dedup import ORACLE as NEAR_ORACLE
 from weatherloom.llm.near_dedup import near_duplicates
-from weatherloom.llm.pieces import decode_pieces, encode_pieces
+from weatherloom.llm.pieces import encode_pieces
 from weatherloom.llm.quality_model import fit_quality, held_out, quality_scores
 from weatherloom.llm.secret_scan import ORACLE as SECRET_ORACLE
 from weatherloom.llm.secret_scan import scan_secrets
@@ -37,8 +37,8 @@ def op1_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Four best segmentations of each text; the hash is of the text that the ids give."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = encode_pieces(table(spark, folder, "documents"), model)
-    return encoded.withColumn("decoded_sha256", F.sha2(decode_pieces(F.col("ids"), model), 256))
+    encoded = encode_pieces(table(spark, folder, "documents"), model, decoded=True)
+    return encoded.withColumn("decoded", F.sha2("decoded", 256)).withColumnRenamed("decoded", "decoded_sha256")
 
 
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
