@@ -72,28 +72,33 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, of which one of each component stays."""
     signed = materialise(_signed(docs, id_col, text_col, width, bands, rows, True), "signed")
-    decided = _decided(signed, percent, width).where("first").select("row")
-    return signed.join(decided, "row").select("record.*")
+    texts = signed.withColumn("text", F.col("record")[text_col])
+    goes = materialise(_decided(texts, percent, width).where("not first").select("row"), "dropped")
+    return signed.join(_sized(goes), "row", "left_anti").select("record.*")
+
+
+def _sized(rows: DataFrame) -> DataFrame:
+    """Row numbers to join with: broadcast if there are at most ``BROADCAST_NODES``."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_NODES else rows
 
 
 def _signed(docs, id_col, text_col, width, bands, rows, whole):
     columns = [
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("id"),
-        F.col(text_col).alias("text"),
+        F.struct("*").alias("record") if whole else F.col(text_col).alias("text"),
     ]
-    if whole:
-        columns.append(F.struct("*").alias("record"))
     source = docs.select(*columns)
+    place = docs.columns.index(text_col)
     added = StructType.fromDDL("n_shingles long, key1 long, key2 long, buckets array<long>")
     schema = StructType([*source.schema, *added])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, end in slices(batch.column("text")):
-                part = batch.slice(begin, end - begin)
-                sets = shingle_sets(Words(part.column("text"), lower=True), width)
-                yield _add_signature(part, *sets, bands, rows)
+            texts = batch.column("record").field(place) if whole else batch.column("text")
+            for begin, end in slices(texts):
+                sets = shingle_sets(Words(texts.slice(begin, end - begin), lower=True), width)
+                yield _add_signature(batch.slice(begin, end - begin), *sets, bands, rows)
 
     return map_arrow(source, sign, schema)
 
@@ -230,9 +235,7 @@ def _texts(signed, nodes, scratch):
     Their numbers are broadcast up to ``BROADCAST_NODES``; more are joined by
     shuffling the texts once.
     """
-    nodes = scratch.keep(nodes, "candidates")
-    if nodes.count() <= BROADCAST_NODES:
-        nodes = F.broadcast(nodes)
+    nodes = _sized(scratch.keep(nodes, "candidates"))
     return scratch.keep(signed.select(F.col("row").alias("node"), "text").join(nodes, "node"), "texts")
 
 

@@ -201,24 +201,28 @@ def quality_scores(
     repeated rows are scored each. Other columns are not looked at.
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return _scored(source, ["id"], forest).withColumnRenamed("id", id_col)
+    found = _scored(source, "id", lambda batch: batch.column("text"), forest)
+    return found.withColumnRenamed("id", id_col)
 
 
 def good_documents(docs: DataFrame, forest: Forest, least: float, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, with a score of ``least`` or more."""
-    source = docs.select(F.struct("*").alias("record"), F.col(text_col).alias("text"))
-    return _scored(source, ["record"], forest).where(F.col("score") >= least).select("record.*")
+    source = docs.select(F.struct("*").alias("record"))
+    place = docs.columns.index(text_col)
+    found = _scored(source, "record", lambda batch: batch.column("record").field(place), forest)
+    return found.where(F.col("score") >= least).select("record.*")
 
 
-def _scored(source: DataFrame, keep: list[str], forest: Forest) -> DataFrame:
-    schema = StructType([source.schema[name] for name in keep]).add("score", "double")
+def _scored(source: DataFrame, keep: str, text_of, forest: Forest) -> DataFrame:
+    schema = StructType([source.schema[keep]]).add("score", "double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, end in slices(batch.column("text")):
-                part = batch.slice(begin, end - begin)
-                values = pa.array(forest.score(statistics(part.column("text"))))
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), values], names=schema.names)
+            texts = text_of(batch)
+            for begin, end in slices(texts):
+                values = pa.array(forest.score(statistics(texts.slice(begin, end - begin))))
+                kept = batch.column(keep).slice(begin, end - begin)
+                yield pa.RecordBatch.from_arrays([kept, values], names=schema.names)
 
     return map_arrow(source, score, schema)
 
