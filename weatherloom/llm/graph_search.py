@@ -13,8 +13,6 @@ one more coordinate makes all norms equal, which keeps the order of inner produc
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -201,7 +199,14 @@ def _found(row, ask, count, beam):
     top = np.arange(len(q)) - start[q] < count
     # query rows that repeat an id are told apart by their number
     again = np.arange(len(query_ids)) - np.searchsorted(query_ids, query_ids)
-    return pa.table({"query_id": query_ids[q[top]], "ask": again[q[top]].astype(np.int32), "id": found[top], "score": score[top]})
+    return pa.table(
+        {
+            "query_id": query_ids[q[top]],
+            "ask": again[q[top]].astype(np.int32),
+            "id": found[top],
+            "score": score[top],
+        }
+    )
 
 
 def with_equal_norms(x: np.ndarray, most: float) -> np.ndarray:
