@@ -65,8 +65,9 @@ def write_monthly(
     """Write sparse monthly rows, one folder per dataset, snappy-compressed.
 
     Needs the ``dataset`` column. The whole snapshot of the date is replaced, and
-    there is no output for an empty dataset. Every task writes one file per dataset it meets; ``compact`` spends a shuffle on fewer
-    files, balanced by size, so that a large dataset still has many writers.
+    there is no output for an empty dataset. Every task writes one file per dataset
+    it meets; ``compact`` spends a shuffle on fewer files, balanced by size, so that a
+    large dataset still has many writers.
     """
     path = _snapshot(base, "monthly", snapshot_date)
     rows = sparse.select(*MONTHLY_COLUMNS, sink_label(F.col("dataset")).alias("dataset"))
@@ -143,8 +144,9 @@ def read_stations(spark: SparkSession, base: str, network: str | None = None) ->
 def latest(snapshots: DataFrame) -> DataFrame:
     """Rows of the newest of several snapshots that are read together.
 
-    To read one snapshot only, use ``snapshot="latest"`` of the readers. The newest date is a scalar subquery on the partition column: it reads no
-    data column, and its result prunes the folders of the outer scan.
+    To read one snapshot only, use ``snapshot="latest"`` of the readers. The newest
+    date is a scalar subquery on the partition column: it reads no data column, and
+    its result prunes the folders of the outer scan.
     """
     newest = snapshots.agg(F.max("snapshot_date")).scalar()
     return snapshots.filter(F.col("snapshot_date") == newest)
