@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from weatherloom.llm import near_dedup
 from weatherloom.llm.components import connected_components
 from weatherloom.llm.near_dedup import drop_near_duplicates, minhash, near_duplicates
 
@@ -64,6 +65,23 @@ def test_equals_brute_force(spark, documents, odd, which):
     assert set(groups.values()) <= {1}
 
 
+def test_alike_members_of_a_large_family(spark):
+    """All share buckets; only six, never a smallest node, are alike (126 / 142), others at most 126 / 159."""
+    base = [f"w{i}" for i in range(130)]
+    own = {i: 8 if i % 350 == 349 else 25 for i in range(2_100)}
+    rows = [(i, " ".join(base + [f"o{i}_{j}" for j in range(n)])) for i, n in own.items()]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: 349 if n == 8 else i for i, n in own.items()}
+
+
+def test_blocks_of_holders_meet(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "HOLDERS", 3)
+    rows = [(i, i % 15, 20, 7, 20 - i % 2) for i in range(30)]
+    postings = spark.createDataFrame(rows, "node long, root long, n long, shingle long, rest long")
+    got = {(r.leaf, r.centre) for r in near_dedup._pairs_of_holders(postings, 85).collect()}
+    assert got == {(a, b) for a in range(30) for b in range(a) if a % 15 != b % 15}
+
+
 def test_one_of_each_group_stays(odd):
     kept = drop_near_duplicates(odd)
     assert kept.columns == odd.columns

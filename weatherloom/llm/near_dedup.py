@@ -6,7 +6,9 @@ densification), so two texts pick alike. Bands of bins make buckets. A bucket of
 any size gives one candidate edge for each member, to its centre, and every
 candidate is confirmed on the full shingle sets. A star can miss two members that
 are alike but both unlike the centre, so buckets whose members are not yet in one
-component get another centre, until a round confirms no further link.
+component get another centre, until a round confirms no further link. The members
+of buckets that are split even then are joined exactly: two sets can only be alike
+if they share one of their rarest shingles (prefix filter with places).
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ BANDS = 24
 ROWS = 5
 # node numbers that one executor can hold: 16 bytes each in a hash relation
 BROADCAST_NODES = 2_000_000
+# holders of a shingle that are compared with each other in one group
+HOLDERS = 2_048
 
 
 def near_duplicates(
@@ -222,11 +226,83 @@ def _roots(buckets, sizes, signed, percent, width, scratch):
         fresh = scratch.keep(_candidates(pairs, sizes, percent, tried), "pairs")
         more = scratch.keep(_confirmed(fresh, texts, percent, width), "links")
         if more.isEmpty():
-            return roots
+            break
         links = links.union(more)
         roots = connected_components(links)
         tried = tried.unionByName(fresh)
         turn += 1
+    rest = scratch.keep(_untried(spread, sizes), "split")
+    fresh = scratch.keep(_by_prefix(rest, texts, percent, width, scratch).join(tried, ["leaf", "centre"], "left_anti"), "pairs")
+    more = scratch.keep(_confirmed(fresh, texts, percent, width), "links")
+    return roots if more.isEmpty() else connected_components(links.union(more))
+
+
+def _untried(spread, sizes):
+    """(node, root, n) of the members of split buckets, where pairs may be untried.
+
+    The pair in a bucket of two was tried as a star.
+    """
+    split = (
+        spread.groupBy("bucket")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
+        .where("low <> high and members > 2")
+        .select("bucket")
+    )
+    nodes = spread.join(split, "bucket").select("node", "root").distinct()
+    return nodes.join(sizes.select("node", F.col("n_shingles").alias("n")), "node")
+
+
+def _by_prefix(rest, texts, percent, width, scratch):
+    """(leaf, centre): all pairs in ``rest`` with different roots that can be alike.
+
+    Shingles are ordered by the number of holders, those with one holder first. Where
+    the first common shingle of two sets is the i-th (from 0) of n and the j-th of m,
+    they share at most n - i and m - j, and need percent * (n + m) / (100 + percent).
+    A shingle with many holders is dealt into blocks, each compared with all others.
+    """
+    chosen = texts.join(rest.select("node"), "node")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node = batch.column("node").to_numpy()
+            for begin, end in slices(batch.column("text")):
+                words = Words(batch.column("text").slice(begin, end - begin), lower=True)
+                doc, value = shingle_sets(words, width)
+                arrays = [pa.array(node[begin + doc]), pa.array(value.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["node", "shingle"])
+
+    held = map_arrow(chosen.select("node", "text"), cut, "node long, shingle long")
+    common = held.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1")
+    lists = held.join(common, "shingle").groupBy("node")
+    lists = lists.agg(F.sort_array(F.collect_list(F.struct("holders", "shingle"))).alias("list")).join(rest, "node")
+    alone = F.col("n") - F.size("list")
+    places = F.floor((100 - percent) * F.col("n") / 100) + 1 - alone
+    front = F.slice("list", F.lit(1), F.greatest(F.lit(0), places).cast("int"))
+    postings = scratch.keep(
+        lists.select("node", "root", "n", alone.alias("alone"), F.posexplode(front).alias("i", "s")).select(
+            "node", "root", "n", F.col("s.shingle").alias("shingle"), (F.col("n") - F.col("alone") - F.col("i")).alias("rest"),
+        ),
+        "postings",
+    )
+    return _pairs_of_holders(postings, percent)
+
+
+def _pairs_of_holders(postings, percent):
+    blocks = postings.groupBy("shingle").agg(
+        F.ceil(F.count("*") / HOLDERS).cast("int").alias("blocks"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    dealt = postings.join(blocks.where("low <> high").select("shingle", "blocks"), "shingle")
+    one = dealt.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    two = dealt.select(
+        "shingle", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.col("node").alias("node2"), F.col("root").alias("root2"), F.col("n").alias("n2"), F.col("rest").alias("rest2"),
+    )
+    needed = percent * (F.col("n") + F.col("n2"))
+    both = one.join(two, ["shingle", "block"]).where(
+        (F.col("node2") < F.col("node")) & (F.col("root") != F.col("root2"))
+        & ((100 + percent) * F.least("rest", "rest2") >= needed)
+    )
+    return both.select(F.col("node").alias("leaf"), F.col("node2").alias("centre")).distinct()
 
 
 def _texts(signed, nodes, scratch):
