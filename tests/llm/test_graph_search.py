@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from weatherloom.llm import graph_search
 from weatherloom.llm.graph_search import beam_search, build_graph, nearest, prune, with_equal_norms
 
 from .conftest import FOLDER
@@ -74,3 +75,27 @@ def test_small_graphs():
         graph, entry = build_graph(with_equal_norms(x, 10.0))
         ids, _ = beam_search(x.astype(np.float32), graph, entry, x.astype(np.float32), 96, inner=True)
         assert (np.sort(ids[:, : n], axis=1)[:, -n:] == np.arange(n)).all()
+
+
+@pytest.mark.parametrize("spread", [0.05, 0.3])
+def test_full_shard_of_hot_groups(spread):
+    """20 groups of 200 near copies: no query may end in another group."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([c + spread * rng.normal(size=(200, 64)) for c in rng.normal(size=(20, 64))])
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    graph, entries = build_graph(with_equal_norms(x.astype(np.float64), 1.0))
+    asks = np.arange(0, len(x), 10)
+    ids, _ = beam_search(x, graph, entries, x[asks], 96, inner=True)
+    want = np.argsort(-(x[asks] @ x.T), axis=1)[:, :20]
+    hits = [len(set(a[:20]) & set(b)) for a, b in zip(ids.tolist(), want.tolist())]
+    assert min(hits) > 0 and np.mean(hits) >= 0.99 * 20
+
+
+def test_every_point_can_be_reached():
+    """A ring of edges that lead nowhere else is joined by edges of its own."""
+    x = np.arange(12, dtype=np.float32)[:, None]
+    graph = np.array([[(i + 1) % 4 + i // 4 * 4] for i in range(12)], dtype=np.int32)
+    whole = graph_search._reachable(x, graph, np.array([0]))
+    reached = np.zeros(12, dtype=bool)
+    graph_search._spread_from(whole, np.array([0]), reached)
+    assert reached.all() and (whole[:, :1] == graph).all()

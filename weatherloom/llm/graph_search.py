@@ -5,7 +5,9 @@ added in growing batches, a greedy search from the shard's centre proposes
 neighbours for all points of a batch side by side, and pruning keeps an edge only
 if no kept neighbour is clearly nearer to its end (factor ``ALPHA``), so edges
 point in different directions. Edges are also added backward and pruned again.
-Blocks of queries search every shard with a beam; the results are merged.
+Blocks of queries search every shard with a beam; the results are merged. A search
+starts from the nearest of many spread points, so a large group near one of them
+cannot fill the beam alone, and points that no edge leads to get an edge of their own.
 
 Nearness is the inner product. The graph is built on Euclidean distances after
 one more coordinate makes all norms equal, which keeps the order of inner products.
@@ -26,6 +28,9 @@ DEGREE = 32
 BUILD_BEAM = 64
 SEARCH_BEAM = 96
 ALPHA = 1.2
+# searches start from the nearest of every ENTRY_STEP-th point and FAR_ENTRIES spread ones
+ENTRY_STEP = 8
+FAR_ENTRIES = 64
 QUERY_BLOCK = 1_024
 NEAREST = 20
 
@@ -105,7 +110,7 @@ def _index(points, shape):
         x = np.array(rows.field("vector").to_pylist(), dtype=np.float64)[order]
         ids = [rows.field("ids")[int(i)].as_py() for i in order]
         most = rows.field("most")[0].as_py()
-        graph, entry = build_graph(with_equal_norms(x, most))
+        graph, entries = build_graph(with_equal_norms(x, most))
         return pa.table(
             {
                 "dim": table.column("dim").slice(0, 1),
@@ -114,11 +119,11 @@ def _index(points, shape):
                 "ids": [np.array([i for group in ids for i in group], dtype=np.int64).tobytes()],
                 "sizes": [np.array([len(group) for group in ids], dtype=np.int32).tobytes()],
                 "graph": [graph.tobytes()],
-                "entry": pa.array([entry], pa.int32()),
+                "entries": [entries.astype(np.int32).tobytes()],
             }
         )
 
-    schema = "dim int, shard int, vectors binary, ids binary, sizes binary, graph binary, entry int"
+    schema = "dim int, shard int, vectors binary, ids binary, sizes binary, graph binary, entries binary"
     return materialise(inputs.groupBy("dim", "shard").applyInArrow(build, schema), "index")
 
 
@@ -165,7 +170,7 @@ def _search(index, blocks, many, count, beam):
         empty = pa.schema([("query_id", pa.int64()), ("ask", pa.int32()), ("id", pa.int64()), ("score", pa.float64())])
         return pa.concat_tables(out) if out else empty.empty_table()
 
-    left = shards.select(*keys, "vectors", "ids", "sizes", "graph", "entry")
+    left = shards.select(*keys, "vectors", "ids", "sizes", "graph", "entries")
     right = asked.select(*keys, "query_ids", "queries")
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
         search, "query_id long, ask int, id long, score double"
@@ -175,6 +180,7 @@ def _search(index, blocks, many, count, beam):
 def _found(row, ask, count, beam):
     x = np.frombuffer(row["vectors"]).reshape(-1, row["dim"])
     graph = np.frombuffer(row["graph"], dtype=np.int32).reshape(len(x), -1)
+    entries = np.frombuffer(row["entries"], dtype=np.int32).astype(np.int64)
     sizes, ids = np.frombuffer(row["sizes"], dtype=np.int32), np.frombuffer(row["ids"], dtype=np.int64)
     first = np.cumsum(sizes) - sizes
     query_ids = np.frombuffer(ask["query_ids"], dtype=np.int64)
@@ -182,7 +188,7 @@ def _found(row, ask, count, beam):
     near = np.full((len(queries), max(beam, count + 1)), -1, dtype=np.int64)
     for begin in range(0, len(queries), 256):
         part = queries[begin : begin + 256]
-        point, _ = beam_search(x.astype(np.float32), graph, row["entry"], part.astype(np.float32), near.shape[1], inner=True)
+        point, _ = beam_search(x.astype(np.float32), graph, entries, part.astype(np.float32), near.shape[1], inner=True)
         near[begin : begin + 256, : point.shape[1]] = point
     q, place = np.nonzero(near >= 0)
     point = near[q, place]
@@ -215,7 +221,10 @@ def with_equal_norms(x: np.ndarray, most: float) -> np.ndarray:
 
 
 def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alpha: float = ALPHA):
-    """Neighbour numbers (-1: none), one line for each point, and the point to start from."""
+    """Neighbour numbers (-1: none), one line for each point, and the points to start from.
+
+    Every point can be reached; a line is longer than ``degree`` where that takes edges.
+    """
     n = len(x)
     entry = int(((x - x.mean(axis=0)) ** 2).sum(axis=1).argmin())
     graph = np.full((n, degree), -1, dtype=np.int32)
@@ -228,11 +237,60 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, alp
     graph[first] = prune(x, first, candidates, degree, alpha)
     while done < n:
         batch = order[done : done + min(max(done // 2, 64), 512)]
-        found, visited = beam_search(x, graph, entry, x[batch], beam)
+        found, visited = beam_search(x, graph, order[: -(-done // ENTRY_STEP)], x[batch], beam)
         graph[batch] = prune(x, batch, np.concatenate([found, visited], axis=1), degree, alpha)
         _link_back(x, graph, batch, degree, alpha)
         done += len(batch)
-    return graph, entry
+    entries = np.union1d(order[: -(-n // ENTRY_STEP)], _far_points(x, entry, FAR_ENTRIES))
+    return _reachable(x, graph, entries), entries
+
+
+def _far_points(x, start, count):
+    """Up to ``count`` points, each the one farthest from those before it."""
+    out = [start]
+    d = ((x - x[start]) ** 2).sum(axis=1)
+    while len(out) < count and d.max() > 0:
+        out.append(int(d.argmax()))
+        d = np.minimum(d, ((x - x[out[-1]]) ** 2).sum(axis=1))
+    return np.array(out)
+
+
+def _spread_from(graph, points, reached):
+    """Mark all that edges lead to from ``points``; the points newly marked."""
+    new = [points]
+    reached[points] = True
+    while len(points):
+        near = np.unique(graph[points])
+        near = near[near >= 0]
+        points = near[~reached[near]]
+        reached[points] = True
+        new.append(points)
+    return np.concatenate(new)
+
+
+def _reachable(x, graph, entries):
+    """The graph with an edge from a reached point to the nearest unreached one, until none is left."""
+    reached = np.zeros(len(x), dtype=bool)
+    new = _spread_from(graph, entries, reached)
+    near = np.full(len(x), np.inf)
+    owner = np.zeros(len(x), dtype=np.int64)
+    extra = {}
+    while not reached.all():
+        rest = np.flatnonzero(~reached)
+        for begin in range(0, len(new), 128):
+            some = new[begin : begin + 128]
+            d = np.stack([((x[rest] - x[p]) ** 2).sum(axis=1) for p in some])
+            best = d.argmin(axis=0)
+            d = d[best, np.arange(len(rest))]
+            closer = d < near[rest]
+            near[rest[closer]], owner[rest[closer]] = d[closer], some[best[closer]]
+        point = int(rest[near[rest].argmin()])
+        extra.setdefault(int(owner[point]), []).append(point)
+        new = _spread_from(graph, np.array([point]), reached)
+    more = np.full((len(x), max(map(len, extra.values()), default=0)), -1, dtype=np.int32)
+    for source, targets in extra.items():
+        more[source, : len(targets)] = targets
+    return np.concatenate([graph, more], axis=1)
 
 
 def _link_back(x, graph, batch, degree, alpha):
@@ -286,6 +344,7 @@ def prune(x, points, candidates, degree, alpha):
 def beam_search(x, graph, entry, queries, beam, inner=False):
     """The ``beam`` nearest points met by each query, and the points it opened.
 
+    ``entry`` is one point or several, of which each query starts from its nearest.
     All queries take one step at a time: each opens its nearest unopened point,
     whose neighbours enter the beam. A query ends when its whole beam is opened.
     """
@@ -301,9 +360,15 @@ def beam_search(x, graph, entry, queries, beam, inner=False):
     ids = np.full((n, beam), -1, dtype=np.int64)
     dist = np.full((n, beam), far, dtype=np.float32)
     opened = np.ones((n, beam), dtype=bool)
-    ids[:, 0] = entry
-    dist[:, 0] = distance(queries, np.full((n, 1), entry))[:, 0]
-    opened[:, 0] = False
+    entry = np.atleast_1d(entry)
+    many = min(beam, len(entry))
+    for begin in range(0, n, 32):
+        some = slice(begin, begin + 32)
+        d = distance(queries[some], np.broadcast_to(entry, (len(queries[some]), len(entry))))
+        best = np.argpartition(d, many - 1, axis=1)[:, :many]
+        ids[some, :many] = entry[best]
+        dist[some, :many] = np.take_along_axis(d, best, 1)
+    opened[:, :many] = False
     seen = np.zeros((n, len(x)), dtype=bool)
     seen[:, entry] = True
     visited = []
