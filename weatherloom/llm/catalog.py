@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from weatherloom.llm.graph_search import nearest
 from weatherloom.llm.interpolation import score_texts
 from weatherloom.llm.line_rules import fit_line_model, line_rules
+from weatherloom.llm.middle import ORACLE as MIDDLE_ORACLE
+from weatherloom.llm.middle import fill_in_middle, restored
 from weatherloom.llm.mixing import ORACLE as MIX_ORACLE
 from weatherloom.llm.mixing import mix_sources
 from weatherloom.llm.near_dedup import ORACLE as NEAR_ORACLE
@@ -21,6 +23,8 @@ from weatherloom.llm.secret_scan import ORACLE as SECRET_ORACLE
 from weatherloom.llm.secret_scan import scan_secrets
 from weatherloom.llm.severity import fit_severity, severity
 from weatherloom.llm.token_counts import count_tokens
+from weatherloom.llm.vector_codes import ORACLE as CODES_ORACLE
+from weatherloom.llm.vector_codes import fit_codes, label_errors
 
 QUALITY_CUT = 0.3
 
@@ -81,6 +85,24 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """What the output is restored to is hashed, not the text that came in."""
+    cut = fill_in_middle(table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    fitted = fit_codes(table(spark, folder, "embeddings"))
+    return label_errors(fitted.codes).select(
+        F.col("id").alias("vec_id"), F.lower(F.hex("codes")).alias("code"), "error", "label_error",
+        F.lit(fitted.sha256()).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_sentencepiece": op2_sentencepiece,
@@ -92,9 +114,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_vector_codes": op13_vector_codes,
 }
 ORACLES: dict[str, str] = {
     "op1_source_mixing": MIX_ORACLE,
     "op6_secret_scan": SECRET_ORACLE,
     "op10_minhash_near_dedup": NEAR_ORACLE,
+    "op12_fill_in_middle": MIDDLE_ORACLE,
+    "op13_vector_codes": CODES_ORACLE,
 }
