@@ -17,7 +17,7 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))}
 
 
-def by_force(rows):
+def by_force(rows, percent=85):
     """(id, set size, component id) by comparing all pairs that share a shingle."""
     sets = [shingles(t) for _, t in rows]
     holders = defaultdict(list)
@@ -33,7 +33,7 @@ def by_force(rows):
         return i
 
     for (a, b), n in shared.items():
-        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             parent[root(a)] = root(b)
     ids = defaultdict(list)
     for i, (name, _) in enumerate(rows):

@@ -17,6 +17,8 @@ from weatherloom.llm.mixing import ORACLE as MIX_ORACLE
 from weatherloom.llm.mixing import mix_sources
 from weatherloom.llm.near_dedup import ORACLE as NEAR_ORACLE
 from weatherloom.llm.near_dedup import near_duplicates
+from weatherloom.llm.part_enum import ORACLE as JOIN_ORACLE
+from weatherloom.llm.part_enum import alike_components
 from weatherloom.llm.pieces import encode_pieces
 from weatherloom.llm.quality_model import fit_quality, held_out, quality_scores
 from weatherloom.llm.secret_scan import ORACLE as SECRET_ORACLE
@@ -85,6 +87,10 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return alike_components(table(spark, folder, "documents"))
+
+
 def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     """What the output is restored to is hashed, not the text that came in."""
     cut = fill_in_middle(table(spark, folder, "documents"))
@@ -114,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_ngram_jaccard_join": op11_ngram_jaccard_join,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_vector_codes": op13_vector_codes,
 }
@@ -121,6 +128,7 @@ ORACLES: dict[str, str] = {
     "op1_source_mixing": MIX_ORACLE,
     "op6_secret_scan": SECRET_ORACLE,
     "op10_minhash_near_dedup": NEAR_ORACLE,
+    "op11_ngram_jaccard_join": JOIN_ORACLE,
     "op12_fill_in_middle": MIDDLE_ORACLE,
     "op13_vector_codes": CODES_ORACLE,
 }

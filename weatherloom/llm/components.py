@@ -9,7 +9,7 @@ from weatherloom.llm.scratch import Scratch
 from weatherloom.session import materialise
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, keeper: Scratch | None = None) -> DataFrame:
     """(node, root) of every node of ``edges`` (columns ``a`` and ``b``, long).
 
     Each round maps every node to the neighbour, or itself, that comes first, and
@@ -18,10 +18,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     node, later rounds by a new hash, so that a constant share of the nodes is
     expected to go in each and long chains take a logarithmic number of rounds.
     Every round is stored, so a lost executor repeats one round at most; all but the
-    result is removed at the end.
+    result is removed at the end. The result is one of ``keeper``'s tables, if given.
     """
     with Scratch(edges.sparkSession) as scratch:
-        return materialise(_contracted(edges, scratch), "roots")
+        roots = _contracted(edges, scratch)
+        return keeper.keep(roots, "roots") if keeper else materialise(roots, "roots")
 
 
 def _contracted(edges: DataFrame, scratch: Scratch) -> DataFrame:
