@@ -119,11 +119,13 @@ def windows(hashes: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray
     n = len(hashes) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    # hashes are random numbers already: an odd factor for each place keeps their order
+    total = hashes[:n].copy()
+    for k in range(1, width):
+        total *= _RADIX
+        total += hashes[k : k + n]
     at = np.flatnonzero(doc[:n] == doc[width - 1 :])
-    total = np.zeros(len(at), dtype=np.uint64)
-    for k in range(width):
-        total = mix(total + hashes[at + k] + np.uint64(k + 1))
-    return total, at
+    return mix(total[at]), at
 
 
 def shingle_sets(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,13 +144,29 @@ def shingle_sets(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
         for k in range(width - 1):
             more = words.counts[short] > k
             total[more] = mix(total[more] + hashes[first[more] + k])
-        found, doc = np.concatenate([found, total]), np.concatenate([doc, short])
-    return distinct_in_group(doc, found)
+        place = np.searchsorted(doc, short)
+        found, doc = np.insert(found, place, total), np.insert(doc, place, short)
+    return distinct_in_runs(doc, found)
+
+
+def distinct_in_runs(group: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``distinct_in_group`` for groups that are runs in ascending order.
+
+    Short runs are sorted one by one, which is much faster than one sort by both.
+    """
+    cuts = np.flatnonzero(group[1:] != group[:-1]) + 1
+    value = value.copy()
+    for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(value)], strict=True):
+        value[begin:end].sort()
+    return _first_of_equal(group, value)
 
 
 def distinct_in_group(group: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((value, group))
-    group, value = group[order], value[order]
+    return _first_of_equal(group[order], value[order])
+
+
+def _first_of_equal(group: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(group):
         new = np.ones(len(group), dtype=bool)
         new[1:] = (group[1:] != group[:-1]) | (value[1:] != value[:-1])
