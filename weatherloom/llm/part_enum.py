@@ -31,7 +31,7 @@ from pyspark.sql.types import StructType
 from weatherloom.llm.components import connected_components
 from weatherloom.llm.scratch import Scratch
 from weatherloom.llm.shipping import map_arrow
-from weatherloom.llm.tokens import Words, distinct_in_group, mix, shingle_sets, slices
+from weatherloom.llm.tokens import Words, distinct_in_runs, mix, shingle_sets, slices
 from weatherloom.operators.joins import sized_join
 from weatherloom.session import materialise
 
@@ -315,25 +315,32 @@ def _members(source, classes, percent, width, scratch):
 
 def _roots(members, classes, hashed, percent, width, scratch):
     """(node, root) of all nodes that have a link."""
-    stars = members.groupBy("sig").agg(
-        F.min(F.struct("node", "n")).alias("centre"), F.max("node").alias("last")
-    )
-    stars = scratch.keep(
-        stars.where("centre.node <> last").select("sig", F.col("centre.node").alias("centre"), F.col("centre.n").alias("m")),
-        "stars",
+    # the centre of a signature is the holder that shares most of its own: the original
+    # of a family of copies rather than one of them
+    common = scratch.keep(members.groupBy("node").agg(F.count("*").alias("common")), "common")
+    known = members.join(_sized(common), "node")
+    stars = known.groupBy("sig").agg(
+        F.max(F.struct("common", -F.col("node"), "n")).alias("best"), F.count("*").alias("members")
     )
+    stars = stars.where("members > 1").select("sig", (-F.col("best.col2")).alias("centre"), F.col("best.n").alias("m"))
+    stars = scratch.keep(stars, "stars")
+    starred = members.join(_sized(stars), "sig")
     sized = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    pairs = members.join(_sized(stars), "sig").where((F.col("node") != F.col("centre")) & sized)
+    pairs = starred.where((F.col("node") != F.col("centre")) & sized)
     pairs = scratch.keep(pairs.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
-    texts = _texts(members.join(_sized(stars), "sig").select("node").distinct(), classes, hashed, scratch)
+    texts = _texts(starred.select("node").distinct(), classes, hashed, scratch)
     links = scratch.keep(_confirmed(pairs, texts, percent, width), "links")
     roots = connected_components(links, scratch)
     apart = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = apart.groupBy("sig").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")
-    )
-    # of two holders the pair has been compared
-    split = scratch.keep(split.where("low <> high and members > 2").select("sig", "members"), "split")
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"),
+        F.first("band").alias("band"), F.min("node").alias("first"), F.max("node").alias("last"),
+        *(F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in range(2)),
+    )
+    # of two holders the pair has been compared; signatures with the same holders are one
+    same = [c for c in split.columns if c not in ("sig", "low", "high")]
+    split = split.where("low <> high and members > 2").groupBy(*same).agg(F.min("sig").alias("sig"))
+    split = scratch.keep(split.select("sig", "members"), "split")
     rest = scratch.keep(apart.join(_sized(split), "sig"), "rest")
     if rest.isEmpty():
         return roots
@@ -369,17 +376,38 @@ def _confirmed(pairs, texts, percent, width):
         for batch in batches:
             for begin, end in slices(batch.column("text_a")):
                 part = batch.slice(begin, end - begin)
-                n = part.num_rows
-                found = [shingle_sets(Words(part.column(c), lower=True), width) for c in ("text_a", "text_b")]
-                sizes = sum(np.bincount(doc, minlength=n) for doc, _ in found)
-                union = distinct_in_group(*(np.concatenate(c) for c in zip(*found, strict=True)))[0]
-                union = np.bincount(union, minlength=n)
-                linked = 100 * (sizes - union) >= percent * union
+                left, right = (_each_once(part.column(c), part.column(f"text_{c}"), width) for c in "ab")
+                union = _in_any(left, right)
+                linked = 100 * (left.size + right.size - union) >= percent * union
                 yield part.select(["a", "b"]).filter(pa.array(linked))
 
     return map_arrow(both, confirm, "a long, b long")
 
 
+class Chosen(NamedTuple):
+    """The set of row i is ``value[begin[i]:begin[i] + size[i]]``."""
+
+    value: np.ndarray
+    begin: np.ndarray
+    size: np.ndarray
+
+
+def _each_once(nodes: pa.Array, texts: pa.Array, width: int) -> Chosen:
+    """The sets of all rows; a node that repeats is cut into shingles once."""
+    _, first, row = np.unique(nodes.to_numpy(), return_index=True, return_inverse=True)
+    sets = sets_of(texts.take(pa.array(first)), width)
+    return Chosen(sets.value, sets.offset[row], sets.size[row])
+
+
+def _in_any(left: Chosen, right: Chosen) -> np.ndarray:
+    size = left.size + right.size
+    start = np.cumsum(size) - size
+    value = np.zeros(int(size.sum()), dtype=np.uint64)
+    for side, begin in ((left, start), (right, start + left.size)):
+        value[_runs(begin, side.size)[1]] = side.value[_runs(side.begin, side.size)[1]]
+    return np.bincount(distinct_in_runs(np.repeat(np.arange(len(size)), size), value)[0], minlength=len(size))
+
+
 def _sketched(rest, texts, percent, width):
     """``rest`` with the sketch of each node for the band of its signature."""
     wanted = rest.groupBy("node").agg(F.collect_set("band").alias("bands")).join(texts, "node")
