@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from weatherloom.llm import near_dedup
+from weatherloom.llm import alike
 from weatherloom.llm.components import connected_components
 from weatherloom.llm.near_dedup import drop_near_duplicates, minhash, near_duplicates
 
@@ -74,12 +74,13 @@ def test_alike_members_of_a_large_family(spark):
     assert {r.doc_id: r.component_id for r in got} == {i: 349 if n == 8 else i for i, n in own.items()}
 
 
-def test_blocks_of_holders_meet(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "HOLDERS", 3)
-    rows = [(i, i % 15, 20, 7, 20 - i % 2) for i in range(30)]
-    postings = spark.createDataFrame(rows, "node long, root long, n long, shingle long, rest long")
-    got = {(r.leaf, r.centre) for r in near_dedup._pairs_of_holders(postings, 85).collect()}
-    assert got == {(a, b) for a in range(30) for b in range(a) if a % 15 != b % 15}
+def test_blocks_of_members_meet(spark, monkeypatch):
+    """Every pair of a bucket with different roots is in one tile; equal sketches reject none."""
+    monkeypatch.setattr(alike, "TILE", 3)
+    rows = [(7, i, i % 15, 20, 30, bytes(8)) for i in range(30)]
+    rest = spark.createDataFrame(rows, "bucket long, node long, root long, n long, members long, sketch binary")
+    got = {(r.a, r.b) for r in alike._tiled(rest, 85).collect()}
+    assert got == {(b, a) for a in range(30) for b in range(a) if a % 15 != b % 15}
 
 
 def test_one_of_each_group_stays(odd):

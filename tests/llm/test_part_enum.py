@@ -4,8 +4,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from weatherloom.llm import part_enum
-from weatherloom.llm.part_enum import Sets, alike_components, bands_to, signatures, sketches
+from weatherloom.llm import alike, part_enum
+from weatherloom.llm.alike import Sets, differing, folded, groups, sketches
+from weatherloom.llm.part_enum import alike_components, bands_to, signatures
 
 from .test_near_dedup import by_force
 
@@ -56,10 +57,9 @@ def test_bands_cover_all_sizes():
 def test_sketches_never_reject():
     rng = np.random.default_rng(1)
     for sets in drawn_pairs(rng, 300, 80):
-        band = np.full(2, len(bands_to(int(sets.size.max()), 80)) - 2)
-        if bands_to(int(sets.size.max()), 80)[band[0]].k:
-            a, b = (np.frombuffer(s, np.uint8) for s in sketches(sets, np.arange(2), band))
-            assert np.bitwise_count(a ^ b).sum() <= part_enum.differing(sets.size.sum(), 80)
+        a, b = sketches(sets, 80)
+        a, b = folded(a, len(b)), folded(b, len(a))
+        assert np.bitwise_count(a ^ b).sum() <= differing(sets.size.sum(), 80)
 
 
 def planted():
@@ -93,7 +93,7 @@ def family(n):
 
 
 def test_alike_members_of_a_large_family(spark, monkeypatch):
-    monkeypatch.setattr(part_enum, "TILE", 64)
+    monkeypatch.setattr(alike, "TILE", 64)
     rows = family(600)
     got = alike_components(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(by_force(rows, 80))
@@ -102,7 +102,7 @@ def test_alike_members_of_a_large_family(spark, monkeypatch):
 
 def test_shuffled_joins_give_the_same(spark, monkeypatch):
     """Beyond the sizes that are broadcast."""
-    monkeypatch.setattr(part_enum, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(alike, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(part_enum, "OWNER_ROW_BYTES", 1 << 40)
     rows = planted() + [(5, planted()[0][1]), (6, planted()[0][1]), (7, None), (None, "a b c d e f g h")]
     got = alike_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
@@ -117,5 +117,5 @@ def test_groups_over_batches():
     def batch(keys):
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64())], names=["k"])
 
-    got = part_enum._groups(iter([batch([1, 1]), batch([]), batch([1, 2, 3]), batch([3])]), ["k"])
+    got = groups(iter([batch([1, 1]), batch([]), batch([1, 2, 3]), batch([3])]), ["k"])
     assert [t.column("k").to_pylist() for t in got] == [[1, 1, 1], [2], [3, 3]]

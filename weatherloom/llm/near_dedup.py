@@ -5,10 +5,8 @@ bins copy a full bin picked by a hash of the bin and the attempt alone (optimal
 densification), so two texts pick alike. Bands of bins make buckets. A bucket of
 any size gives one candidate edge for each member, to its centre, and every
 candidate is confirmed on the full shingle sets. A star can miss two members that
-are alike but both unlike the centre, so buckets whose members are not yet in one
-component get another centre, until a round confirms no further link. The members
-of buckets that are split even then are joined exactly: two sets can only be alike
-if they share one of their rarest shingles (prefix filter with places).
+are alike but both unlike the centre, so buckets whose members are not in one
+component after that are completed exactly (see ``alike``).
 """
 
 from __future__ import annotations
@@ -21,20 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from weatherloom.llm.components import connected_components
+from weatherloom.llm.alike import Sets, alike_roots, sets_of, sized
 from weatherloom.llm.scratch import Scratch
 from weatherloom.llm.shipping import map_arrow
-from weatherloom.llm.tokens import Words, distinct_in_group, mix, shingle_sets, slices
+from weatherloom.llm.tokens import mix, slices
 from weatherloom.session import materialise
 
 WIDTH = 5
 PERCENT = 85
 BANDS = 24
 ROWS = 5
-# node numbers that one executor can hold: 16 bytes each in a hash relation
-BROADCAST_NODES = 2_000_000
-# holders of a shingle that are compared with each other in one group
-HOLDERS = 2_048
 
 
 def near_duplicates(
@@ -78,12 +72,7 @@ def drop_near_duplicates(
     signed = materialise(_signed(docs, id_col, text_col, width, bands, rows, True), "signed")
     texts = signed.withColumn("text", F.col("record")[text_col])
     goes = materialise(_decided(texts, percent, width).where("not first").select("row"), "dropped")
-    return signed.join(_sized(goes), "row", "left_anti").select("record.*")
-
-
-def _sized(rows: DataFrame) -> DataFrame:
-    """Row numbers to join with: broadcast if there are at most ``BROADCAST_NODES``."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_NODES else rows
+    return signed.join(sized(goes), "row", "left_anti").select("record.*")
 
 
 def _signed(docs, id_col, text_col, width, bands, rows, whole):
@@ -101,28 +90,23 @@ def _signed(docs, id_col, text_col, width, bands, rows, whole):
         for batch in batches:
             texts = batch.column("record").field(place) if whole else batch.column("text")
             for begin, end in slices(texts):
-                sets = shingle_sets(Words(texts.slice(begin, end - begin), lower=True), width)
-                yield _add_signature(batch.slice(begin, end - begin), *sets, bands, rows)
+                sets = sets_of(texts.slice(begin, end - begin), width)
+                yield _add_signature(batch.slice(begin, end - begin), sets, bands, rows)
 
     return map_arrow(source, sign, schema)
 
 
-def _add_signature(part, doc, value, bands, rows):
+def _add_signature(part, sets: Sets, bands, rows):
     n = part.num_rows
-    counts = np.bincount(doc, minlength=n)
-    keys = []
-    for salt in (0x1234567, 0x7654321):
-        total = np.zeros(n, dtype=np.uint64)
-        np.add.at(total, doc, mix(value ^ mix(np.array([salt], dtype=np.uint64))))
-        keys.append(total.view(np.int64))
-    buckets = band_hashes(minhash(doc, value, n, bands * rows), bands)
-    full = counts > 0
+    doc = np.repeat(np.arange(n), sets.size)
+    buckets = band_hashes(minhash(doc, sets.value, n, bands * rows), bands)
+    full = sets.size > 0
     offsets = np.zeros(n + 1, dtype=np.int32)
     np.cumsum(np.where(full, bands, 0), out=offsets[1:])
     arrays = [
-        pa.array(counts.astype(np.int64)),
-        pa.array(keys[0]),
-        pa.array(keys[1]),
+        pa.array(sets.size),
+        pa.array(sets.key1),
+        pa.array(sets.key2),
         pa.ListArray.from_arrays(offsets, pa.array(buckets[full].ravel().view(np.int64))),
     ]
     names = [*part.schema.names, "n_shingles", "key1", "key2", "buckets"]
@@ -174,13 +158,13 @@ def _decided(signed, percent, width):
         "nodes",
     )
     with Scratch(signed.sparkSession) as scratch:
+        own = signed.select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), "buckets")
         buckets = scratch.keep(
-            nodes.select("node")
-            .join(signed.select(F.col("row").alias("node"), "buckets"), "node")
-            .select("node", F.explode("buckets").alias("bucket")),
-            "buckets",
+            own.join(nodes.select("node"), "node").select("node", "n", F.explode("buckets").alias("bucket")), "buckets"
         )
-        roots = _roots(buckets, nodes.select("node", "n_shingles"), signed, percent, width, scratch)
+        texts = signed.select(F.col("row").alias("node"), "text")
+        roots = alike_roots(buckets, lambda wanted: texts.join(sized(wanted), "node"), percent, width, scratch)
+        roots = materialise(roots, "roots")
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least").alias("first"))
     owner = named.join(least, "root").select(
@@ -198,162 +182,6 @@ def _decided(signed, percent, width):
     )
 
 
-def _roots(buckets, sizes, signed, percent, width, scratch):
-    """(node, root) of all nodes that have a link."""
-    shared = buckets.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("other"))
-    shared = shared.where("centre <> other").select("bucket", "centre")
-    # most buckets have one member; only the others matter from here on
-    buckets = scratch.keep(buckets.join(shared, "bucket"), "shared")
-    texts = _texts(signed, buckets.select("node").distinct(), scratch)
-    tried = scratch.keep(_candidates(buckets.where("node <> centre"), sizes, percent), "pairs")
-    links = scratch.keep(_confirmed(tried, texts, percent, width), "links")
-    roots = connected_components(links)
-    turn = 1
-    while True:
-        spread = buckets.select("bucket", "node").join(roots, "node", "left")
-        spread = spread.withColumn("root", F.coalesce("root", "node"))
-        rank = F.xxhash64("node", F.lit(turn))
-        split = (
-            spread.groupBy("bucket")
-            .agg(
-                F.min("root").alias("low"), F.max("root").alias("high"),
-                F.min_by("node", rank).alias("centre"), F.min_by("root", rank).alias("of"),
-            )
-            .where("low <> high")
-            .select("bucket", "centre", "of")
-        )
-        pairs = spread.join(split, "bucket").where("root <> of")
-        fresh = scratch.keep(_candidates(pairs, sizes, percent, tried), "pairs")
-        more = scratch.keep(_confirmed(fresh, texts, percent, width), "links")
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        roots = connected_components(links)
-        tried = tried.unionByName(fresh)
-        turn += 1
-    rest = scratch.keep(_untried(spread, sizes), "split")
-    fresh = scratch.keep(_by_prefix(rest, texts, percent, width, scratch).join(tried, ["leaf", "centre"], "left_anti"), "pairs")
-    more = scratch.keep(_confirmed(fresh, texts, percent, width), "links")
-    return roots if more.isEmpty() else connected_components(links.union(more))
-
-
-def _untried(spread, sizes):
-    """(node, root, n) of the members of split buckets, where pairs may be untried.
-
-    The pair in a bucket of two was tried as a star.
-    """
-    split = (
-        spread.groupBy("bucket")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
-        .where("low <> high and members > 2")
-        .select("bucket")
-    )
-    nodes = spread.join(split, "bucket").select("node", "root").distinct()
-    return nodes.join(sizes.select("node", F.col("n_shingles").alias("n")), "node")
-
-
-def _by_prefix(rest, texts, percent, width, scratch):
-    """(leaf, centre): all pairs in ``rest`` with different roots that can be alike.
-
-    Shingles are ordered by the number of holders, those with one holder first. Where
-    the first common shingle of two sets is the i-th (from 0) of n and the j-th of m,
-    they share at most n - i and m - j, and need percent * (n + m) / (100 + percent).
-    A shingle with many holders is dealt into blocks, each compared with all others.
-    """
-    chosen = texts.join(rest.select("node"), "node")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            node = batch.column("node").to_numpy()
-            for begin, end in slices(batch.column("text")):
-                words = Words(batch.column("text").slice(begin, end - begin), lower=True)
-                doc, value = shingle_sets(words, width)
-                arrays = [pa.array(node[begin + doc]), pa.array(value.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["node", "shingle"])
-
-    held = map_arrow(chosen.select("node", "text"), cut, "node long, shingle long")
-    common = held.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1")
-    lists = held.join(common, "shingle").groupBy("node")
-    lists = lists.agg(F.sort_array(F.collect_list(F.struct("holders", "shingle"))).alias("list")).join(rest, "node")
-    alone = F.col("n") - F.size("list")
-    places = F.floor((100 - percent) * F.col("n") / 100) + 1 - alone
-    front = F.slice("list", F.lit(1), F.greatest(F.lit(0), places).cast("int"))
-    postings = scratch.keep(
-        lists.select("node", "root", "n", alone.alias("alone"), F.posexplode(front).alias("i", "s")).select(
-            "node", "root", "n", F.col("s.shingle").alias("shingle"), (F.col("n") - F.col("alone") - F.col("i")).alias("rest"),
-        ),
-        "postings",
-    )
-    return _pairs_of_holders(postings, percent)
-
-
-def _pairs_of_holders(postings, percent):
-    blocks = postings.groupBy("shingle").agg(
-        F.ceil(F.count("*") / HOLDERS).cast("int").alias("blocks"), F.min("root").alias("low"), F.max("root").alias("high")
-    )
-    dealt = postings.join(blocks.where("low <> high").select("shingle", "blocks"), "shingle")
-    one = dealt.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    two = dealt.select(
-        "shingle", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.col("node").alias("node2"), F.col("root").alias("root2"), F.col("n").alias("n2"), F.col("rest").alias("rest2"),
-    )
-    needed = percent * (F.col("n") + F.col("n2"))
-    both = one.join(two, ["shingle", "block"]).where(
-        (F.col("node2") < F.col("node")) & (F.col("root") != F.col("root2"))
-        & ((100 + percent) * F.least("rest", "rest2") >= needed)
-    )
-    return both.select(F.col("node").alias("leaf"), F.col("node2").alias("centre")).distinct()
-
-
-def _texts(signed, nodes, scratch):
-    """Texts of the nodes that share a bucket, which are few in most corpora.
-
-    Their numbers are broadcast up to ``BROADCAST_NODES``; more are joined by
-    shuffling the texts once.
-    """
-    nodes = _sized(scratch.keep(nodes, "candidates"))
-    return scratch.keep(signed.select(F.col("row").alias("node"), "text").join(nodes, "node"), "texts")
-
-
-def _candidates(pairs, sizes, percent, tried=None):
-    """(leaf, centre), each pair once, the smaller node second; the sizes allow a link."""
-    pairs = pairs.select(
-        F.greatest("node", "centre").alias("leaf"), F.least("node", "centre").alias("centre")
-    ).distinct()
-    if tried is not None:
-        pairs = pairs.join(tried, ["leaf", "centre"], "left_anti")
-    pairs = pairs.join(sizes.select(F.col("node").alias("leaf"), F.col("n_shingles").alias("n")), "leaf").join(
-        sizes.select(F.col("node").alias("centre"), F.col("n_shingles").alias("m")), "centre"
-    )
-    allowed = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    return pairs.where(allowed).select("leaf", "centre")
-
-
-def _confirmed(pairs, texts, percent, width):
-    leaf = texts.select(F.col("node").alias("leaf"), F.col("text").alias("leaf_text"))
-    centre = texts.select(F.col("node").alias("centre"), F.col("text").alias("centre_text"))
-    both = pairs.join(leaf, "leaf").join(centre, "centre")
-
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin, end in slices(batch.column("leaf_text")):
-                part = batch.slice(begin, end - begin)
-                a = shingle_sets(Words(part.column("leaf_text"), lower=True), width)
-                b = shingle_sets(Words(part.column("centre_text"), lower=True), width)
-                linked = alike(a, b, part.num_rows, percent)
-                yield part.select(["leaf", "centre"]).filter(pa.array(linked)).rename_columns(["a", "b"])
-
-    return map_arrow(both, confirm, "a long, b long")
-
-
-def alike(a, b, n: int, percent: int) -> np.ndarray:
-    """Whether the i-th sets of ``a`` and ``b``, as (set, hash) arrays, are linked."""
-    sizes = np.bincount(a[0], minlength=n) + np.bincount(b[0], minlength=n)
-    doc, value = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
-    union = np.bincount(distinct_in_group(doc, value)[0], minlength=n)
-    return 100 * (sizes - union) >= percent * union
-
-
 # all pairs that share a shingle, and all that links reach; for small tables
 ORACLE = rf"""
 WITH RECURSIVE words AS (

@@ -10,9 +10,8 @@ A set also signs the band above its own if a partner may be there. Empty cells s
 nothing, so they make no signatures; a set that has too many parts with empty choices
 to be sure of a shared one signs again with another cut of the domain.
 
-Sets that share a signature are compared in full with the smallest holder; holders
-that are still apart after that are compared with each other in tiles of bounded size,
-on parity sketches first, which never reject an alike pair.
+Every holder of a signature is compared in full with one of them; holders that are
+still apart after that are compared with each other (see ``alike``).
 """
 
 from __future__ import annotations
@@ -28,10 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from weatherloom.llm.components import connected_components
+from weatherloom.llm.alike import Sets, alike_roots, differing, runs, sets_of, sized
 from weatherloom.llm.scratch import Scratch
 from weatherloom.llm.shipping import map_arrow
-from weatherloom.llm.tokens import Words, distinct_in_runs, mix, shingle_sets, slices
+from weatherloom.llm.tokens import mix, slices
 from weatherloom.operators.joins import sized_join
 from weatherloom.session import materialise
 
@@ -41,12 +40,6 @@ PERCENT = 80
 LONG_UP_TO = 96
 # parts that differ little, over those expected to have an empty choice
 MARGIN = 1.6
-# bits of a sketch for each element that may differ
-SKETCH_BITS = 8
-# holders of a signature that are compared with as many others in one step
-TILE = 2_048
-# rows that one executor can hold: signatures or node numbers in a hash relation
-BROADCAST_ROWS = 2_000_000
 # in-memory bytes of a set's key with the name of its component, generous
 OWNER_ROW_BYTES = 128
 KEY = ["n", "key1", "key2"]
@@ -63,11 +56,6 @@ class Band(NamedTuple):
     cells: int
 
 
-def differing(size_sum, percent: int):
-    """The most elements in only one of two alike sets."""
-    return size_sum * (100 - percent) // (100 + percent)
-
-
 @lru_cache(maxsize=8)
 def spare_parts(percent: int) -> float:
     """Parts beyond those that k needs, as a share of them.
@@ -95,34 +83,6 @@ def bands_to(most: int, percent: int) -> tuple[Band, ...]:
     return tuple(out)
 
 
-class Sets(NamedTuple):
-    """Distinct shingles of texts: those of text i are ``value[offset[i]:offset[i + 1]]``."""
-
-    value: np.ndarray
-    offset: np.ndarray
-    size: np.ndarray
-    key1: np.ndarray
-    key2: np.ndarray
-
-
-def sets_of(texts: pa.Array, width: int) -> Sets:
-    doc, value = shingle_sets(Words(texts, lower=True), width)
-    size = np.bincount(doc, minlength=len(texts)).astype(np.int64)
-    offset = np.concatenate([[0], np.cumsum(size)])
-    keys = []
-    for salt in (0x2545F491, 0x4F6CDD1D):
-        total = np.zeros(len(texts), dtype=np.uint64)
-        np.add.at(total, doc, mix(value ^ mix(np.array([salt], dtype=np.uint64))))
-        keys.append(total.view(np.int64))
-    return Sets(value, offset, size, *keys)
-
-
-def _runs(begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(run, place) of all places of runs that begin at ``begin``."""
-    run = np.repeat(np.arange(len(length)), length)
-    return run, np.arange(len(run)) - np.repeat(np.cumsum(length) - length, length) + np.repeat(begin, length)
-
-
 def band_members(sets: Sets, bands: tuple[Band, ...], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, band): the own band, and the next one where a partner's size may be in it."""
     low = np.array([b.low for b in bands])
@@ -153,7 +113,7 @@ def signatures(sets: Sets, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarr
 def _sign(sets, text, band, bands, cells, turn, percent):
     """Signatures by the ``turn``-th cut of the domain, and who cannot be sure of a shared one."""
     parts = np.array([b.parts for b in bands])[band]
-    run, place = _runs(sets.offset[text], sets.size[text])
+    run, place = runs(sets.offset[text], sets.size[text])
     drawn = mix(sets.value[place] + mix(np.array([turn + 1], dtype=np.uint64)))
     cell = ((drawn >> np.uint64(32)) * (parts * cells).astype(np.uint64)[run]) >> np.uint64(32)
     first = np.cumsum(parts) - parts
@@ -163,7 +123,7 @@ def _sign(sets, text, band, bands, cells, turn, percent):
     np.add.at(total, at, mix(~drawn))
     filled = np.bincount(at, minlength=n * cells).reshape(n, cells) > 0
     total = total.reshape(n, cells)
-    owner, part = _runs(np.zeros(len(parts), np.int64), parts)
+    owner, part = runs(np.zeros(len(parts), np.int64), parts)
     label = mix((band[owner] << 8).astype(np.uint64) + np.uint64(turn))
     label = mix(label + part.astype(np.uint64))
     at, signature, empty = [], [], np.zeros(n, dtype=bool)
@@ -183,23 +143,6 @@ def _sign(sets, text, band, bands, cells, turn, percent):
     return np.concatenate(at), np.concatenate(signature), unsure
 
 
-def sketches(sets: Sets, text: np.ndarray, band: np.ndarray, percent: int = PERCENT) -> list[bytes]:
-    """For each text and band the parity of the elements that fall on each bit.
-
-    An element in only one of two sets changes one bit, so the bits that differ are
-    at most as many as the elements that do.
-    """
-    bands = bands_to(int(sets.size.max(initial=1)), percent)
-    bits = np.array([64 * -(-SKETCH_BITS * b.k // 64) for b in bands])[band]
-    run, place = _runs(sets.offset[text], sets.size[text])
-    drawn = mix(sets.value[place] ^ np.uint64(0x6A09E667F3BCC909))
-    bit = ((drawn >> np.uint64(32)) * bits.astype(np.uint64)[run]) >> np.uint64(32)
-    first = np.cumsum(bits) - bits
-    odd = np.bincount(first[run] + bit.astype(np.int64), minlength=int(bits.sum())) & 1
-    packed = np.packbits(odd.astype(bool))
-    return [packed[a // 8 : (a + b) // 8].tobytes() for a, b in zip(first.tolist(), bits.tolist(), strict=True)]
-
-
 def alike_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -234,7 +177,7 @@ def alike_components(
             classes.select(F.monotonically_increasing_id().alias("node"), *KEY, "least", "rows", "t.*"), "classes"
         )
         members = scratch.keep(_members(source, classes, percent, width, scratch), "members")
-        roots = _roots(members, classes, hashed, percent, width, scratch)
+        roots = alike_roots(members, lambda nodes: _texts(nodes, classes, hashed, scratch), percent, width, scratch)
         linked = classes.join(roots, "node", "left")
         least = linked.where("root is not null").groupBy("root").agg(F.min("least").alias("component"))
         owners = linked.where("root is not null or rows > 1").join(least, "root", "left")
@@ -267,41 +210,37 @@ def _keys(hashed: DataFrame, width: int) -> DataFrame:
 def _signed(source: DataFrame, percent: int, width: int, whole: bool) -> DataFrame:
     """One row for each signature of each set, copies in a task once.
 
-    With the set's key and band, or with a short hash of key and signature that tells
+    With the set's key, or with a short hash of key and signature that tells
     whether two holders are different.
     """
-    schema = "sig long, band int, n long, key1 long, key2 long" if whole else "sig long, mark int"
+    schema = "sig long, n long, key1 long, key2 long" if whole else "sig long, mark int"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             for begin, end in slices(batch.column("text")):
                 sets = sets_of(batch.column("text").slice(begin, end - begin), width)
-                text, band, signature = signatures(sets, percent)
+                text, _, signature = signatures(sets, percent)
                 fresh = np.zeros(len(sets.size), dtype=bool)
                 for i, key in enumerate(zip(sets.key1.tolist(), sets.key2.tolist(), strict=True)):
                     fresh[i] = key not in seen
                     seen.add(key)
                 chosen = fresh[text]
-                text, band, signature = text[chosen], band[chosen], signature[chosen]
+                text, signature = text[chosen], signature[chosen]
                 if whole:
-                    arrays = [pa.array(band.astype(np.int32)), *(pa.array(a[text]) for a in sets[2:])]
+                    arrays = [pa.array(a[text]) for a in (sets.size, sets.key1, sets.key2)]
                 else:
                     mark = mix(sets.key1[text].view(np.uint64) ^ mix(signature)) >> np.uint64(32)
                     arrays = [pa.array(mark.astype(np.uint32).view(np.int32))]
                 arrays.insert(0, pa.array(signature.view(np.int64)))
-                names = ["sig", "band", *KEY] if whole else ["sig", "mark"]
+                names = ["sig", *KEY] if whole else ["sig", "mark"]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return map_arrow(source.select("text"), sign, schema)
 
 
-def _sized(rows: DataFrame) -> DataFrame:
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-
-
 def _members(source, classes, percent, width, scratch):
-    """(sig, band, node, n) of the signatures that different sets share.
+    """(bucket, node, n): the holders of each signature that different sets share.
 
     Most signatures have one holder. The first pass finds the others and moves twelve
     bytes for each signature, the second only fetches the holders.
@@ -309,187 +248,15 @@ def _members(source, classes, percent, width, scratch):
     held = _signed(source, percent, width, False).groupBy("sig")
     held = held.agg(F.min("mark").alias("low"), F.max("mark").alias("high"))
     shared = scratch.keep(held.where("low <> high").select("sig"), "shared")
-    holders = _signed(source, percent, width, True).join(_sized(shared), "sig").distinct()
-    return holders.join(classes.select("node", *KEY), KEY).select("sig", "band", "node", "n")
-
-
-def _roots(members, classes, hashed, percent, width, scratch):
-    """(node, root) of all nodes that have a link."""
-    # the centre of a signature is the holder that shares most of its own: the original
-    # of a family of copies rather than one of them
-    common = scratch.keep(members.groupBy("node").agg(F.count("*").alias("common")), "common")
-    known = members.join(_sized(common), "node")
-    stars = known.groupBy("sig").agg(
-        F.max(F.struct("common", -F.col("node"), "n")).alias("best"), F.count("*").alias("members")
-    )
-    stars = stars.where("members > 1").select("sig", (-F.col("best.col2")).alias("centre"), F.col("best.n").alias("m"))
-    stars = scratch.keep(stars, "stars")
-    starred = members.join(_sized(stars), "sig")
-    sized = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
-    pairs = starred.where((F.col("node") != F.col("centre")) & sized)
-    pairs = scratch.keep(pairs.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
-    texts = _texts(starred.select("node").distinct(), classes, hashed, scratch)
-    links = scratch.keep(_confirmed(pairs, texts, percent, width), "links")
-    roots = connected_components(links, scratch)
-    apart = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = apart.groupBy("sig").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"),
-        F.first("band").alias("band"), F.min("node").alias("first"), F.max("node").alias("last"),
-        *(F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in range(2)),
-    )
-    # of two holders the pair has been compared; signatures with the same holders are one
-    same = [c for c in split.columns if c not in ("sig", "low", "high")]
-    split = split.where("low <> high and members > 2").groupBy(*same).agg(F.min("sig").alias("sig"))
-    split = scratch.keep(split.select("sig", "members"), "split")
-    rest = scratch.keep(apart.join(_sized(split), "sig"), "rest")
-    if rest.isEmpty():
-        return roots
-    tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    fresh = _tiled(_sketched(rest, texts, percent, width), percent).join(tried, ["a", "b"], "left_anti")
-    more = scratch.keep(_confirmed(scratch.keep(fresh, "pairs"), texts, percent, width), "links")
-    if more.isEmpty():
-        return roots
-    # the components found so far are the nodes now
-    single = more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(roots, "node", "left_anti")
-    of = scratch.keep(roots.union(single.select("node", F.col("node").alias("root"))), "roots")
-    edges = more.join(of.select(F.col("node").alias("a"), F.col("root").alias("x")), "a")
-    edges = edges.join(of.select(F.col("node").alias("b"), F.col("root").alias("y")), "b")
-    merged = connected_components(edges.select(F.col("x").alias("a"), F.col("y").alias("b")), scratch)
-    merged = merged.select(F.col("node").alias("root"), F.col("root").alias("into"))
-    return of.join(merged, "root", "left").select("node", F.coalesce("into", "root").alias("root"))
+    holders = _signed(source, percent, width, True).join(sized(shared), "sig").distinct()
+    return holders.join(classes.select("node", *KEY), KEY).select(F.col("sig").alias("bucket"), "node", "n")
 
 
 def _texts(nodes, classes, hashed, scratch):
     """One text of each node, found again by two hashes of the text."""
     wanted = scratch.keep(nodes.join(classes, "node").select("node", "t1", "t2"), "wanted")
-    found = hashed.select("text", "t1", "t2").join(_sized(wanted), ["t1", "t2"])
-    return scratch.keep(found.groupBy("node").agg(F.first("text").alias("text")), "texts")
-
-
-def _confirmed(pairs, texts, percent, width):
-    """The pairs (a, b) that are linked, by their whole sets."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
-
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin, end in slices(batch.column("text_a")):
-                part = batch.slice(begin, end - begin)
-                left, right = (_each_once(part.column(c), part.column(f"text_{c}"), width) for c in "ab")
-                union = _in_any(left, right)
-                linked = 100 * (left.size + right.size - union) >= percent * union
-                yield part.select(["a", "b"]).filter(pa.array(linked))
-
-    return map_arrow(both, confirm, "a long, b long")
-
-
-class Chosen(NamedTuple):
-    """The set of row i is ``value[begin[i]:begin[i] + size[i]]``."""
-
-    value: np.ndarray
-    begin: np.ndarray
-    size: np.ndarray
-
-
-def _each_once(nodes: pa.Array, texts: pa.Array, width: int) -> Chosen:
-    """The sets of all rows; a node that repeats is cut into shingles once."""
-    _, first, row = np.unique(nodes.to_numpy(), return_index=True, return_inverse=True)
-    sets = sets_of(texts.take(pa.array(first)), width)
-    return Chosen(sets.value, sets.offset[row], sets.size[row])
-
-
-def _in_any(left: Chosen, right: Chosen) -> np.ndarray:
-    size = left.size + right.size
-    start = np.cumsum(size) - size
-    value = np.zeros(int(size.sum()), dtype=np.uint64)
-    for side, begin in ((left, start), (right, start + left.size)):
-        value[_runs(begin, side.size)[1]] = side.value[_runs(side.begin, side.size)[1]]
-    return np.bincount(distinct_in_runs(np.repeat(np.arange(len(size)), size), value)[0], minlength=len(size))
-
-
-def _sketched(rest, texts, percent, width):
-    """``rest`` with the sketch of each node for the band of its signature."""
-    wanted = rest.groupBy("node").agg(F.collect_set("band").alias("bands")).join(texts, "node")
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin, end in slices(batch.column("text")):
-                part = batch.slice(begin, end - begin)
-                lists = part.column("bands")
-                text = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy())
-                band = lists.flatten().to_numpy()
-                made = sketches(sets_of(part.column("text"), width), text, band, percent)
-                node = part.column("node").to_numpy()[text]
-                arrays = [pa.array(node), pa.array(band), pa.array(made, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["node", "band", "sketch"])
-
-    made = map_arrow(wanted.select("node", "bands", "text"), sketch, "node long, band int, sketch binary")
-    return rest.join(made, ["node", "band"])
-
-
-def _tiled(rest, percent):
-    """(a, b), a < b: holders of one signature with different roots that may be alike.
-
-    The holders of a signature are dealt into blocks, and every two blocks, or a block
-    with itself, are one tile. Only pairs whose sketches allow a link come out.
-    """
-    blocks = F.ceil(F.col("members") / TILE).cast("int")
-    dealt = rest.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tiles = dealt.select("sig", "band", "node", "root", "n", "sketch", "own", other)
-    ends = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    tiles = tiles.select("sig", "band", *ends, "own", "node", "root", "n", "sketch")
-    tile_of = ["sig", "band", "i", "j"]
-    tiles = tiles.repartition(*tile_of).sortWithinPartitions(*tile_of, "own", "node")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tile in _groups(batches, tile_of):
-            a, b = _compared(tile, percent)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    return map_arrow(tiles, compare, "a long, b long").distinct()
-
-
-def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
-    """Tables of the rows with equal ``by``, from batches that are sorted by them."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(c).to_numpy() for c in by]
-        new = np.any([c[1:] != c[:-1] for c in columns], axis=0)
-        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
-        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-            key = tuple(int(c[begin]) for c in columns)
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(begin, end - begin))
-            last = key
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _compared(tile: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    node, root, n, own = (tile.column(c).to_numpy() for c in ("node", "root", "n", "own"))
-    i, j = tile.column("i")[0].as_py(), tile.column("j")[0].as_py()
-    sketch = np.frombuffer(b"".join(tile.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(node), -1)
-    found = [np.zeros((0, 2), np.int64)]
-    rows = np.flatnonzero(own == i)
-    across = np.flatnonzero(own == j)
-    for at in rows.tolist():
-        others = across if i != j else across[across > at]
-        others = others[
-            (root[others] != root[at])
-            & (100 * np.minimum(n[others], n[at]) >= percent * np.maximum(n[others], n[at]))
-        ]
-        apart = np.bitwise_count(sketch[others] ^ sketch[at]).sum(axis=1, dtype=np.int64)
-        others = others[apart <= differing(n[others] + n[at], percent)]
-        found.append(np.stack([np.full(len(others), node[at]), node[others]], axis=1))
-    pairs = np.concatenate(found)
-    return pairs.min(axis=1), pairs.max(axis=1)
+    found = hashed.select("text", "t1", "t2").join(sized(wanted), ["t1", "t2"])
+    return found.groupBy("node").agg(F.first("text").alias("text"))
 
 
 # all pairs that share a shingle, and all that links reach; for small tables
