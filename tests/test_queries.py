@@ -111,6 +111,29 @@ def test_examine_sample(spark, tmp_path):
     assert wl.examine_sample(spark, str(tmp_path), suffix="none") == {}
 
 
+def test_first_lines_read_the_first_files_only(spark, tmp_path):
+    """One file as a rule, more where they hold too few lines; unread ones may be broken."""
+    for name, years in {"A.raw.tmax": [1990, 1880], "sub/B.raw.tmax": [1700], "C.raw.tmin": range(1900, 1950)}.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("".join(monthly_line([1] * 12, year=y) + "\n" for y in years))
+    (tmp_path / "empty").mkdir()
+
+    def found(count, **options):
+        lines = wl.first_lines(spark, str(tmp_path), count, **options)
+        files = {name.rsplit("/", 1)[-1] for name in lines.inputFiles()}
+        return [(r.file_name, int(r.line[12:16])) for r in lines.collect()], files
+
+    assert found(2) == ([("A.raw.tmax", 1990), ("A.raw.tmax", 1880)], {"A.raw.tmax"})
+    rows, files = found(3)
+    assert rows == [("A.raw.tmax", 1990), ("A.raw.tmax", 1880), ("B.raw.tmax", 1700)]
+    assert len(found(1000)[0]) == 53 and found(5, pattern="*.tmin")[1] == {"C.raw.tmin"}
+    assert found(5, pattern="*.none")[0] == []
+
+    lines = wl.lines_of_first_file(spark, str(tmp_path), "tmin")
+    assert lines.count() == 50 and [f.rsplit("/", 1)[-1] for f in lines.inputFiles()] == ["C.raw.tmin"]
+    assert wl.lines_of_first_file(spark, str(tmp_path), "none") is None
+
+
 LONG = "id string, date date, element string, dataset string, value float, qflag string, sflag string"
 
 

@@ -58,6 +58,30 @@ def test_daily_run(spark, archive):
     assert codecs(archive / "out" / "stations") == {"SNAPPY"}
 
 
+def test_station_snapshots(spark, tmp_path):
+    """Networks have dates of their own; only the chosen folders are read."""
+    base = str(tmp_path / "out")
+    line = "USC00437054  44.4200  -72.0194  213.4 VT SAINT JOHNSBURY                    HCN 72614"
+    lines = spark.createDataFrame([(0, line)], "position int, line string").coalesce(1)
+    stations = wl.parse_stations(lines, "daily_network")
+    for network, date in (("daily_network", "2025-06-27"), ("daily_network", "2025-07-01"), ("monthly_network", "2025-06-27")):
+        wl.write_stations(stations, base, network, date)
+
+    def found(**chosen):
+        rows = wl.read_stations(spark, base, **chosen)
+        assert all("snapshot_date=" in name for name in rows.inputFiles())
+        return sorted((r.network, str(r.snapshot_date)) for r in rows.collect()), len(rows.inputFiles())
+
+    assert len(found()[0]) == 3 and len(found(network="daily_network")[0]) == 2
+    assert found(snapshot="latest") == ([("daily_network", "2025-07-01"), ("monthly_network", "2025-06-27")], 2)
+    assert found(snapshot="latest", network="daily_network") == ([("daily_network", "2025-07-01")], 1)
+    assert found(snapshot="2025-06-27")[0] == [("daily_network", "2025-06-27"), ("monthly_network", "2025-06-27")]
+    assert found(snapshot="2025-07-01") == ([("daily_network", "2025-07-01")], 1)
+    for chosen in ({"snapshot": "2024-01-01"}, {"snapshot": "latest", "network": "none"}):
+        with pytest.raises(ValueError):
+            wl.read_stations(spark, base, **chosen)
+
+
 def test_monthly_run(spark, archive):
     base = str(archive / "out")
     lookup = wl.run_stations(spark, str(archive / "lists"), "daily_network", base, "2025-06-27").lookup

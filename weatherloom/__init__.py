@@ -10,6 +10,14 @@ from .functions.layouts import (
     SlotLayout,
     StationLayout,
 )
+from .operators.consistency import (
+    beyond_record,
+    copied_months,
+    lagged_ranges,
+    mask_adjusted,
+    record_extremes,
+    spikes,
+)
 from .operators.counts import reading_counts, value_count
 from .operators.integrity import (
     Rule,
@@ -28,6 +36,17 @@ from .operators.joins import (
     sized_join,
     station_lookup,
 )
+from .operators.neighbours import nearest_stations
+from .operators.outliers import (
+    biweight_outliers,
+    biweight_scores,
+    climate_outliers,
+    daily_climate,
+    day_of_year,
+    gap_outliers,
+    spatial_outliers,
+    value_gaps,
+)
 from .operators.profile import (
     examine_archives,
     examine_lines,
@@ -35,7 +54,9 @@ from .operators.profile import (
     explain_layout,
     file_statistics,
     first_file_lines,
+    first_lines,
     first_matching_file,
+    lines_of_first_file,
     profile_monthly,
     sample_lines,
 )
@@ -66,6 +87,12 @@ from .operators.reshape import (
     to_monthly_sparse,
     to_monthly_wide,
 )
+from .operators.series import (
+    frequent_values,
+    multiday_totals,
+    spread_totals,
+    streaks,
+)
 from .plans.etl import run_daily, run_monthly, run_monthly_archives, run_stations
 from .session import build_session, shared_folder
 from .sources.archives import archive_manifest, unpack_archives

@@ -18,11 +18,43 @@ HEADER_LENGTH = MONTHLY.first_slot
 def sample_lines(lines: DataFrame, count: int) -> DataFrame:
     """The first lines, by file name and position.
 
-    Only ``count`` rows per task are kept and merged, not a full sort.
+    Only ``count`` rows per task are kept and merged, not a full sort. To look into a
+    folder of files, ``first_lines`` reads only the first of them.
     """
     return lines.orderBy("file_name", "position").limit(count)
 
 
+def first_lines(
+    spark: SparkSession, path: str, count: int, pattern: str | None = None, recursive: bool = True
+) -> DataFrame:
+    """The first lines of a folder, by file name, path and position.
+
+    Files are listed first, and only as many of them are read as hold ``count`` lines:
+    one as a rule. A file is not read for its name to be known.
+    """
+    listed = list_files(spark, path, pattern, recursive).orderBy("file_name", "path")
+    take = 1
+    while True:
+        paths = [row.path for row in listed.limit(take).collect()]
+        if not paths:
+            return read_lines(spark, path, pattern, recursive, with_position=True).limit(0)
+        lines = read_lines(spark, paths, with_position=True)
+        if len(paths) < take or lines.limit(count).count() >= count:
+            return lines.orderBy("position").limit(count)
+        take *= 4
+
+
+def lines_of_first_file(
+    spark: SparkSession, path: str, suffix: str = "tmax", recursive: bool = True
+) -> DataFrame | None:
+    """Lines of the first file of a folder, by name, with the suffix, or None.
+
+    The listing finds the file; no other one is read.
+    """
+    found = first_matching_file(spark, path, suffix, recursive)
+    return None if found is None else read_lines(spark, found, with_position=True)
+
+
 def first_matching_file(
     spark: SparkSession, path: str, suffix: str = "tmax", recursive: bool = True
 ) -> str | None:
@@ -33,7 +65,11 @@ def first_matching_file(
 
 
 def first_file_lines(lines: DataFrame, suffix: str = "tmax") -> DataFrame:
-    """Lines of the first file, by name, with the suffix."""
+    """Lines of the first file, by name, with the suffix.
+
+    For lines whose files cannot be listed, like members of archives: finding the name
+    is a pass over the names of all lines. Of a folder, use ``lines_of_first_file``.
+    """
     matching = lines.filter(F.col("file_name").endswith(f".{suffix}"))
     return lines.filter(F.col("file_name") == matching.agg(F.min("file_name")).scalar())
 
@@ -106,10 +142,8 @@ def examine_sample(
     """Profile of the first matching file of a folder: its statistics, sample
     lines, the layout of its first line, and its stations and years. Only this
     file is read."""
-    found = first_matching_file(spark, path, suffix)
-    if found is None:
-        return {}
-    return examine_lines(read_lines(spark, found, with_position=True), count)
+    lines = lines_of_first_file(spark, path, suffix)
+    return {} if lines is None else examine_lines(lines, count)
 
 
 def examine_archives(

@@ -284,6 +284,23 @@ def a8(spark, folder):
     return wl.read_monthly(spark, base, "FLS52").drop("dataset", "snapshot_date")
 
 
+@query(
+    "a8_read_stations",
+    f"""WITH {DAILY_STATIONS}, {MONTHLY_STATIONS} SELECT *, 'daily_network' AS network,
+        '2025-06-27' AS snapshot_date FROM ({station_rows('daily_list')}) UNION ALL
+        SELECT *, 'monthly_network', '2025-06-28' FROM ({station_rows('monthly_list')})""",
+)
+def a8_stations(spark, folder):
+    """The newest list of each network."""
+    base = scratch_path(spark, "outputs")
+    for network, dates in (("daily", ("2025-06-26", SNAPSHOT)), ("monthly", (SNAPSHOT, "2025-06-28"))):
+        stations = wl.scan_stations(spark, encode.station_text(spark, folder, network), f"{network}_network")
+        for date in dates:
+            rows = stations if date == dates[-1] else stations.filter("latitude > 40")
+            wl.write_stations(rows, base, f"{network}_network", date)
+    return wl.read_stations(spark, base, snapshot="latest")
+
+
 @query(
     "a9_latest_snapshot",
     f"""{LOCATED_DAILY} SELECT *, '2025-06-27' AS snapshot_date FROM ({DAILY_ROWS})""",
@@ -1075,6 +1092,16 @@ def h1(spark, folder):
     return wl.sample_lines(encode.monthly_lines(spark, folder), 100)
 
 
+@query(
+    "h1_first_lines",
+    f"""{SAMPLED} SELECT substr(file_name, 1, 7) || '0000' || substr(file_name, 12) AS file_name, line
+        FROM monthly_line ORDER BY 1, 2 LIMIT 100""",
+)
+def h1_first(spark, folder):
+    """From the first files of a folder only."""
+    return wl.first_lines(spark, encode.monthly_folder(spark, folder), 100).drop("position")
+
+
 @query(
     "h1_profile_first_lines",
     f"""WITH {MONTHLY_CELLS}, sample AS (
@@ -1307,3 +1334,335 @@ def x7_default(spark, folder):
 def x8(spark, folder):
     wide = wl.to_monthly_wide(wl.to_monthly_sparse(monthly_readings(spark, folder)))
     return wl.average_from_extremes(wide).select("id", "date", "avg_raw_computed")
+
+
+# --- X9 to X14: checks that look at neighbours, distributions and series ------
+
+BIWEIGHT_SQL = """
+medians AS (
+  SELECT *, median(x) OVER w AS m, COUNT(*) OVER w AS n_values FROM cells
+  WINDOW w AS (PARTITION BY id, dataset, element, month(date))
+), spreads AS (
+  SELECT *, median(abs(x - m)) OVER (PARTITION BY id, dataset, element, month(date)) AS d FROM medians
+), weights AS (
+  SELECT *, CASE WHEN d > 0 AND n_values >= {least} THEN pow((x - m) / (7.5 * d), 2) END AS u2 FROM spreads
+), estimates AS (
+  SELECT *, m + SUM((x - m) * pow(1 - u2, 2)) FILTER (u2 < 1) OVER w
+              / SUM(pow(1 - u2, 2)) FILTER (u2 < 1) OVER w AS mean,
+         sqrt(n_values * SUM(pow(x - m, 2) * pow(1 - u2, 4)) FILTER (u2 < 1) OVER w)
+              / abs(SUM((1 - u2) * (1 - 5 * u2)) FILTER (u2 < 1) OVER w) AS deviation
+  FROM weights WINDOW w AS (PARTITION BY id, dataset, element, month(date))
+), scores AS (
+  SELECT *, (x - mean) / CASE WHEN deviation <> 0 THEN deviation END AS score FROM estimates
+)"""
+MONTHLY_BIWEIGHT = f"""WITH {MONTHLY_CELLS}, cells AS (
+  SELECT id, dataset, element, date, MAX(CAST(value AS DOUBLE)) AS x FROM monthly
+  WHERE value IS NOT NULL GROUP BY ALL), {BIWEIGHT_SQL.format(least=3)}"""
+
+
+@query(
+    "x9_biweight_scores",
+    f"""{MONTHLY_BIWEIGHT} SELECT id, dataset, element, {text('date')} AS date, {number('x')} AS value,
+        {whole('n_values')} AS n_values, {number('mean', 6)} AS mean, {number('deviation')} AS deviation,
+        {number('score')} AS score FROM scores""",
+)
+def x9(spark, folder):
+    return wl.biweight_scores(wl.to_monthly_long(monthly_readings(spark, folder)), min_values=3)
+
+
+@query(
+    "x9_biweight_outliers",
+    f"""{MONTHLY_BIWEIGHT} SELECT id, dataset, element, {text('date')} AS date, {number('x')} AS value,
+        {number('score')} AS score FROM scores WHERE abs(score) >= 5""",
+)
+def x9_outliers(spark, folder):
+    long = wl.to_monthly_long(monthly_readings(spark, folder))
+    return wl.biweight_outliers(long, min_values=3).drop("n_values", "mean", "deviation")
+
+
+NEIGHBOUR_SQL = """
+points AS (
+  SELECT id, 6371 * cos(radians(lat)) * cos(radians(lon)) AS x,
+         6371 * cos(radians(lat)) * sin(radians(lon)) AS y, 6371 * sin(radians(lat)) AS z
+  FROM (SELECT id, CAST(lat AS DOUBLE) AS lat, CAST(lon AS DOUBLE) AS lon FROM {lookup})
+), distances AS (
+  SELECT a.id, b.id AS neighbour, 2 * 6371 * asin(least(1,
+         sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2)) / (2 * 6371))) AS distance_km
+  FROM points a JOIN points b ON a.id <> b.id
+), nearest AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance_km, neighbour) AS rank
+  FROM distances WHERE distance_km <= {within} QUALIFY rank <= 5
+)"""
+
+
+@query(
+    "x10_nearest_stations",
+    f"""WITH {DAILY_STATIONS}, {NEIGHBOUR_SQL.format(lookup='daily_lookup', within=500)}
+        SELECT id, {whole('rank')} AS rank, neighbour, {number('distance_km')} AS distance_km FROM nearest""",
+)
+def x10_nearest(spark, folder):
+    return wl.nearest_stations(daily_lookup(spark, folder))
+
+
+@query(
+    "x10_spatial_outliers",
+    f"""WITH {MONTHLY_CELLS}, {MONTHLY_STATIONS}, cells AS (
+          SELECT id, 'RAW' AS dataset, 'Max' AS element, date, MAX(CAST(value AS DOUBLE)) AS x FROM monthly
+          WHERE value IS NOT NULL GROUP BY ALL), {BIWEIGHT_SQL.format(least=3)},
+        {NEIGHBOUR_SQL.format(lookup='monthly_lookup', within=1000)}, judged AS (
+          SELECT s.id, s.dataset, s.element, s.date, ANY_VALUE(s.x) AS value, ANY_VALUE(s.score) AS score,
+                 COUNT(o.score) AS n_neighbours, MAX(o.score * sign(s.score)) AS best_score
+          FROM scores s JOIN nearest USING (id) JOIN scores o ON o.id = neighbour AND o.date = s.date
+          WHERE abs(s.score) >= 2.5 AND abs(s.score) < 5 AND o.score IS NOT NULL GROUP BY ALL)
+        SELECT id, dataset, element, {text('date')} AS date, {number('value')} AS value,
+        {number('score')} AS score, {whole('n_neighbours')} AS n_neighbours,
+        {number('best_score')} AS best_score FROM judged
+        WHERE best_score < CASE WHEN abs(score) >= 4 THEN 1.9 WHEN abs(score) >= 3 THEN 1.8
+                                WHEN abs(score) >= 2.75 THEN 1.7 ELSE 1.6 END""",
+)
+def x10(spark, folder):
+    """All elements of a station as one, so that its months have enough values."""
+    long = wl.to_monthly_long(monthly_readings(spark, folder))
+    long = long.withColumns({"dataset": F.lit("RAW"), "element": F.lit("Max")})
+    return wl.spatial_outliers(long, monthly_lookup(spark, folder), within_km=1000.0, min_values=3)
+
+
+CLIMATE_SQL = f"""WITH {DAILY_CELLS}, days AS (
+  SELECT *, dayofyear(make_date(2000, month(date), day(date))) AS own,
+         CAST(round(CAST(value AS DOUBLE) * 10) AS BIGINT) AS t FROM daily
+), single AS (
+  SELECT id, element, own, COUNT(*) AS n, SUM(t) AS s, SUM(t * t) AS q FROM days GROUP BY ALL
+), sums AS (
+  SELECT id, element, (own + step + 365) % 366 + 1 AS day, SUM(n) AS n, SUM(s) AS s, SUM(q) AS q
+  FROM single CROSS JOIN (SELECT unnest(range(-7, 8)) AS step) GROUP BY ALL
+), climate AS (
+  SELECT id, element, day, n AS n_values, CAST(s AS DOUBLE) / n / 10 AS mean, CASE WHEN n > 1 THEN
+         sqrt(greatest((CAST(q AS DOUBLE) - CAST(s AS DOUBLE) * s / n) / (n - 1), 0)) / 10 END AS deviation
+  FROM sums
+)"""
+
+
+@query(
+    "x11_daily_climate",
+    f"""{CLIMATE_SQL} SELECT id, element, {whole('day')} AS day, {whole('n_values')} AS n_values,
+        {number('mean', 6)} AS mean, {number('deviation')} AS deviation FROM climate""",
+)
+def x11_climate(spark, folder):
+    return wl.daily_climate(daily_table(spark, folder))
+
+
+@query(
+    "x11_climate_outliers",
+    f"""{CLIMATE_SQL} SELECT id, element, {text('date')} AS date, {number('value')} AS value,
+        {whole('n_values')} AS n_values, {number('mean', 6)} AS mean, {number('deviation')} AS deviation,
+        {number('(CAST(value AS DOUBLE) - mean) / deviation')} AS score
+        FROM days JOIN climate c USING (id, element)
+        WHERE c.day = days.own AND n_values >= 5 AND deviation > 0
+          AND abs((CAST(value AS DOUBLE) - mean) / deviation) >= 2""",
+)
+def x11(spark, folder):
+    return wl.climate_outliers(daily_table(spark, folder), limit=2.0, min_values=5)
+
+
+MULTIDAY_CELLS = """
+multiday AS (
+  SELECT id, date, MAX(CASE WHEN element = 'PRCP' THEN tenths END) / 10.0 AS own,
+         MAX(CASE WHEN element = 'SNOW' THEN tenths END) / 10.0 AS amount,
+         MAX(CASE WHEN element = 'SNOW' THEN (tenths + 190) // 10 % 12 END) AS days
+  FROM daily_cells WHERE element IN ('PRCP', 'SNOW') GROUP BY ALL
+), covered AS (
+  SELECT id, date AS ending, CAST(date - CAST(unnest(range(days)) AS INT) AS DATE) AS date
+  FROM multiday WHERE amount IS NOT NULL AND days BETWEEN 2 AND 9
+), judged AS (
+  SELECT c.id, c.ending AS date, MIN(c.date) AS first_date,
+         COUNT(*) FILTER (EXISTS (SELECT 1 FROM multiday o WHERE o.id = c.id AND o.date = c.date AND o.own IS NOT NULL)) AS n_observed,
+         COUNT(*) FILTER ((SELECT COUNT(*) FROM covered o WHERE o.id = c.id AND o.date = c.date) > 1) AS n_shared
+  FROM covered c GROUP BY ALL
+)"""
+
+
+def multiday_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily rows whose snow is taken as totals over up to eleven days."""
+    path = encode.daily_text(spark, folder)
+    readings = wl.scan_daily(spark, path, elements=("PRCP", "SNOW")).readings
+    long = wl.to_daily_long(readings).select("id", "date", "element", "value")
+    is_total = F.col("element") == "SNOW"
+    totals = long.filter(is_total)
+    lengths = F.floor((F.round(F.col("value").cast("double") * 10) + 190) / 10) % 12
+    lengths = totals.withColumns({"element": F.lit("DAPR"), "value": lengths.cast("float")})
+    return long.filter(~is_total).union(totals.withColumn("element", F.lit("MDPR"))).union(lengths)
+
+
+@query(
+    "x12_multiday_totals",
+    f"""WITH {DAILY_CELLS}, {MULTIDAY_CELLS} SELECT id, 'MDPR' AS element, {text('date')} AS date,
+        {number('amount')} AS value, {number('days')} AS days, {text('first_date')} AS first_date,
+        {whole('n_observed')} AS n_observed, {whole('n_shared')} AS n_shared,
+        n_observed IS NULL OR n_observed > 0 OR n_shared > 0 AS failed
+        FROM multiday LEFT JOIN judged USING (id, date) WHERE amount IS NOT NULL""",
+)
+def x12(spark, folder):
+    return wl.multiday_totals(multiday_table(spark, folder), most_days=9)
+
+
+@query(
+    "x12_spread_totals",
+    f"""WITH {DAILY_CELLS}, {MULTIDAY_CELLS} SELECT id, 'PRCP' AS element, {text('c.date')} AS date,
+        {number('CAST(CAST(CAST(amount AS FLOAT) AS DOUBLE) / days AS FLOAT)')} AS value
+        FROM multiday m JOIN judged j USING (id, date) JOIN covered c ON c.id = m.id AND c.ending = m.date
+        WHERE n_observed = 0 AND n_shared = 0""",
+)
+def x12_spread(spark, folder):
+    return wl.spread_totals(wl.multiday_totals(multiday_table(spark, folder), most_days=9))
+
+
+COARSE_DAYS = "(SELECT id, element, date, floor(CAST(value AS DOUBLE) / 10) * 10 AS value FROM daily)"
+
+
+def coarse_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Values in steps of ten, so that equal ones follow each other."""
+    coarse = (F.floor(F.col("value").cast("double") / 10) * 10).cast("float")
+    return daily_table(spark, folder).withColumn("value", coarse)
+
+
+@query(
+    "x13_streaks",
+    f"""WITH {DAILY_CELLS}, numbered AS (
+          SELECT *, row_number() OVER (PARTITION BY id, element ORDER BY date)
+                  - row_number() OVER (PARTITION BY id, element, value ORDER BY date) AS run
+          FROM {COARSE_DAYS} WHERE value <> 0)
+        SELECT id, element, {number('value')} AS value, {text('MIN(date)')} AS first_date,
+        {text('MAX(date)')} AS last_date, {whole('COUNT(*)')} AS n_values
+        FROM numbered GROUP BY id, element, value, run HAVING COUNT(*) >= 3""",
+)
+def x13(spark, folder):
+    return wl.streaks(coarse_days(spark, folder), min_values=3, leave_out=0.0)
+
+
+@query(
+    "x13_frequent_values",
+    f"""WITH {DAILY_CELLS}, counts AS (
+          SELECT id, element, month(date) AS month, value, COUNT(*) AS n_values FROM {COARSE_DAYS} GROUP BY ALL),
+        shares AS (SELECT *, SUM(n_values) OVER (PARTITION BY id, element, month) AS n_all FROM counts)
+        SELECT id, element, {whole('month')} AS month, {number('value')} AS value,
+        {whole('n_values')} AS n_values, {whole('n_all')} AS n_all FROM shares
+        WHERE n_all >= 10 AND n_values >= 0.4 * n_all""",
+)
+def x13_frequent(spark, folder):
+    return wl.frequent_values(coarse_days(spark, folder), share=0.4)
+
+
+GAP_SQL = f"""WITH {DAILY_CELLS}, counts AS (
+  SELECT id, element, month(date) AS month, value, COUNT(*) AS n FROM daily GROUP BY ALL
+), ordered AS (
+  SELECT *, SUM(n) OVER w AS so_far, SUM(n) OVER (PARTITION BY id, element, month) AS n_all,
+         lag(value) OVER w AS before, lead(value) OVER w AS after
+  FROM counts WINDOW w AS (PARTITION BY id, element, month ORDER BY value)
+), middles AS (
+  SELECT id, element, month, MIN(value) FILTER (2 * so_far >= n_all) AS middle FROM ordered GROUP BY ALL
+), gaps AS (
+  SELECT id, element, month,
+         MAX(value) FILTER (value < middle AND round(after - value, 4) >= 10) AS low_end,
+         MIN(value) FILTER (value > middle AND round(value - before, 4) >= 10) AS high_start
+  FROM ordered JOIN middles USING (id, element, month) GROUP BY ALL
+)"""
+
+
+@query(
+    "x14_gap_outliers",
+    f"""{GAP_SQL} SELECT id, element, {text('date')} AS date, {number('value')} AS value,
+        {number('low_end')} AS low_end, {number('high_start')} AS high_start
+        FROM daily JOIN gaps USING (id, element)
+        WHERE gaps.month = month(date) AND (value <= low_end OR value >= high_start)""",
+)
+def x14(spark, folder):
+    return wl.gap_outliers(daily_table(spark, folder))
+
+
+# --- X15 to X19: checks against the days, months and elements next to a value -
+
+
+@query(
+    "x15_copied_months",
+    f"""WITH {MONTHLY_CELLS}, {MONTHLY_STATIONS}, cells AS (
+          SELECT id, date, MAX(floor(CAST(value AS DOUBLE) / 10) * 10) AS own FROM monthly
+          WHERE value IS NOT NULL GROUP BY ALL),
+        {NEIGHBOUR_SQL.format(lookup='monthly_lookup', within=1000)}, pairs AS (
+          SELECT a.id, a.date, a.own, b.own AS before FROM cells a JOIN cells b
+          ON b.id = a.id AND b.date = a.date - INTERVAL 1 MONTH WHERE year(a.date) >= 1996)
+        SELECT p.id, 'RAW' AS dataset, 'Max' AS element, {text('p.date')} AS date,
+        {number('ANY_VALUE(p.own)')} AS value, {whole('COUNT(*)')} AS n_neighbours,
+        {whole('COUNT(*) FILTER (abs(o.own - o.before) >= 5)')} AS n_changed
+        FROM pairs p JOIN nearest USING (id) JOIN pairs o ON o.id = neighbour AND o.date = p.date
+        WHERE p.own = p.before GROUP BY p.id, p.date
+        HAVING COUNT(*) FILTER (abs(o.own - o.before) >= 5) >= 0.5 * COUNT(*)""",
+)
+def x15(spark, folder):
+    """Values in steps of ten, so that some months equal the month before."""
+    coarse = (F.floor(F.col("value").cast("double") / 10) * 10).cast("float")
+    long = wl.to_monthly_long(monthly_readings(spark, folder))
+    long = long.withColumns({"dataset": F.lit("RAW"), "element": F.lit("Max"), "value": coarse})
+    return wl.copied_months(long, monthly_lookup(spark, folder), since=1996, change=5.0, within_km=1000.0)
+
+
+WARM_NIGHTS = "(SELECT * FROM daily WHERE element = 'TMAX' OR element = 'TMIN' AND value > 0)"
+
+
+@query(
+    "x16_beyond_record",
+    f"""WITH {DAILY_CELLS}, extremes AS (
+          SELECT id, month(date) AS month, MAX(value) FILTER (element = 'TMAX') AS largest_high,
+                 MIN(value) FILTER (element = 'TMIN') AS smallest_low FROM {WARM_NIGHTS} GROUP BY ALL),
+        judged AS (
+          SELECT d.id, element, date, value,
+                 CASE WHEN element = 'TMAX' THEN smallest_low ELSE largest_high END AS bound
+          FROM {WARM_NIGHTS} d JOIN extremes e ON e.id = d.id AND e.month = month(d.date))
+        SELECT id, element, {text('date')} AS date, {number('value')} AS value, {number('bound')} AS bound
+        FROM judged WHERE CASE WHEN element = 'TMAX' THEN value < bound ELSE value > bound END""",
+)
+def x16(spark, folder):
+    """Without the cold nights, which leave no bound for the days."""
+    daily = daily_table(spark, folder).filter("element = 'TMAX' or value > 0")
+    return wl.beyond_record(daily)
+
+
+@query(
+    "x17_lagged_ranges",
+    f"""WITH {DAILY_CELLS}, around AS (
+          SELECT a.id, a.date, a.element, a.value, MAX(b.value) AS largest, MIN(b.value) AS smallest
+          FROM daily a JOIN daily b ON b.id = a.id AND abs(b.date - a.date) <= 1
+               AND b.element = CASE a.element WHEN 'TMAX' THEN 'TMIN' ELSE 'TMAX' END
+          WHERE a.element IN ('TMAX', 'TMIN') GROUP BY ALL),
+        bounds AS (SELECT *, CASE element WHEN 'TMAX' THEN largest ELSE smallest END AS bound FROM around)
+        SELECT id, {text('date')} AS date, element, {number('value')} AS value, {number('bound')} AS bound
+        FROM bounds WHERE round(CASE element WHEN 'TMAX' THEN value - bound ELSE bound - value END, 4) >= 30""",
+)
+def x17(spark, folder):
+    return wl.lagged_ranges(daily_table(spark, folder), limit=30.0)
+
+
+@query(
+    "x18_spikes",
+    f"""WITH {DAILY_CELLS} SELECT a.id, a.element, {text('a.date')} AS date, {number('a.value')} AS value,
+        {number('b.value')} AS before, {number('c.value')} AS after
+        FROM daily a JOIN daily b ON b.id = a.id AND b.element = a.element AND b.date = a.date - 1
+                     JOIN daily c ON c.id = a.id AND c.element = a.element AND c.date = a.date + 1
+        WHERE round(a.value - b.value, 4) >= 10 AND round(a.value - c.value, 4) >= 10
+           OR round(a.value - b.value, 4) <= -10 AND round(a.value - c.value, 4) <= -10""",
+)
+def x18(spark, folder):
+    return wl.spikes(daily_table(spark, folder), limit=10.0)
+
+
+@query(
+    "x19_mask_adjusted",
+    f"""WITH {MONTHLY_CELLS}, flags AS (
+          SELECT id, element, date FROM monthly WHERE dataset = 'RAW' AND flag = 5)
+        SELECT m.id, {text('m.date')} AS date, dataset, m.element,
+        {number("CASE WHEN dataset = 'FLS52' AND f.id IS NOT NULL THEN NULL ELSE value END")} AS value,
+        CASE WHEN dataset = 'FLS52' AND f.id IS NOT NULL THEN 'M' WHEN flag = 5 THEN 'D' ELSE '' END AS qcflag
+        FROM monthly m LEFT JOIN flags f ON f.id = m.id AND f.element = m.element AND f.date = m.date""",
+)
+def x19(spark, folder):
+    long = wl.to_monthly_long(monthly_readings(spark, folder), flags=True)
+    return wl.mask_adjusted(long).drop("lat", "lon", "dmflag", "dsflag")

@@ -134,11 +134,32 @@ def read_monthly(
     return monthly
 
 
-def read_stations(spark: SparkSession, base: str, network: str | None = None) -> DataFrame:
-    stations = spark.read.schema(STATION_SCHEMA).parquet(f"{base.rstrip('/')}/stations")
+def read_stations(
+    spark: SparkSession, base: str, network: str | None = None, snapshot: str | None = None
+) -> DataFrame:
+    """Station snapshots of one network or of all: all dates, one date, or "latest".
+
+    Each network has its own dates, so "latest" is the newest one of each; a network
+    without the date that is asked for has no rows. Only the folders of the chosen
+    networks and dates are listed and read. ValueError where none has the date.
+    """
+    folder = f"{base.rstrip('/')}/stations"
+    if snapshot is None:
+        stations = spark.read.schema(STATION_SCHEMA).parquet(folder)
+        return stations if network is None else stations.filter(F.col("network") == network)
+    prefix = "network="
+    names = [name for name in folder_names(spark, folder) if name.startswith(prefix)]
     if network is not None:
-        stations = stations.filter(F.col("network") == network)
-    return stations
+        names = [name for name in names if name == f"{prefix}{network}"]
+    wanted = None if snapshot == "latest" else datetime.date.fromisoformat(str(snapshot)).isoformat()
+    paths = []
+    for name in names:
+        dates = snapshot_dates(spark, f"{folder}/{name}")
+        chosen = dates[-1:] if wanted is None else [date for date in dates if date == wanted]
+        paths += [f"{folder}/{name}/snapshot_date={date}" for date in chosen]
+    if not paths:
+        raise ValueError(f"no snapshot {snapshot} of stations in {folder}")
+    return spark.read.schema(STATION_SCHEMA).option("basePath", folder).parquet(*paths)
 
 
 def latest(snapshots: DataFrame) -> DataFrame:
