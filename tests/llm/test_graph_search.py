@@ -99,3 +99,18 @@ def test_every_point_can_be_reached():
     reached = np.zeros(12, dtype=bool)
     graph_search._spread_from(whole, np.array([0]), reached)
     assert reached.all() and (whole[:, :1] == graph).all()
+
+
+def test_ids_that_repeat(spark):
+    """An id of many rows hides no other one: twenty-five rows of id 20 equal those of 41 to 59."""
+    one = [1.0, 2.0, 0.0]
+    rows = [(20, one)] * 25 + [(i, one) for i in range(41, 60)] + [(40, [2.0, 1.0, 0.5])] * 2
+    rows += [(100 + i, [0.1, 0.1, 0.1 * i]) for i in range(1, 5)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = {}
+    for r in nearest(frame, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    # of nineteen equal vectors and the next best, for each of the rows that ask
+    assert sorted(got[20]) == sorted([*((k + 1, 41 + k) for k in range(19)), (20, 40)] * 25)
+    # each of the twenty-five rows is a candidate, and the smallest id goes first
+    assert sorted(got[40]) == sorted([(k + 1, 20) for k in range(20)] * 2)

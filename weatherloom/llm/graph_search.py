@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weatherloom.llm.shipping import ship
-from weatherloom.session import materialise
+from weatherloom.llm.scratch import materialise
 
 SHARD = 4_096
 DEGREE = 32
@@ -32,6 +32,8 @@ ALPHA = 1.2
 ENTRY_STEP = 8
 FAR_ENTRIES = 64
 QUERY_BLOCK = 1_024
+# of a build or a search; more groups of work share tasks
+MOST_TASKS = 10_000
 NEAREST = 20
 
 
@@ -48,8 +50,8 @@ def nearest(
     null ids; vectors of different length are never compared. Of rows that repeat an
     id, each is a candidate to other ids, and each query row of the id asks once.
 
-    Equal vectors are one point of the index, with the ``count`` + 1 smallest of
-    their ids, since no query can return more of them.
+    Equal vectors are one point of the index, with the ``count`` + 1 smallest distinct
+    ids and the rows of each, since no query can return more of them.
     """
     ship(vectors.sparkSession)
     clean = materialise(_usable(vectors, is_query, id_col, vector_col), "vectors")
@@ -83,17 +85,21 @@ def _usable(vectors, is_query, id_col, vector_col):
 def _points(clean, count):
     """Distinct vectors with their smallest ids.
 
-    The rank limit is applied before the shuffle as well, so of a group of copies
-    each task sends ``count`` + 1 rows.
+    Rows that repeat an id are counted first, with a partial step; of a query's result
+    one id fills at most all ``count`` places. The rank limit is applied before its
+    shuffle as well, so of a group of copies each task sends ``count`` + 1 ids.
     """
     # -0.0 and 0.0 are equal
     plain = F.transform("vector", lambda x: x + F.lit(0.0)).alias("vector")
-    rank = F.row_number().over(Window.partitionBy("dim", "key", "vector").orderBy("id"))
+    same = ["dim", "key", "vector"]
     rows = clean.select("dim", "id", plain).withColumn("key", F.xxhash64("vector"))
-    kept = rows.withColumn("rank", rank).where(F.col("rank") <= count + 1)
+    named = rows.groupBy(*same, "id").agg(F.count("*").alias("rows"))
+    rank = F.row_number().over(Window.partitionBy(*same).orderBy("id"))
+    kept = named.withColumn("rank", rank).where(F.col("rank") <= count + 1)
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    points = kept.groupBy("dim", "key", "vector").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    return materialise(points.withColumn("norm", norm), "points")
+    points = kept.groupBy(*same).agg(F.sort_array(F.collect_list(F.struct("id", "rows"))).alias("named"))
+    ids = F.flatten(F.transform("named", lambda i: F.array_repeat(i["id"], F.least(i["rows"], F.lit(count)).cast("int"))))
+    return materialise(points.select(*same, ids.alias("ids"), norm.alias("norm")), "points")
 
 
 def _index(points, shape):
@@ -124,9 +130,15 @@ def _index(points, shape):
         )
 
     schema = "dim int, shard int, vectors binary, ids binary, sizes binary, graph binary, entries binary"
+    inputs = inputs.repartition(_tasks(shape.select("shards")), "dim", "shard")
     return materialise(inputs.groupBy("dim", "shard").applyInArrow(build, schema), "index")
 
 
+def _tasks(counts):
+    """One task for each group of work, however few bytes it has, up to ``MOST_TASKS``."""
+    return max(1, min(MOST_TASKS, counts.select(F.sum(F.col(counts.columns[0]).cast("long"))).first()[0] or 1))
+
+
 def _blocks(clean, shape):
     """Queries packed by hash into blocks; one row for each block."""
     asks = clean.where("asks").select("dim", "id", "vector")
@@ -170,8 +182,9 @@ def _search(index, blocks, many, count, beam):
         empty = pa.schema([("query_id", pa.int64()), ("ask", pa.int32()), ("id", pa.int64()), ("score", pa.float64())])
         return pa.concat_tables(out) if out else empty.empty_table()
 
-    left = shards.select(*keys, "vectors", "ids", "sizes", "graph", "entries")
-    right = asked.select(*keys, "query_ids", "queries")
+    tasks = _tasks(blocks.select("shards"))
+    left = shards.select(*keys, "vectors", "ids", "sizes", "graph", "entries").repartition(tasks, *keys)
+    right = asked.select(*keys, "query_ids", "queries").repartition(tasks, *keys)
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
         search, "query_id long, ask int, id long, score double"
     )
