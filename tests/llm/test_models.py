@@ -162,3 +162,40 @@ def test_severity_of_odd_rows(odd, empty, documents, labels):
     assert severity.severity(empty, model).count() == 0
     nothing = severity.fit_severity(documents, labels.limit(0))
     assert severity.severity(odd, nothing).where("toxic").count() == 0
+
+
+def test_sample_is_bounded_by_ids(spark):
+    """An id that holds a third of all rows is one labelled text."""
+    from weatherloom.llm.labelled import labelled_sample
+
+    rows = [(1, f"hot {i % 7}") for i in range(3000)] + [(i, f"text {i}") for i in range(2, 6000)] + [(1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 200)] + [(1, 0), (None, 1)], "doc_id long, quality int")
+    got = labelled_sample(docs, labels, "quality", 150, "doc_id", "text").collect()
+    assert len(got) == len({r.id for r in got}) == 150
+    whole = {r.id: r for r in labelled_sample(docs, labels, "quality", 500, "doc_id", "text").collect()}
+    assert len(whole) == 199 and (whole[1].text, whole[1].label) == ("hot 0", 0.5)
+
+
+def test_all_lines_are_learned_from(spark):
+    """Boilerplate that stands after many lines only; chains of one text are cut."""
+    from weatherloom.llm.line_rules import CHAIN_LINES, cut_chains, fit_line_model, line_rules
+
+    assert cut_chains(np.array([3, 0, 5]), 2).tolist() == [0, 0, 1, 2, 2, 3, 3, 4]
+    good = "\n".join(f"plain words of the number {i} line are here." for i in range(CHAIN_LINES))
+    bad = "\n".join("| # | $ | 12 | 34 |" for _ in range(400))
+    rows = [(i, good, 1) for i in range(0, 80, 2)] + [(i, f"{good}\n{bad}", 0) for i in range(1, 21, 2)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    model = fit_line_model(docs, labels)
+    late = spark.createDataFrame([(1, f"{good}\n{bad}"), (2, good)], "doc_id long, text string")
+    share = {r.doc_id: r.content_share for r in line_rules(late, model).collect()}
+    assert share[1] < 0.5 < share[2]
+
+
+def test_line_rules_of_empty_tables(spark, empty, labels):
+    from weatherloom.llm.line_rules import fit_line_model, line_rules
+
+    model = fit_line_model(empty, labels)
+    assert line_rules(empty, model).count() == 0
+    assert not line_rules(spark.createDataFrame([(1, "a b\nc")], "doc_id long, text string"), model).first().kept

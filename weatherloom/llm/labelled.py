@@ -11,9 +11,11 @@ def labelled_sample(
 ) -> DataFrame:
     """(id, text, label) of at most ``most`` labelled documents, the same in every run.
 
-    Ids are taken in the order of their hash. Repeated labels of an id are
-    averaged, null ones skipped, and of repeated documents each counts. The labels
-    that stay are at most ``most`` rows, so they are broadcast.
+    Ids are taken in the order of their hash. Repeated labels of an id are averaged,
+    null ones skipped. Each id is one row, whatever number of documents repeats it: the
+    smallest of their texts (null only if all are), found with a partial step, so an id
+    that holds a third of all rows sends one text from each task. The labels that stay
+    are at most ``most`` rows, so they are broadcast.
     """
     chosen = (
         labels.select(F.col(id_col).alias("id"), F.col(label).cast("double").alias("label"))
@@ -25,4 +27,5 @@ def labelled_sample(
         chosen = chosen.where(where(F.col("id")))
     chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(most)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(chosen), "id")
+    found = texts.join(F.broadcast(chosen), "id").groupBy("id")
+    return found.agg(F.min("text").alias("text"), F.first("label").alias("label"))

@@ -32,7 +32,8 @@ FEATURES = (
     "digits", "repeats_earlier_line", "stops", "log_words", "same_words",
 )
 WINDOW = 8
-TRAINED_LINES = 64
+# longer texts are learned from as several chains of this many lines
+CHAIN_LINES = 64
 
 
 class Lines:
@@ -189,6 +190,14 @@ def _chains(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(doc)))
 
 
+def cut_chains(lengths: np.ndarray, most: int = CHAIN_LINES) -> np.ndarray:
+    """The number of the chain of each line, for texts of so many lines, cut after ``most``."""
+    chains = -(-lengths // most)
+    first = np.cumsum(chains) - chains
+    place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return np.repeat(first, lengths) + place // most
+
+
 def fit_chain(
     x: np.ndarray, label: np.ndarray, chain: np.ndarray, rounds: int = 200, rate: float = 0.1, ridge: float = 1e-3
 ) -> ChainModel:
@@ -247,13 +256,14 @@ def fit_line_model(
     docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text",
     sample: int = SAMPLE,
 ) -> ChainModel:
-    """Fit on at most ``sample`` labelled documents.
+    """Fit on all lines of at most ``sample`` labelled documents.
 
     The tables label documents, not lines: lines of good documents count as
     content unless they repeat an earlier line, lines of bad ones as boilerplate.
-    Of each, the first ``TRAINED_LINES`` lines are learned from. Without labels all
-    weights are zero and every line is boilerplate or content by the tie rule
-    (boilerplate), so callers should pass labels.
+    A text of more than ``CHAIN_LINES`` lines is several chains. Without labels, or
+    without labelled texts, all weights are zero and every line is boilerplate by the
+    tie rule, so callers should pass labels. Of documents that repeat an id one is
+    learned from (see ``labelled_sample``); other columns are not looked at.
     """
     rows = labelled_sample(docs, labels, label, sample, id_col, text_col)
 
@@ -265,10 +275,8 @@ def fit_line_model(
                 x = lines.features()
                 good = part.column("label").to_numpy()[lines.doc] >= 0.5
                 y = (good & ~lines.repeats).astype(np.int8)
-                first, length = _chains(lines.doc)
-                near = np.arange(len(y)) - np.repeat(first, length) < TRAINED_LINES
                 for k in np.unique(lines.doc):
-                    mine = (lines.doc == k) & near
+                    mine = lines.doc == k
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([part.column("id")[int(k)].as_py()], part.column("id").type),
@@ -282,7 +290,7 @@ def fit_line_model(
     found = map_arrow(rows, measure, schema).toPandas().sort_values("id", kind="stable")
     y = [np.frombuffer(b, dtype=np.int8) for b in found["y"]]
     x = [np.frombuffer(b).reshape(-1, len(FEATURES)) for b in found["x"]]
-    chain = np.repeat(np.arange(len(y)), [len(b) for b in y])
+    chain = cut_chains(np.array([len(b) for b in y], dtype=np.int64))
     x = np.concatenate(x) if x else np.zeros((0, len(FEATURES)))
     return fit_chain(x, np.concatenate(y) if y else np.zeros(0, dtype=np.int8), chain)
 
@@ -294,7 +302,8 @@ def line_rules(
 
     ``content_share`` is the share of words in content lines, 0 for a text without
     words; ``kept`` needs ``share`` of it. Null and empty texts have zero counts and
-    fail the base rules. One stage, no shuffle; repeated rows are judged each.
+    fail the base rules. One stage, no shuffle; repeated rows are judged each, and other
+    columns are not looked at.
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
