@@ -64,6 +64,20 @@ def test_live_ones_go(spark, texts):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in frame.collect()} - live
 
 
+def test_many_repositories_of_one_owner_are_copies(spark):
+    """An example that a hot source repeats is no credential; a value of few places is."""
+    shared, own = "token = Zq8Kw2Lm9Xv4Rt7B", "password: Hj5Nc1Pd6Sg3Wy0Q"
+    rows = [(i, f"see {shared}", "hot", f"r{i // 2}") for i in range(60)]
+    rows += [(100 + i, f"see {own}", "hot", f"q{i}") for i in range(5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, place string")
+    assert {r.doc_id for r in secret_scan.without_live_secrets(frame).collect()} == set(range(60))
+    counts = {r.n_copied for r in secret_scan.scan_secrets(frame).where("doc_id < 60").collect()}
+    assert counts == {1}
+    # sixty rows in thirty repositories
+    by_place = secret_scan.without_live_secrets(frame, repository_col="place", copied_repositories=31)
+    assert by_place.count() == 0
+
+
 def test_odd_and_empty(odd, empty):
     got = secret_scan.scan_secrets(odd)
     assert got.count() == odd.count()

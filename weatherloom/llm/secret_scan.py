@@ -1,8 +1,9 @@
 """Secrets in texts, told apart by who owns them in the whole corpus.
 
 Candidates are found by patterns. Each candidate's hash is counted over distinct
-owners and distinct repositories: a value that several owners have is a copied
-example, one that a single owner has and that looks random is a live credential.
+owners and distinct repositories: a value that several owners or many repositories
+have is a copied example, one that few places of one or two owners have and that looks
+random is a live credential.
 
 Only DataFrame functions are used. Spark has no function for the places of all
 matches, so a text is split at the pattern: the lengths of what lies between the
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weatherloom.session import materialise
+from weatherloom.llm.scratch import materialise
 
 # fixed values: kind, pattern, group of the value, least length of the value
 KINDS = (
@@ -30,7 +31,10 @@ KINDS = (
     ("mixed", r"[A-Za-z0-9_-]{20,}", 0, 20),
 )
 BASE = 3
+# a value is a copied example from so many distinct owners on, or from so many distinct
+# repositories, whoever owns them
 COPIED_OWNERS = 3
+COPIED_REPOSITORIES = 20
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your|xxxx|1234567|abcdef"
 LEAST_CHARACTERS = 6
 
@@ -38,6 +42,7 @@ LEAST_CHARACTERS = 6
 def scan_secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
     repository_col: str | None = None, copied_owners: int = COPIED_OWNERS,
+    copied_repositories: int = COPIED_REPOSITORIES,
 ) -> DataFrame:
     """One row per input row: id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied.
 
@@ -47,21 +52,24 @@ def scan_secrets(
     ``n_copied`` count the spans of either sort; the rest is neither.
 
     ``owner_col`` names who published a row, ``repository_col`` (default: the id)
-    where it lies; null owners are one owner, null repositories one repository.
+    where it lies; null owners are one owner, null repositories one repository. A value
+    of ``copied_owners`` owners or ``copied_repositories`` repositories is copied.
     Null and empty texts have no spans. Repeated rows are reported each and count
     as one repository. Other columns are not looked at.
     """
-    spans = _judged(_scanned(docs, id_col, text_col, owner_col, repository_col, False), copied_owners)
+    scanned = _scanned(docs, id_col, text_col, owner_col, repository_col, False)
+    spans = _judged(scanned, copied_owners, copied_repositories)
     return spans.select(F.col("id").alias(id_col), *spans.columns[2:])
 
 
 def without_live_secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
     repository_col: str | None = None, copied_owners: int = COPIED_OWNERS,
+    copied_repositories: int = COPIED_REPOSITORIES,
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that have no live credential."""
     scanned = _scanned(docs, id_col, text_col, owner_col, repository_col, True)
-    live = _live(_spans(scanned), copied_owners).where("live").select("row").distinct()
+    live = _live(_spans(scanned), copied_owners, copied_repositories).where("live").select("row").distinct()
     return scanned.join(live, "row", "left_anti").select("record.*")
 
 
@@ -138,18 +146,18 @@ def owners_of(spans: DataFrame) -> DataFrame:
     return owners.join(by_repository.groupBy("hash").agg(F.count("*").alias("repositories")), "hash")
 
 
-def _live(spans: DataFrame, copied_owners: int) -> DataFrame:
+def _live(spans: DataFrame, copied_owners: int, copied_repositories: int) -> DataFrame:
     owned = owners_of(spans)
     random = ~F.col("value").rlike(PLACEHOLDER) & (
         F.size(F.array_distinct(F.split("value", ""))) >= LEAST_CHARACTERS
     )
     judged = spans.join(owned, "hash", "left")
-    copied = F.col("owners") >= copied_owners
+    copied = (F.col("owners") >= copied_owners) | (F.col("repositories") >= copied_repositories)
     return judged.withColumn("copied", copied).withColumn("live", ~copied & random)
 
 
-def _judged(scanned: DataFrame, copied_owners: int) -> DataFrame:
-    judged = _live(_spans(scanned), copied_owners)
+def _judged(scanned: DataFrame, copied_owners: int, copied_repositories: int) -> DataFrame:
+    judged = _live(_spans(scanned), copied_owners, copied_repositories)
     shown = judged.where((F.col("kind") < BASE) | F.col("live"))
     names = F.array(*(F.lit(k[0]) for k in KINDS))
     text = F.concat_ws(":", names[F.col("kind")], F.col("start").cast("string"), F.col("end").cast("string"))
@@ -197,10 +205,13 @@ free AS (
     SELECT 1 FROM spans b WHERE b.doc_id = s.doc_id AND b.kind < {BASE}
       AND b.start < s."end" AND s.start < b."end")
 ),
-owned AS (SELECT value, count(DISTINCT coalesce(source, '')) AS owners FROM free GROUP BY value),
+owned AS (
+  SELECT value, count(DISTINCT coalesce(source, '')) >= {COPIED_OWNERS}
+                OR count(DISTINCT doc_id) >= {COPIED_REPOSITORIES} AS copied
+  FROM free GROUP BY value
+),
 judged AS (
-  SELECT f.*, owners >= {COPIED_OWNERS} AS copied,
-         owners < {COPIED_OWNERS} AND NOT regexp_matches(f.value, '{PLACEHOLDER}')
+  SELECT f.*, copied, NOT copied AND NOT regexp_matches(f.value, '{PLACEHOLDER}')
          AND len(list_distinct(string_split(f.value, ''))) >= {LEAST_CHARACTERS} AS live
   FROM free f JOIN owned USING (value)
 ),
