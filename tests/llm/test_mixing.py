@@ -3,6 +3,7 @@ import re
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from weatherloom.llm import catalog, mixing
 
@@ -54,7 +55,8 @@ def test_mix_of_odd_rows(odd):
     assert (got.taken <= 3 * got["size"]).all() and (got.taken >= 0).all()
     by_source = got.groupby(["source_size", "target"]).taken.sum()
     for (_, target), taken in by_source.items():
-        assert taken <= target and target - taken < 1
+        assert abs(target - taken) < 1
+    assert got.taken.sum() == got["size"].sum()  # the queue ends at the budget to the word
     first = got[got.taken > 0].sort_values("position")
     assert first.position.iloc[0] == 0 and first.position.is_unique
     again = mixing.mix_sources(odd.repartition(5)).toPandas()
@@ -83,3 +85,38 @@ def test_empty(empty):
 def test_plan_has_no_python(documents):
     plan = mixing.mix_sources(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def queued(rows, target, repeats=3):
+    """(id -> words taken, copies in order) by a plain queue over (id, source, size, place)."""
+    named = sorted(target, key=lambda s: (s is None, s or ""))
+    copies = []
+    for source in named:
+        own, goal, start = sorted((r for r in rows if r[1] == source), key=lambda r: (r[3], r[0])), -(-target[source] // 1), 0
+        for turn in range(repeats):
+            for name, _, size, _ in own:
+                words = max(0, min(size, goal - start))
+                if words:
+                    copies.append(((start + words) / target[source], named.index(source), turn, name, words, size))
+                start += size
+    taken, order, left = {}, [], sum(size for _, _, size, _ in rows)
+    for _, _, _, name, words, size in sorted(copies):
+        words = min(words, left)
+        left -= words
+        taken[name] = taken.get(name, 0) + words
+        order += [name] * (0 < size <= 2 * words)
+    return taken, order
+
+
+def test_queue_decides(documents):
+    """Words and order of the mix against a plain queue; another budget cuts elsewhere."""
+    sized = mixing._sized(documents, "doc_id", "text", "source", "mix", False)
+    rows = [(r.id, r.source, r["size"], r.place) for r in sized.collect()]
+    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    # the same targets, tested above: finish times that differ in the last bit may swap
+    taken, order = queued(rows, {r.source: r.target for r in mixing.source_targets(sizes, (1, 2, 3), 3).collect()})
+    got = {r.doc_id: r.taken for r in mixing.mix_sources(documents).collect()}
+    assert {k: v for k, v in got.items() if v} == {k: int(v) for k, v in taken.items() if v}
+    assert [r.doc_id for r in mixing.mixed_documents(documents).collect()] == order
+    short = mixing.mix_sources(documents, budget=1234).toPandas()
+    assert short.taken.sum() == 1234

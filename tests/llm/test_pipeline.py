@@ -30,7 +30,7 @@ def test_stages_take_effect(spark, tmp_path, labels, documents):
 
     before, after = kept["near_dedup"]
     rows = [(r.doc_id, r.text) for r in before.collect()]
-    assert ids(after) == sorted(i for i, n, c in by_force(rows) if i == c or not n)
+    assert ids(after) == sorted(i for i, n, c in by_force(rows, 80) if i == c or not n)
 
     before, after = kept["secret_scan"]
     assert ids(after) == ids(secret_scan.scan_secrets(before).where("n_live = 0"))
@@ -60,3 +60,23 @@ def test_run_takes_odd_tables(spark, odd, tmp_path):
     odd.limit(0).write.parquet(f"{empty}/documents.parquet")
     spark.read.parquet(f"{folder}/labels.parquet").limit(0).write.parquet(f"{empty}/labels.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_run_leaves_only_its_result(spark, tmp_path, monkeypatch):
+    """All that the stages store on the way goes, also when one of them fails."""
+    shared = tmp_path / "shared"
+    shared.mkdir()
+    monkeypatch.setattr("weatherloom.session.shared_folder", lambda spark: str(shared))
+    assert corpus_pipeline.run(spark, FOLDER).count() > 0
+    assert [p.name.split("-")[0] for p in shared.iterdir()] == ["sentencepiece"]
+
+    def broken(spark, docs, sf_dir):
+        raise RuntimeError("broken")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [*corpus_pipeline.STAGES[:2], ("broken", broken)])
+    before = set(shared.iterdir())
+    try:
+        corpus_pipeline.run(spark, FOLDER)
+    except RuntimeError:
+        pass
+    assert set(shared.iterdir()) == before

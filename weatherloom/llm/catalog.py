@@ -37,7 +37,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def op1_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mix_sources(table(spark, folder, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:

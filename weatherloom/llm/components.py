@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weatherloom.llm.scratch import Scratch
-from weatherloom.session import materialise
+from weatherloom.llm.scratch import Scratch, materialise
 
 
 def connected_components(edges: DataFrame, keeper: Scratch | None = None) -> DataFrame:

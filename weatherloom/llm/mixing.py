@@ -4,7 +4,8 @@ Within its source a document stands at a shuffled place. The words of its source
 up to and including it, divided by the source's target, are its virtual finish
 time; further rounds through the source continue the count. Sorting all copies by
 finish time interleaves the sources in proportion to their targets, and the mix
-ends where the running total reaches the budget.
+ends where the running total reaches the budget: a source offers its target rounded
+up to whole words, and the global order decides whose last words are still taken.
 
 Running totals over a whole source, or over everything, never sit in one task.
 Rows fall into ranges of the sort key, ranges are summed first, and a window only
@@ -20,7 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weatherloom.session import materialise
+from weatherloom.llm.alike import sized
+from weatherloom.llm.scratch import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_RANGE = 2_000
@@ -72,39 +74,40 @@ def mix_sources(
     """One row per input row: id, size, source_size, target, taken, position.
 
     ``size`` is the number of words, ``taken`` the words of the row that the mix
-    has, whole rounds and at most one cut copy for each source, so that a source
-    stays within one word of its target. ``position`` is the number of words in the
-    mix before the row's first copy, null if it has none. ``budget`` defaults to the
-    words of all sources.
+    has, whole rounds and a cut copy at the end of each source. All taken words are
+    exactly ``budget`` (by default the words of all sources; fewer only where every
+    source is used up), and each source stays within one word of its target.
+    ``position`` is the number of words in the mix before the row's first copy, null
+    if it has none.
 
     Null and empty texts have size 0 and are never taken. A null source is a source
     of its own. The order depends on ``seed`` and the id (the text where the id is
     null), so reruns agree; repeated rows are separate rows next to each other and
     which of them is which cannot be told. Other columns are not looked at.
     """
-    sized = _sized(docs, id_col, text_col, source_col, seed, False)
-    return _mixed(sized, weights, repeats, budget).select(
-        F.col("id").alias(id_col), "size", "source_size", "target", "taken", "position"
+    rows = _sized(docs, id_col, text_col, source_col, seed, False)
+    mixed = _queue(rows, weights, repeats, budget).groupBy("row", "id", "size", "source_size", "target")
+    mixed = mixed.agg(
+        F.sum("words").alias("taken"), F.min(F.when(F.col("words") > 0, F.col("position"))).alias("position")
     )
+    return mixed.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken", "position")
 
 
 def mixed_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: Sequence[float] = (1, 2, 3), repeats: int = 3, budget: int | None = None, seed: str = "mix",
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, each as often as the mix has it.
+    """The rows of ``docs``, all columns, each as often as the mix has it, in its order.
 
-    Texts stay whole: the cut copy counts when at least half of it is in the mix.
+    Texts stay whole: a cut copy counts when at least half of it is in the mix. Files
+    are written in the order of the queue, sources interleaved by their targets. The
+    places of the copies are broadcast up to ``BROADCAST_ROWS``.
     """
-    sized = _sized(docs, id_col, text_col, source_col, seed, True)
-    copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    taken = _mixed(sized, weights, repeats, budget).where("taken > 0")
-    return (
-        sized.select("row", "record")
-        .join(taken.select("row", F.array_repeat(F.lit(0), copies).alias("copies")), "row")
-        .select("record", F.explode("copies"))
-        .select("record.*")
-    )
+    docs_sized = _sized(docs, id_col, text_col, source_col, seed, True)
+    queue = _queue(docs_sized, weights, repeats, budget)
+    copies = materialise(queue.where("words > 0 and 2 * words >= size").select("row", "position"), "copies")
+    rows = docs_sized.select("row", "record").join(sized(copies), "row")
+    return rows.orderBy("position").select("record.*")
 
 
 def _sized(docs, id_col, text_col, source_col, seed, whole):
@@ -122,12 +125,14 @@ def _sized(docs, id_col, text_col, source_col, seed, whole):
     return materialise(docs.select(*columns), "sized")
 
 
-def _mixed(sized: DataFrame, weights, repeats, budget) -> DataFrame:
+def _queue(docs: DataFrame, weights, repeats, budget) -> DataFrame:
+    """One row for each copy: row, id, size, source_size, target, words taken, position."""
     of_source = [F.col("source").isNull().alias("unnamed"), F.coalesce("source", F.lit("")).alias("name")]
-    rows = sized.select("row", "id", "size", "place", *of_source)
-    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    rows = docs.select("row", "id", "size", "place", *of_source)
+    sums = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     sums = materialise(sums, "sources")
-    n = sums.agg(F.sum("n")).first()[0] or 0
+    whole = sums.agg(F.sum("n").alias("n"), F.sum("source_size").alias("words")).first()
+    n, total = whole.n or 0, (whole.words or 0) if budget is None else budget
     targets = source_targets(sums.select("source", "source_size"), weights, repeats, budget)
     bits = max(LEAST_RANGES, math.ceil(n / ROWS_PER_RANGE)).bit_length()
 
@@ -141,26 +146,29 @@ def _mixed(sized: DataFrame, weights, repeats, budget) -> DataFrame:
         "upto", F.col("before") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     )
 
-    goal = F.floor("target")
+    goal = F.ceil("target")
     copies = stands.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     copies = copies.withColumn("start", F.col("round") * F.col("source_size") + F.col("upto") - F.col("size"))
     copies = copies.where((F.col("round") == 0) | (F.col("start") < goal))
     words = F.greatest(F.lit(0), F.least("size", goal - F.col("start")))
     copies = copies.withColumn("words", words)
-    finish = (F.col("start") + F.col("words")) / F.col("target")
-    # what is not taken adds nothing to any total and may stand anywhere
+    finish = F.try_divide(F.col("start") + F.col("words"), F.col("target"))
+    copies = copies.withColumn("finish", finish)
+    # up to 1 virtual time advances with the words; only the last copy of a source ends later
+    late = 1 - F.try_divide(F.lit(0.5), F.col("finish"))
+    time = F.when(F.col("finish") <= 1, F.col("finish") / 2).otherwise(late)
+    bits += 1
+    # what is not offered adds nothing to any total and may stand anywhere
     spread = F.pmod(F.xxhash64("row"), F.lit(1 << bits))
-    at = F.when(F.col("words") > 0, F.least(F.floor(finish * (1 << bits)), F.lit((1 << bits) - 1)))
-    copies = copies.withColumn("finish", finish).withColumn("range", F.coalesce(at, spread).cast("long"))
-    copies = copies.drop("before", "upto", "place")
+    at = F.when(F.col("words") > 0, F.least(F.floor(time * (1 << bits)), F.lit((1 << bits) - 1)))
+    copies = copies.withColumn("range", F.coalesce(at, spread).cast("long")).drop("before", "upto", "place")
     ahead = _before(copies, [], "words", bits)
     inside = Window.partitionBy("range").orderBy("finish", "unnamed", "name", "row", "round")
     running = F.sum("words").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    queue = copies.join(ahead, "range").withColumn("ahead", F.col("before") + running - F.col("words"))
-    if budget is not None:
-        queue = queue.withColumn("words", F.greatest(F.lit(0), F.least("words", F.lit(budget) - F.col("ahead"))))
-    return queue.groupBy("row", "id", "size", "source_size", "target").agg(
-        F.sum("words").alias("taken"), F.min(F.when(F.col("words") > 0, F.col("ahead"))).alias("position")
+    queue = copies.join(ahead, "range").withColumn("position", F.col("before") + running - F.col("words"))
+    left = F.greatest(F.lit(0), F.least("words", F.lit(total) - F.col("position")))
+    return queue.withColumn("words", left).select(
+        "row", "id", "size", "source_size", "target", "words", "position"
     )
 
 
@@ -184,7 +192,7 @@ def _before(rows: DataFrame, group: list[str], value: str, bits: int) -> DataFra
     )
 
 
-# the same result as running sums over whole sources
+# the same result as running sums over whole sources and over all copies
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -210,14 +218,23 @@ WITH sized AS (
          CASE WHEN l.level * l.weight > l.cap THEN l.cap::DOUBLE ELSE m.level * l.weight END AS target
   FROM leveled l, lowest m
 ), stands AS (
-  SELECT doc_id, size, source_size, target,
+  SELECT doc_id, size, d.source, source_size, target,
          sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id, size
-                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT - size AS start
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT - size AS before
   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), copies AS (
+  SELECT *, round * source_size + before AS start,
+         greatest(0, least(size, ceil(target)::BIGINT - round * source_size - before)) AS words
+  FROM stands CROSS JOIN (SELECT unnest([0, 1, 2]) AS round)
+), queue AS (
+  SELECT *, sum(words) OVER (ORDER BY (start + words) / target, source NULLS LAST, round, before
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT - words AS position
+  FROM copies WHERE words > 0
+), taken AS (
+  SELECT doc_id, sum(greatest(0, least(words, total - position)))::BIGINT AS taken,
+         min(position) FILTER (position < total) AS position
+  FROM queue CROSS JOIN (SELECT sum(size)::BIGINT AS total FROM sized) GROUP BY doc_id
 )
-SELECT doc_id, size, source_size, target,
-       (greatest(0, least(size, floor(target)::BIGINT - start))
-        + greatest(0, least(size, floor(target)::BIGINT - start - source_size))
-        + greatest(0, least(size, floor(target)::BIGINT - start - 2 * source_size)))::BIGINT AS taken
-FROM stands
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, position
+FROM stands LEFT JOIN taken USING (doc_id)
 """

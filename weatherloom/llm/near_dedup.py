@@ -20,10 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from weatherloom.llm.alike import Sets, alike_roots, sets_of, sized
-from weatherloom.llm.scratch import Scratch
+from weatherloom.llm.scratch import Scratch, materialise
 from weatherloom.llm.shipping import map_arrow
 from weatherloom.llm.tokens import mix, slices
-from weatherloom.session import materialise
 
 WIDTH = 5
 PERCENT = 85
