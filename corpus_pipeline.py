@@ -17,10 +17,16 @@ from weatherloom.llm.mixing import mixed_documents
 from weatherloom.llm.near_dedup import drop_near_duplicates
 from weatherloom.llm.pieces import encode_pieces
 from weatherloom.llm.quality_model import fit_quality, good_documents
+from weatherloom.llm.scratch import ending
 from weatherloom.llm.secret_scan import without_live_secrets
 from weatherloom.session import remove, scratch_path
 
 QUALITY_CUT = 0.3
+# near copies share 80 % of their shingles; thirty bands of four rows miss one such pair
+# in ten million
+NEAR_PERCENT = 80
+NEAR_BANDS = 30
+NEAR_ROWS = 4
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +37,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
-    return drop_near_duplicates(docs)
+    return drop_near_duplicates(docs, percent=NEAR_PERCENT, bands=NEAR_BANDS, rows=NEAR_ROWS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +46,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix has it."""
+    """Each document as often as the mix has it, in the mix's order."""
     return mixed_documents(docs)
 
 
@@ -65,15 +71,18 @@ ORACLE_SQL = None  # the classifier is a fitted model
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows. Each stage is written to the shared folder and reread.
 
-    What a stage has read is removed when it is done.
+    When a stage is done, also by an error, everything it has stored on the way and what
+    it has read is removed: only the last stage's rows stay.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     before = None
     for name, stage in STAGES:
         path = scratch_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-        if before:
-            remove(spark, before)
-        before = path
+        try:
+            with ending(spark):
+                stage(spark, docs, sf_dir).write.parquet(path)
+        finally:
+            if before:
+                remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
