@@ -199,3 +199,101 @@ def test_line_rules_of_empty_tables(spark, empty, labels):
     model = fit_line_model(empty, labels)
     assert line_rules(empty, model).count() == 0
     assert not line_rules(spark.createDataFrame([(1, "a b\nc")], "doc_id long, text string"), model).first().kept
+
+
+def plain_boosting(x, y, trees, depth, rate, bins, ridge, least):
+    """Scores after boosting that tries every bin edge of every node, row by row."""
+    edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
+    share = y.mean()
+    total = np.full(len(y), np.log(share / (1 - share)))
+    for _ in range(trees):
+        p = 1 / (1 + np.exp(-total))
+        slope, curve = y - p, p * (1 - p)
+
+        def part(rows):
+            return slope[rows].sum() ** 2 / (curve[rows].sum() + ridge)
+
+        leaves = [np.arange(len(y))]
+        for _ in range(depth):
+            following = []
+            for rows in leaves:
+                best, cut = 1e-9, None
+                for f in range(x.shape[1]):
+                    found = [(0.0, None)]
+                    for edge in edges[f]:
+                        left, right = rows[x[rows, f] <= edge], rows[x[rows, f] > edge]
+                        if min(len(left), len(right)) >= least:
+                            found.append((part(left) + part(right) - part(rows), (f, edge)))
+                    gain, where = max(found, key=lambda c: c[0])
+                    if gain > best + (1e-9 if cut else 0):
+                        best, cut = gain, where
+                if cut:
+                    following += [rows[x[rows, cut[0]] <= cut[1]], rows[x[rows, cut[0]] > cut[1]]]
+                else:
+                    following += [rows, rows[:0]]
+            leaves = following
+        for rows in leaves:
+            if len(rows):
+                total[rows] += rate * slope[rows].sum() / (curve[rows].sum() + ridge)
+    return 1 / (1 + np.exp(-total))
+
+
+def test_splits_equal_those_of_a_full_search():
+    rng = np.random.default_rng(11)
+    x = np.stack([rng.normal(size=400), rng.integers(0, 4, 400), rng.exponential(size=400), np.ones(400)], axis=1)
+    y = ((x[:, 0] + 0.5 * x[:, 1] + rng.normal(size=400) * 0.5) > 1).astype(float)
+    options = {"trees": 6, "depth": 3, "rate": 0.3, "bins": 16, "ridge": 1.0, "least": 5.0}
+    assert quality_model.fit_forest(x, y, **options).score(x) == pytest.approx(plain_boosting(x, y, **options))
+
+
+def plain_features(text):
+    """Words and their beginnings, with how often each occurs, as bytes of the text."""
+    data = (text or "").encode().translate(bytes(c + 32 if 65 <= c <= 90 else c for c in range(256)))
+    cut = bytes(32 if severity.BETWEEN[c] else c for c in range(256))
+    words = [w for w in data.translate(cut).split(b" ") if w]
+    return Counter(("word", w) for w in words) + Counter(("start", w[:k]) for w in words for k in severity.BEGINNINGS if len(w) > k)
+
+
+def test_severity_equals_plain_python(spark):
+    """Which features are kept, by a plain likelihood-ratio test, and the severity they give."""
+    documents = spark.read.parquet(f"{LARGER}/documents.parquet")
+    labels = spark.read.parquet(f"{LARGER}/labels.parquet")
+    model = severity.fit_severity(documents, labels)
+    marks = {}
+    for r in labels.where("doc_id is not null and toxic is not null").collect():
+        marks.setdefault(r.doc_id, []).append(r.toxic)
+    rows = [(r.doc_id, r.text) for r in documents.collect() if r.doc_id in marks]
+    inside, total = Counter(), Counter()
+    toxic = {i: np.mean(v) >= 0.5 for i, v in marks.items()}
+    for name, text in rows:
+        for feature in plain_features(text):
+            total[feature] += 1
+            inside[feature] += toxic[name]
+    n = [sum(toxic[i] for i, _ in rows), sum(not toxic[i] for i, _ in rows)]
+
+    def ratio(a, both):
+        cells = [(a, both, n[0]), (both - a, both, n[1]), (n[0] - a, sum(n) - both, n[0]), (n[1] - both + a, sum(n) - both, n[1])]
+        return 2 * sum(c * np.log(c * sum(n) / (row * column)) for c, row, column in cells if c)
+
+    usual = {f: ratio(inside[f], t) for f, t in total.items() if t >= severity.LEAST_TEXTS}
+    kept = {f for f, r in usual.items() if r > 2 * np.log(100 * len(usual))}
+    assert 0 < len(kept) < severity.WORDS_KEPT
+
+    def hashed(feature):
+        kind, data = feature
+        text = pa.array([data.decode("utf-8", "ignore") if kind == "word" else data.decode("utf-8", "ignore") + "zzzz"])
+        found = list(severity.features(text))
+        if kind == "word":
+            return int(found[0][1][0])
+        return int(found[1 + severity.BEGINNINGS.index(len(data))][1][0])
+
+    plain = {f for f in kept if f[1].decode("utf-8", "ignore").encode() == f[1]}
+    weight = {f: model.weights[np.searchsorted(model.words, np.uint64(hashed(f)))] for f in plain}
+    assert {hashed(f) for f in plain} <= set(model.words.tolist()) and len(kept) == len(model.words)
+    got = {r.doc_id: r.severity for r in severity.severity(documents, model).collect()}
+    for name, text in rows:
+        found = plain_features(text)
+        if not any(f in found for f in kept - plain):
+            score = sum(np.log1p(c) * weight[f] for f, c in found.items() if f in weight)
+            want = sum(1 / (1 + np.exp(min(t - score, 500))) for t in model.thresholds)
+            assert got[name] == pytest.approx(want, abs=1e-9)

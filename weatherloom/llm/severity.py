@@ -35,23 +35,18 @@ BETWEEN[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 
 @dataclass(frozen=True)
 class SeverityModel:
-    """``words``: sorted hashes of features, ``strong``: those of high odds.
-
-    ``weights`` has one weight for each and one for the logarithm of the number of
-    strong ones in a text, so that the first of them counts most. ``thresholds``
-    ascend, one for each grade above 0.
+    """``words``: sorted hashes of features, with one of ``weights`` for each, which all
+    thresholds share. ``thresholds`` ascend, one for each grade above 0.
     """
 
     words: np.ndarray
-    strong: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
 
     def at_least(self, texts: pa.Array) -> np.ndarray:
         """P(grade >= k) for k = 1, 2, ..., one line for each text."""
         text, place, count = self.counts(texts)
-        row, column, value = inputs(text, place, count, self.strong, len(texts))
-        score = np.bincount(row, value * self.weights[column], len(texts))
+        score = np.bincount(text, np.log1p(count) * self.weights[place], len(texts))
         return 1 / (1 + np.exp(np.clip(self.thresholds - score[:, None], -500, 500)))
 
     def counts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,17 +80,6 @@ def counted(text: np.ndarray, place: np.ndarray, width: int) -> tuple[np.ndarray
     return key // width, key % width, count
 
 
-def inputs(text, place, count, strong, n):
-    """(text, column, value) triples of the regression."""
-    hits = np.bincount(text, strong[place] * count, n)
-    some = np.flatnonzero(hits)
-    return (
-        np.concatenate([text, some]),
-        np.concatenate([place, np.full(len(some), len(strong))]),
-        np.concatenate([np.log1p(count), np.log1p(hits[some])]),
-    )
-
-
 def fit_severity(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
     sample: int = SAMPLE,
@@ -112,9 +96,7 @@ def fit_severity(
     rows = materialise(rows.select("text", (F.col("label") >= 0.5).alias("toxic")), "labelled")
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_toxic, n_other = sizes.get(True, 0), sizes.get(False, 0)
-    nothing = SeverityModel(
-        np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool), np.zeros(1), np.full(GRADES, 20.0)
-    )
+    nothing = SeverityModel(np.zeros(0, dtype=np.uint64), np.zeros(0), np.full(GRADES, 20.0))
     if not n_toxic or not n_other:
         return nothing
 
@@ -175,9 +157,8 @@ def fit_severity(
     hits = np.bincount(row, strong[place] * count, len(toxic))
     cuts = np.quantile(hits[toxic], np.arange(1, GRADES) / GRADES)
     grade = np.where(toxic, 1 + (hits[:, None] > cuts).sum(axis=1), 0)
-    triples = inputs(row, place, count, strong, len(toxic))
-    weights, thresholds = fit_cumulative(*triples, grade, len(words) + 1, GRADES)
-    return SeverityModel(words, strong, weights, thresholds)
+    weights, thresholds = fit_cumulative(row, place, np.log1p(count), grade, len(words), GRADES)
+    return SeverityModel(words, weights, thresholds)
 
 
 def association(inside: Column, total: Column, n_inside: int, n_outside: int) -> Column:
