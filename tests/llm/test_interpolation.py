@@ -52,26 +52,42 @@ def test_counts_and_base_scores(which, request):
     assert all(math.isfinite(r.score) and r.score <= 0 for r in got)
 
 
-def test_scores_are_the_mixture(documents, monkeypatch):
+@pytest.mark.parametrize("order", [2, 3])
+def test_scores_are_the_mixture(documents, monkeypatch, order):
     """Block-wise scores equal those of the plain counts under the same weights."""
-    kept = {}
+    kept = []
 
     def remember(bucket, estimates, n, **more):
-        kept["weights"] = fit_weights(bucket, estimates, n, **more)
-        return kept["weights"]
+        kept.append(fit_weights(bucket, estimates, n, **more))
+        return kept[-1]
 
     monkeypatch.setattr(interpolation, "fit_weights", remember)
-    got = {r.doc_id: r for r in score_texts(documents, block_bytes=30_000).collect()}
-    words, pairs, _ = by_force([(r.doc_id, r.text) for r in documents.collect()])
+    got = {r.doc_id: r for r in score_texts(documents, block_bytes=30_000, order=order).collect()}
+    assert len(kept) == order - 1
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    words, pairs, _ = by_force(rows)
+    triples = Counter()
+    for i, text in rows:
+        if fold(i):
+            row = ["\n", *tokens(text)]
+            triples.update(zip(row, row[1:], row[2:]))
     n, v = sum(words.values()), len(words)
+    bucket = lambda c: min(c.bit_length(), interpolation.BUCKETS - 1)
+    higher = 0
     for row in documents.limit(60).collect():
-        total, before = 0.0, "\n"
+        total, first, before = 0.0, None, "\n"
         for w in tokens(row.text):
             c = words[before]
-            share = kept["weights"][min(c.bit_length(), interpolation.BUCKETS - 1)]
+            share = kept[0][bucket(c)]
             p = share[0] * pairs[before, w] / max(c, 1) + share[1] * words[w] / n + share[2] / (v + 1)
-            total, before = total + math.log10(p), w
+            c = pairs[first, before] if first is not None else 0
+            if order == 3 and c:
+                share = kept[1][bucket(c)]
+                higher += triples[first, before, w] > 0
+                p = share[0] * triples[first, before, w] / c + share[1] * p
+            total, first, before = total + math.log10(p), before, w
         assert got[row.doc_id].score == pytest.approx(total)
+    assert (higher > 0) == (order == 3)
 
 
 def test_held_out_text_is_scored_better_than_by_the_base(documents):
@@ -90,6 +106,13 @@ def test_weights_find_a_known_mixture():
     assert likelihood(found[3]) >= likelihood(true) - 5
 
 
+def test_trigrams_help(spark):
+    """Held-out texts of the larger table are likelier with trigrams than without."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    two, three = (score_texts(documents, order=k).where("held_out").selectExpr("sum(score)").first()[0] for k in (2, 3))
+    assert three > two
+
+
 def test_empty_and_nothing_to_learn(empty, odd):
     assert score_texts(empty).count() == 0
     alone = score_texts(odd.where("doc_id is null")).collect()

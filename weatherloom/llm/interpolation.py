@@ -1,10 +1,11 @@
 """Language-model scores by deleted interpolation.
 
 A token's probability mixes the maximum-likelihood bigram, the unigram and the
-uniform estimate. The three weights depend on how often the context occurs (one
-bucket for each power of two) and are learned by expectation-maximisation on
-counts held out from the training rows: estimates come from one part of them,
-the mixture is fitted to another. The scores then use the counts of both.
+uniform estimate, and with ``order`` 3 the trigram with that mixture. The weights
+depend on how often the context occurs (one bucket for each power of two) and are
+learned by expectation-maximisation on counts held out from the training rows:
+estimates come from one part of them, the mixture is fitted to another. The scores
+then use the counts of both.
 
 Counts of a large corpus do not fit one machine. Texts are packed into blocks. A
 block sends each n-gram once, as a 64-bit hash with its count in the block, to
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +31,19 @@ from weatherloom.llm.shipping import map_arrow, ship
 from weatherloom.llm.tokens import Words, mix
 from weatherloom.llm.scratch import materialise
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 5 << 20
 PART_ENTRIES = 1_000_000
+# of the count; beyond that several parts of the hash range share a task
+MOST_TASKS = 20_000
 BUCKETS = 48
 FINEST = 60  # estimates below 2 ** -30 share a cell
 END = np.uint64(0x2545F4914F6CDD1D)
+ORDER = 3
+# the last bits of a hash tell words, bigrams and trigrams
+KIND = np.uint64(3)
+# bits of a bigram's or trigram's hash beyond those that number all of them: one in a
+# million shares its hash with another one, in a corpus of any size
+SPARE_BITS = 20
 
 
 def fold_of(id_col: Column, folds: int) -> Column:
@@ -47,9 +57,14 @@ def score_texts(
     held_out: Column | None = None,
     deleted: Column | None = None,
     block_bytes: int = BLOCK_BYTES,
+    order: int = ORDER,
 ) -> DataFrame:
     """Scores of every row, by a model of the rows that are not ``held_out``.
 
+    ``order`` is 2 for bigrams or 3 for trigrams. The first token of a text has no
+    trigram. Bigrams and trigrams are counted by hashes (see ``SPARE_BITS``), words by
+    hashes of 62 bits.
+
     Of the training rows, ``deleted`` ones fit the mixture. Defaults: crc32 of the
     id as text, modulo 10, is 0 and 1; a row with a null id is held out.
 
@@ -69,13 +84,17 @@ def score_texts(
         F.sum("n_fit").alias("fit"), F.sum("n_deleted").alias("deleted"), F.sum("n_tokens").alias("all")
     ).first()
     n_fit, n_deleted, n_all = (int(x or 0) for x in sums)
+    entries = n_all * (order - 1)
+    cut = Cut(order, min(62, math.ceil(math.log2(max(entries, 2))) + SPARE_BITS))
     parts = max(
-        int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_all / PART_ENTRIES)
+        int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(entries / PART_ENTRIES)
     )
-    counts = _counts(blocks, parts)
+    counts = _counts(blocks, parts, cut)
     types = int(counts.where("block < 0").agg(F.sum("types")).first()[0] or 0)
-    weights = _weights(blocks, counts, n_fit, types)
-    scored = _scores(blocks, counts, source, weights, n_fit + n_deleted, types)
+    model = Mixture(types, _weights(blocks, counts, n_fit, types, cut), None)
+    if order > 2:
+        model = model._replace(upper=_upper_weights(blocks, counts, n_fit, model, cut))
+    scored = _scores(blocks, counts, source, model, n_fit + n_deleted, cut)
     return scored.select(
         F.col("id").alias(id_col), "held_out", "n_tokens", "n_known",
         F.lit(n_fit + n_deleted).cast("long").alias("train_tokens"), "base_score", "score",
@@ -104,6 +123,7 @@ def _blocks(source: DataFrame, block_bytes: int) -> DataFrame:
                         yield _packed(block, base + made, apart, schema)
                         made += 1
                     waiting[apart] = []
+                    pa.default_memory_pool().release_unused()
         for apart in (True, False):
             for block in _cut(waiting[apart], block_bytes):
                 yield _packed(block, base + made, apart, schema)
@@ -141,22 +161,52 @@ def _packed(batch: pa.RecordBatch, block: int, apart: bool, schema) -> pa.Record
     return pa.RecordBatch.from_arrays(row, names=schema.names)
 
 
-def _ngrams(words: np.ndarray, codes: np.ndarray):
-    """Hashes of the block's n-grams, sorted; where each word and each token's bigram is.
+class Cut(NamedTuple):
+    """The longest n-grams and the bits of their hashes that count."""
 
-    The last bit of a hash tells words from bigrams. A text begins after the end
-    of the text before it.
-    """
+    order: int
+    bits: int
+
+
+class Ngrams(NamedTuple):
+    """The n-grams of a block: sorted hashes, and the place in them of each word, pair and
+    triple. ``pair`` and ``triple`` number those of each token, ``context`` is the pair
+    before it; -1 where there is none. ``before`` is the word before it."""
+
+    hashes: np.ndarray
+    word_at: np.ndarray
+    pair_at: np.ndarray
+    triple_at: np.ndarray
+    before: np.ndarray
+    pair: np.ndarray
+    context: np.ndarray
+    triple: np.ndarray
+
+
+def _ngrams(words: np.ndarray, codes: np.ndarray, cut: Cut) -> Ngrams:
+    """A text begins after the end of the text before it, and has no pair before that."""
     before = np.zeros_like(codes)
     before[1:] = codes[:-1]
     pairs, pair = np.unique(before.astype(np.uint64) << np.uint64(32) | codes, return_inverse=True)
     left, right = words[pairs >> np.uint64(32)], words[pairs & np.uint64(0xFFFFFFFF)]
     both = mix(mix(left) + right)
-    hashes = np.concatenate([words & ~np.uint64(1), both | np.uint64(1)])
-    order = np.argsort(hashes)
-    place = np.empty(len(order), dtype=np.int64)
-    place[order] = np.arange(len(order))
-    return hashes[order], place[: len(words)], place[len(words) :], before, pair
+    mask = ~np.uint64((1 << (64 - cut.bits)) - 1)
+    kinds = [words & ~KIND, both & mask | np.uint64(1)]
+    context = np.full(len(codes), -1, dtype=np.int64)
+    triple = context.copy()
+    if cut.order > 2:
+        inner = np.flatnonzero(before)
+        context[inner] = pair[inner - 1]
+        key = context[inner].astype(np.uint64) << np.uint64(32) | codes[inner]
+        triples, triple[inner] = np.unique(key, return_inverse=True)
+        three = mix(mix(both[triples >> np.uint64(32)]) + words[triples & np.uint64(0xFFFFFFFF)])
+        kinds.append(three & mask | KIND)
+    hashes = np.concatenate(kinds)
+    sort = np.argsort(hashes)
+    place = np.empty(len(sort), dtype=np.int64)
+    place[sort] = np.arange(len(sort))
+    ends = np.cumsum([len(words), len(pairs)])
+    return Ngrams(hashes[sort], *np.split(place, ends), before, pair, context, triple)
 
 
 def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -165,21 +215,23 @@ def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return (*plain, unpacked(row["codes"]).astype(np.uint32))
 
 
-def _counts(blocks: DataFrame, parts: int) -> DataFrame:
+def _counts(blocks: DataFrame, parts: int, cut: Cut) -> DataFrame:
     """(block, part, fit, every): the totals of the block's n-grams in a part.
 
-    ``fit`` leaves out the deleted rows. Hashes travel as gaps between sorted values.
+    ``fit`` leaves out the deleted rows, and is there for their blocks only. Hashes travel as gaps between sorted values.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
                 roles, sizes, words, codes = _opened(row)
-                hashes, word_at, pair_at, _, pair = _ngrams(words, codes)
-                learned = np.repeat(roles > 0, sizes)
+                grams = _ngrams(words, codes, cut)
+                hashes, learned = grams.hashes, np.repeat(roles > 0, sizes)
                 count = np.zeros(len(hashes), dtype=np.int64)
-                count[word_at] = np.bincount(codes[learned], minlength=len(words))
-                count[pair_at] = np.bincount(pair[learned], minlength=len(pair_at))
+                count[grams.word_at] = np.bincount(codes[learned], minlength=len(words))
+                count[grams.pair_at] = np.bincount(grams.pair[learned], minlength=len(grams.pair_at))
+                three = grams.triple[learned & (grams.triple >= 0)]
+                count[grams.triple_at] = np.bincount(three, minlength=len(grams.triple_at))
                 part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
                 start = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
                 ends = np.r_[start[1:], len(part)]
@@ -207,14 +259,19 @@ def _counts(blocks: DataFrame, parts: int) -> DataFrame:
         known, of = np.unique(hashes, return_inverse=True)
         fit = np.bincount(of, weights=np.where(apart, 0, counts), minlength=len(known)).astype(np.uint64)
         every = np.bincount(of, weights=counts, minlength=len(known)).astype(np.uint64)
-        types = int(np.sum((every > 0) & (known & np.uint64(1) == 0)))
+        types = int(np.sum((every > 0) & (known & KIND == 0)))
         ends = np.cumsum(sizes)
+        # only the mixture needs the counts without the deleted rows, for these rows
+        some = table.column("apart").to_numpy()
+        deleted = np.flatnonzero(some)
+        part_fit = np.full(len(sizes), None, dtype=object)
+        part_fit[deleted] = [packed(fit[of[ends[i] - sizes[i] : ends[i]]]) for i in deleted]
         back = pa.table(
             {
                 "block": table.column("block").combine_chunks(),
                 "part": table.column("part").combine_chunks(),
                 "types": pa.nulls(len(sizes), pa.int64()),
-                "fit": _cells(fit[of], ends - sizes, ends),
+                "fit": pa.array(part_fit, pa.binary()),
                 "every": _cells(every[of], ends - sizes, ends),
             }
         )
@@ -225,7 +282,7 @@ def _counts(blocks: DataFrame, parts: int) -> DataFrame:
         blocks.select("block", "apart", "roles", "sizes", "words", "codes"), send,
         "part long, block long, apart boolean, hashes binary, counts binary",
     )
-    found = sent.groupBy("part").applyInArrow(
+    found = sent.repartition(min(parts, MOST_TASKS), "part").groupBy("part").applyInArrow(
         total, "block long, part long, types long, fit binary, every binary"
     )
     return materialise(found, "counts")
@@ -265,40 +322,95 @@ def bucket_of(context: np.ndarray) -> np.ndarray:
     return np.minimum(np.frexp(context.astype(np.float64))[1], BUCKETS - 1)
 
 
-def _weights(blocks: DataFrame, counts: DataFrame, n_fit: int, types: int) -> np.ndarray:
-    """Mixture weights by bucket, from a histogram of the deleted rows' estimates.
-
-    The cells are half octaves of both estimates, so what reaches the driver has
-    a fixed size while every deleted token is in it.
+class Mixture(NamedTuple):
+    """``lower``: weights of bigram, unigram and uniform by bucket of the word before;
+    ``upper``: of the trigram and of all that by bucket of the pair before, or None."""
+
+    types: int
+    lower: np.ndarray
+    upper: np.ndarray | None
+
+    def estimates(self, seen: np.ndarray, grams: Ngrams, codes: np.ndarray, n: int):
+        """Count of the pair before each token, its trigram's share of it, and the mixture of
+        the lower orders, by the counts ``seen`` of the block's n-grams."""
+        context, own = seen[grams.word_at[grams.before]], seen[grams.word_at[codes]]
+        weight = self.lower[bucket_of(context)]
+        lower = weight[:, 0] * seen[grams.pair_at[grams.pair]] / np.maximum(context, 1)
+        lower += weight[:, 1] * own / max(n, 1) + weight[:, 2] / (self.types + 1)
+        pair, share = np.zeros(len(codes), dtype=np.int64), np.zeros(len(codes))
+        some = grams.triple >= 0
+        pair[some] = seen[grams.pair_at[grams.context[some]]]
+        share[some] = seen[grams.triple_at[grams.triple[some]]] / np.maximum(pair[some], 1)
+        return pair, share, lower
+
+    def probability(self, seen: np.ndarray, grams: Ngrams, codes: np.ndarray, n: int) -> np.ndarray:
+        pair, share, lower = self.estimates(seen, grams, codes, n)
+        if self.upper is None:
+            return lower
+        weight = self.upper[bucket_of(pair)]
+        # a pair never seen leaves everything to the lower orders
+        return np.where(pair > 0, weight[:, 0] * share + weight[:, 1] * lower, lower)
+
+
+def _deleted_cells(blocks: DataFrame, counts: DataFrame, cells) -> tuple[np.ndarray, np.ndarray]:
+    """(cell, tokens) over the deleted rows; ``cells`` numbers the cell of each token.
+
+    What reaches the driver has a fixed size while every deleted token is in it.
     """
 
-    def cells(left: pa.Table, right: pa.Table) -> pa.Table:
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
         out = np.zeros((0, 2), dtype=np.int64)
         if left.num_rows:
             _, _, words, codes = _opened(next(_rows(left.combine_chunks().to_batches()[0])))
-            _, word_at, pair_at, before, pair = _ngrams(words, codes)
-            fit = _returned(right, "fit")
-            context, both = fit[word_at[before]], fit[pair_at[pair]]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                bigram = _cell(both / context)
-                unigram = _cell(fit[word_at[codes]] / max(n_fit, 1))
-            cell = (bucket_of(context) * (FINEST + 2) + bigram) * (FINEST + 2) + unigram
-            out = np.stack(np.unique(cell, return_counts=True), axis=1)
+            out = np.stack(np.unique(cells(_returned(right, "fit"), words, codes), return_counts=True), axis=1)
         return pa.table({"cell": out[:, 0], "n": out[:, 1]})
 
     apart = blocks.where("apart").select("block", "roles", "sizes", "words", "codes")
     back = counts.where("block >= 0").join(apart.select("block"), "block", "left_semi")
     back = back.select("block", "part", "fit")
-    grouped = apart.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(cells, "cell long, n long")
+    grouped = apart.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(count, "cell long, n long")
     found = grouped.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    cell, n = found["cell"].to_numpy(np.int64), found["n"].to_numpy(np.float64)
+    return found["cell"].to_numpy(np.int64), found["n"].to_numpy(np.float64)
+
+
+def _weights(blocks: DataFrame, counts: DataFrame, n_fit: int, types: int, cut: Cut) -> np.ndarray:
+    """Mixture weights by bucket, from a histogram of the deleted rows' estimates.
+
+    The cells are half octaves of both estimates.
+    """
     side = FINEST + 2
+
+    def cells(fit, words, codes):
+        grams = _ngrams(words, codes, cut)
+        context, both = fit[grams.word_at[grams.before]], fit[grams.pair_at[grams.pair]]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            bigram = _cell(both / context)
+            unigram = _cell(fit[grams.word_at[codes]] / max(n_fit, 1))
+        return (bucket_of(context) * side + bigram) * side + unigram
+
+    cell, n = _deleted_cells(blocks, counts, cells)
     estimates = np.stack(
         [_middle(cell // side % side), _middle(cell % side), np.full(len(cell), 1 / (types + 1))], axis=1
     )
     return fit_weights(cell // side**2, estimates, n)
 
 
+def _upper_weights(blocks: DataFrame, counts: DataFrame, n_fit: int, model: Mixture, cut: Cut) -> np.ndarray:
+    """Weights of the trigram and the lower mixture by bucket, from tokens whose pair before
+    occurs in the other rows."""
+    side = FINEST + 2
+
+    def cells(fit, words, codes):
+        grams = _ngrams(words, codes, cut)
+        pair, share, lower = model.estimates(fit, grams, codes, n_fit)
+        some = pair > 0
+        return (bucket_of(pair[some]) * side + _cell(share[some])) * side + _cell(lower[some])
+
+    cell, n = _deleted_cells(blocks, counts, cells)
+    estimates = np.stack([_middle(cell // side % side), _middle(cell % side)], axis=1)
+    return fit_weights(cell // side**2, estimates, n)
+
+
 def _cell(p: np.ndarray) -> np.ndarray:
     """0 for no mass, else 1 plus the half octaves below 1."""
     seen = np.isfinite(p) & (p > 0)
@@ -319,7 +431,7 @@ def fit_weights(bucket: np.ndarray, estimates: np.ndarray, n: np.ndarray, rounds
     """
 
     def learn(estimates, n):
-        weights = np.full(3, 1 / 3)
+        weights = np.full(estimates.shape[1], 1 / estimates.shape[1])
         for _ in range(rounds):
             share = estimates * weights
             share /= np.maximum(share.sum(axis=1, keepdims=True), 1e-300)
@@ -333,7 +445,7 @@ def fit_weights(bucket: np.ndarray, estimates: np.ndarray, n: np.ndarray, rounds
     return out
 
 
-def _scores(blocks, counts, source, weights, n_train, types):
+def _scores(blocks, counts, source, model, n_train, cut):
     schema = source.select("id", F.lit(True).alias("held_out")).schema
     more = StructType.fromDDL("n_tokens long, n_known long, base_score double, score double")
     schema = StructType([*schema, *more])
@@ -341,13 +453,11 @@ def _scores(blocks, counts, source, weights, n_train, types):
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         row = next(_rows(left.select(["roles", "sizes", "words", "codes"]).combine_chunks().to_batches()[0]))
         roles, sizes, words, codes = _opened(row)
-        _, word_at, pair_at, before, pair = _ngrams(words, codes)
+        grams = _ngrams(words, codes, cut)
         seen = _returned(right, "every")
-        context, own, both = seen[word_at[before]], seen[word_at[codes]], seen[pair_at[pair]]
-        weight = weights[bucket_of(context)]
-        p = weight[:, 0] * both / np.maximum(context, 1)
-        p += weight[:, 1] * own / max(n_train, 1) + weight[:, 2] / (types + 1)
-        base = np.log10((own + 0.1) / (n_train + 0.1 * (types + 1)))
+        own = seen[grams.word_at[codes]]
+        p = model.probability(seen, grams, codes, n_train)
+        base = np.log10((own + 0.1) / (n_train + 0.1 * (model.types + 1)))
         start = np.cumsum(sizes, dtype=np.int64) - sizes
         return pa.table(
             {
