@@ -31,7 +31,7 @@ from weatherloom.llm.shipping import map_arrow, ship
 from weatherloom.llm.tokens import Words, mix
 from weatherloom.llm.scratch import materialise
 
-BLOCK_BYTES = 5 << 20
+BLOCK_BYTES = 4 << 20
 PART_ENTRIES = 1_000_000
 # of the count; beyond that several parts of the hash range share a task
 MOST_TASKS = 20_000
@@ -42,8 +42,8 @@ ORDER = 3
 # the last bits of a hash tell words, bigrams and trigrams
 KIND = np.uint64(3)
 # bits of a bigram's or trigram's hash beyond those that number all of them: one in a
-# million shares its hash with another one, in a corpus of any size
-SPARE_BITS = 20
+# sixty thousand shares its hash with another one, in a corpus of any size
+SPARE_BITS = 16
 
 
 def fold_of(id_col: Column, folds: int) -> Column:
