@@ -22,7 +22,7 @@ from weatherloom.llm.shipping import map_arrow
 from weatherloom.llm.tokens import Words, distinct_in_runs, mix, shingle_sets, slices
 
 # bits of a sketch for each element that may differ
-SKETCH_BITS = 8
+SKETCH_BITS = 16
 # members of a bucket that are compared with as many others in one step
 TILE = 2_048
 # rows that one executor can hold: numbers of buckets or nodes in a hash relation
@@ -185,7 +185,7 @@ def sketches(sets: Sets, percent: int) -> list[np.ndarray]:
     most as many as the elements that do. The number of words is a power of two that
     grows with the set; ``folded`` makes sketches of different length comparable.
     """
-    words = np.maximum(1, SKETCH_BITS * differing(2 * sets.size, percent) // 64)
+    words = np.maximum(1, -(-SKETCH_BITS * differing(2 * sets.size, percent) // 64))
     bits = 64 * 2 ** np.ceil(np.log2(words)).astype(np.int64)
     run = np.repeat(np.arange(len(bits)), sets.size)
     bit = (mix(sets.value ^ np.uint64(0x6A09E667F3BCC909)) & (bits - 1).astype(np.uint64)[run]).astype(np.int64)
