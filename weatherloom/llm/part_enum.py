@@ -39,6 +39,8 @@ PERCENT = 80
 LONG_UP_TO = 96
 # parts that differ little, over those expected to have an empty choice
 MARGIN = 1.6
+# sets that a task remembers to sign copies once; it forgets them all beyond
+REMEMBERED = 100_000
 # in-memory bytes of a set's key with the name of its component, generous
 OWNER_ROW_BYTES = 128
 KEY = ["n", "key1", "key2"]
@@ -157,10 +159,11 @@ def alike_components(
     signatures cover every pair, and holders of one that stay apart are all compared.
 
     Null or empty texts and texts without words have n_shingles 0 and are linked with
-    nothing. ``percent`` is 75 or more (ValueError below). Equal sets are one node, so a group of copies has no pairs; repeated rows
-    come out as often as they went in. A null id names no component: the id is null
-    where no other one is reachable. Other columns are not looked at. ``docs`` is read
-    four times; store it first if it is expensive or not the same each time.
+    nothing. ``percent`` is 75 or more (ValueError below). Equal sets are one node, so a
+    group of copies has no pairs; repeated rows come out as often as they went in. A null
+    id names no component: the id is null where no other one is reachable. Other columns
+    are not looked at. ``docs`` is read four times; store it first if it is expensive or
+    not the same each time.
     """
     spark = docs.sparkSession
     text = F.col(text_col)
@@ -207,7 +210,7 @@ def _keys(hashed: DataFrame, width: int) -> DataFrame:
 
 
 def _signed(source: DataFrame, percent: int, width: int, whole: bool) -> DataFrame:
-    """One row for each signature of each set, copies in a task once.
+    """One row for each signature of each set, most copies in a task once.
 
     With the set's key, or with a short hash of key and signature that tells
     whether two holders are different.
@@ -224,6 +227,8 @@ def _signed(source: DataFrame, percent: int, width: int, whole: bool) -> DataFra
                 for i, key in enumerate(zip(sets.key1.tolist(), sets.key2.tolist(), strict=True)):
                     fresh[i] = key not in seen
                     seen.add(key)
+                if len(seen) > REMEMBERED:
+                    seen.clear()
                 chosen = fresh[text]
                 text, signature = text[chosen], signature[chosen]
                 if whole:
