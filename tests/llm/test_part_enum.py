@@ -104,11 +104,25 @@ def test_shuffled_joins_give_the_same(spark, monkeypatch):
     """Beyond the sizes that are broadcast."""
     monkeypatch.setattr(alike, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(part_enum, "OWNER_ROW_BYTES", 1 << 40)
+    monkeypatch.setattr(part_enum, "FILTER_BITS", 64)  # lets almost every signature pass
+    monkeypatch.setattr(part_enum, "REMEMBERED", 1)
     rows = planted() + [(5, planted()[0][1]), (6, planted()[0][1]), (7, None), (None, "a b c d e f g h")]
     got = alike_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((tuple(r) for r in got), key=str) == sorted(by_force(rows, 80), key=str)
 
 
+def test_filter_lets_all_of_its_signatures_pass(spark):
+    rng = np.random.default_rng(5)
+    inside, outside = rng.integers(0, 1 << 64, (2, 5_000), dtype=np.uint64)
+    shared = spark.createDataFrame([(int(v),) for v in inside.view(np.int64)], "sig long")
+    for most, others in ((1 << 27, 0.03), (1 << 12, 1.0)):
+        words = part_enum.signature_filter(shared, most)
+        assert 64 * len(words) <= most and part_enum.passes(words, inside).all()
+        assert part_enum.passes(words, outside).mean() <= others
+    none = part_enum.signature_filter(shared.limit(0), 1 << 27)
+    assert not part_enum.passes(none, outside).any()
+
+
 def test_empty(empty):
     assert alike_components(empty).count() == 0
 

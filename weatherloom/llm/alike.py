@@ -25,8 +25,8 @@ from weatherloom.llm.tokens import Words, distinct_in_runs, mix, shingle_sets, s
 SKETCH_BITS = 16
 # members of a bucket that are compared with as many others in one step
 TILE = 2_048
-# rows that one executor can hold: numbers of buckets or nodes in a hash relation
-BROADCAST_ROWS = 2_000_000
+# rows of a few numbers whose hash relation a small driver can build several of
+BROADCAST_ROWS = 500_000
 
 
 class Sets(NamedTuple):

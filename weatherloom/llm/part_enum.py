@@ -41,6 +41,8 @@ LONG_UP_TO = 96
 MARGIN = 1.6
 # sets that a task remembers to sign copies once; it forgets them all beyond
 REMEMBERED = 100_000
+# bits of the filter of shared signatures that every task gets: at most 16 MB
+FILTER_BITS = 1 << 27
 # in-memory bytes of a set's key with the name of its component, generous
 OWNER_ROW_BYTES = 128
 KEY = ["n", "key1", "key2"]
@@ -209,12 +211,51 @@ def _keys(hashed: DataFrame, width: int) -> DataFrame:
     return map_arrow(hashed, hash_sets, schema)
 
 
-def _signed(source: DataFrame, percent: int, width: int, whole: bool) -> DataFrame:
+def filter_places(signature: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The two bits of a filter of ``bits`` bits (a power of two) that a signature sets."""
+    mask = np.uint64(bits - 1)
+    return [mix(signature + mix(np.array([k], dtype=np.uint64))) & mask for k in (1, 2)]
+
+
+def signature_filter(shared: DataFrame, most: int) -> np.ndarray:
+    """A filter of up to ``most`` bits, as 64-bit words, that lets all of ``shared`` pass.
+
+    Its size is bounded whatever the number of signatures; with many it lets more of
+    the others pass, which costs rows and loses none. Tasks find the bits, and equal
+    words are put together before they reach the driver.
+    """
+    bits = 1 << min(max(16 * shared.count(), 64).bit_length(), most.bit_length() - 1)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.concatenate(filter_places(batch.column("sig").to_numpy().view(np.uint64), bits))
+            one = np.uint64(1) << (at & np.uint64(63))
+            arrays = [pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array(one.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["word", "value"])
+
+    words = map_arrow(shared.select("sig"), places, "word long, value long").groupBy("word")
+    found = words.agg(F.bit_or("value").alias("value")).toArrow()
+    out = np.zeros(bits // 64, dtype=np.uint64)
+    out[found.column("word").to_numpy()] = found.column("value").to_numpy().view(np.uint64)
+    return out
+
+
+def passes(words: np.ndarray, signature: np.ndarray) -> np.ndarray:
+    """Signatures that may be among those the filter was made of."""
+    found = np.ones(len(signature), dtype=bool)
+    for at in filter_places(signature, 64 * len(words)):
+        found &= (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)) > 0
+    return found
+
+
+def _signed(source: DataFrame, percent: int, width: int, allowed=None) -> DataFrame:
     """One row for each signature of each set, most copies in a task once.
 
-    With the set's key, or with a short hash of key and signature that tells
-    whether two holders are different.
+    With a short hash of key and signature that tells whether two holders are
+    different; or, given a broadcast filter ``allowed``, the signatures that pass it
+    with the set's key.
     """
+    whole = allowed is not None
     schema = "sig long, n long, key1 long, key2 long" if whole else "sig long, mark int"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,6 +271,8 @@ def _signed(source: DataFrame, percent: int, width: int, whole: bool) -> DataFra
                 if len(seen) > REMEMBERED:
                     seen.clear()
                 chosen = fresh[text]
+                if whole:
+                    chosen &= passes(allowed.value, signature)
                 text, signature = text[chosen], signature[chosen]
                 if whole:
                     arrays = [pa.array(a[text]) for a in (sets.size, sets.key1, sets.key2)]
@@ -247,12 +290,14 @@ def _members(source, classes, percent, width, scratch):
     """(bucket, node, n): the holders of each signature that different sets share.
 
     Most signatures have one holder. The first pass finds the others and moves twelve
-    bytes for each signature, the second only fetches the holders.
+    bytes for each signature, the second only fetches the holders. The few signatures
+    that pass its filter by chance have one holder, which makes no pair.
     """
-    held = _signed(source, percent, width, False).groupBy("sig")
+    held = _signed(source, percent, width).groupBy("sig")
     held = held.agg(F.min("mark").alias("low"), F.max("mark").alias("high"))
     shared = scratch.keep(held.where("low <> high").select("sig"), "shared")
-    holders = _signed(source, percent, width, True).join(sized(shared), "sig").distinct()
+    allowed = source.sparkSession.sparkContext.broadcast(signature_filter(shared, FILTER_BITS))
+    holders = _signed(source, percent, width, allowed).distinct()
     return holders.join(classes.select("node", *KEY), KEY).select(F.col("sig").alias("bucket"), "node", "n")
 
 
