@@ -18,6 +18,13 @@ from .operators.consistency import (
     record_extremes,
     spikes,
 )
+from .operators.corroboration import (
+    daily_anomalies,
+    duplicate_months,
+    inconsistent_days,
+    snow_in_warmth,
+    uncorroborated,
+)
 from .operators.counts import reading_counts, value_count
 from .operators.integrity import (
     Rule,

@@ -1666,3 +1666,78 @@ def x18(spark, folder):
 def x19(spark, folder):
     long = wl.to_monthly_long(monthly_readings(spark, folder), flags=True)
     return wl.mask_adjusted(long).drop("lat", "lon", "dmflag", "dsflag")
+
+
+ALL_DAYS = """(SELECT id, date, element, CAST(tenths / 10.0 AS FLOAT) AS value FROM daily_cells)"""
+
+
+def all_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """The days of every element, snow among them."""
+    return wl.to_daily_long(wl.parse_daily(encode.daily_lines(spark, folder), None))
+
+
+@query(
+    "x20_uncorroborated",
+    f"""{CLIMATE_SQL}, {DAILY_STATIONS}, {NEIGHBOUR_SQL.format(lookup='daily_lookup', within=1000)}, anomalies AS (
+          SELECT d.id, d.element, d.date, d.value, round(CAST(d.value AS DOUBLE) - mean, 4) AS anomaly
+          FROM days d JOIN climate c ON c.id = d.id AND c.element = d.element AND c.day = d.own
+          WHERE n_values >= 5),
+        judged AS (
+          SELECT a.id, a.element, a.date, ANY_VALUE(a.value) AS value, ANY_VALUE(a.anomaly) AS anomaly,
+                 COUNT(DISTINCT o.id) AS n_neighbours, MAX(o.anomaly * sign(a.anomaly)) AS best_anomaly
+          FROM anomalies a JOIN nearest n ON n.id = a.id JOIN anomalies o
+               ON o.id = n.neighbour AND o.element = a.element AND abs(o.date - a.date) <= 1
+          WHERE abs(a.anomaly) >= 8 GROUP BY ALL)
+        SELECT id, element, {text('date')} AS date, {number('value')} AS value, {number('anomaly')} AS anomaly,
+        {whole('n_neighbours')} AS n_neighbours, {number('best_anomaly + 0.0')} AS best_anomaly
+        FROM judged WHERE n_neighbours >= 2 AND round(abs(anomaly) - best_anomaly, 4) >= 8""",
+)
+def x20(spark, folder):
+    stations = daily_lookup(spark, folder)
+    return wl.uncorroborated(
+        daily_table(spark, folder), stations, limit=8.0, witnesses=2, within_km=1000.0, min_values=5
+    )
+
+
+@query(
+    "x21_snow_in_warmth",
+    f"""WITH {DAILY_CELLS} SELECT s.id, {text('s.date')} AS date, {number('ANY_VALUE(s.value)')} AS value,
+        {number('MIN(t.value)')} AS lowest
+        FROM {ALL_DAYS} s JOIN {ALL_DAYS} t ON t.id = s.id AND abs(t.date - s.date) <= 1
+        WHERE s.element = 'SNOW' AND t.element = 'TMIN' AND s.value > 0
+        GROUP BY s.id, s.date HAVING MIN(t.value) >= 7""",
+)
+def x21(spark, folder):
+    return wl.snow_in_warmth(all_daily(spark, folder))
+
+
+@query(
+    "x22_inconsistent_days",
+    f"""WITH {DAILY_CELLS}, pairs AS (
+          SELECT a.id, a.date, a.element, a.value, b.value AS other FROM {ALL_DAYS} a JOIN {ALL_DAYS} b
+          ON b.id = a.id AND b.date = a.date AND (a.element, b.element) IN (('TMAX', 'TMIN'), ('SNOW', 'PRCP')))
+        SELECT id, {text('date')} AS date, rule, {number('value')} AS value, {number('other')} AS other FROM (
+          SELECT *, 'maximum_below_minimum' AS rule FROM pairs WHERE element = 'TMAX' AND value < other
+          UNION ALL SELECT *, 'snow_without_precipitation' FROM pairs
+          WHERE element = 'SNOW' AND value > 0 AND other = 0
+          UNION ALL SELECT *, 'naught' FROM pairs
+          WHERE element = 'TMAX' AND value = other AND round(CAST(value AS DOUBLE), 4) IN (0, -17))""",
+)
+def x22(spark, folder):
+    """With a whole number as the second naught, as the values are."""
+    return wl.inconsistent_days(all_daily(spark, folder), naughts=(0.0, -17.0))
+
+
+@query(
+    "x23_duplicate_months",
+    f"""WITH {DAILY_CELLS}, months AS (
+          SELECT id, element, date_trunc('month', date) AS month, COUNT(*) AS n_values,
+                 string_agg(day(date) || ':' || value, ',' ORDER BY date) AS content
+          FROM {COARSE_DAYS} GROUP BY ALL HAVING COUNT(*) >= 2 AND MIN(value) < MAX(value)),
+        firsts AS (SELECT *, MIN(month) OVER (PARTITION BY id, element, content) AS first_month FROM months)
+        SELECT id, element, {text('CAST(month AS DATE)')} AS month,
+        {text('CAST(first_month AS DATE)')} AS first_month, {whole('n_values')} AS n_values
+        FROM firsts WHERE month > first_month""",
+)
+def x23(spark, folder):
+    return wl.duplicate_months(coarse_days(spark, folder), min_values=2)
