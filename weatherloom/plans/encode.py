@@ -18,12 +18,14 @@ from collections.abc import Callable, Iterator
 from functools import partial
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
 DAILY_SOURCES = "ZRD06CX"
+# compressed text cannot be split, so no file has more lines
+LINES_PER_FILE = 200_000
 MONTHLY_FLAGS = "abcde"
 
 
@@ -57,7 +59,12 @@ def _joined(count: int, slot: Callable[[Column], Column]) -> Column:
 
 
 def encode_daily(spark: SparkSession, folder: str) -> DataFrame:
-    """``file_name`` and ``line`` of daily records, one file per station."""
+    """``file_name`` and ``line`` of daily records, one file per station.
+
+    A line's slots are mostly empty, so days travel as narrow rows: the largest value of
+    each day first, with a partial step, then the at most 31 days of a line, sorted once
+    and joined in a running list. No task holds a wide row for each line it has begun.
+    """
     date = F.col("l_shipdate").cast("date")
     element = (
         F.when(F.col("l_returnflag") == "A", "TMAX")
@@ -68,29 +75,44 @@ def encode_daily(spark: SparkSession, folder: str) -> DataFrame:
     tenths = (F.col("l_quantity") * 10).cast("int") - 200
     cells = table(spark, folder, "lineitem").select(
         F.col("l_suppkey").alias("station"),
-        F.date_format(date, "yyyyMM").alias("month"),
+        date.alias("date"),
         element.alias("element"),
-        F.dayofmonth(date).alias("day"),
         ((tenths + 1000) * 8 + F.col("l_linenumber")).alias("packed"),
     )
-    lines = cells.groupBy("station", "month", "element").agg(
-        *_slots(31, F.col("day"), F.col("packed"))
+    days = cells.groupBy("station", "element", "date").agg(F.max("packed").alias("packed"))
+    days = days.withColumn("month", F.date_format("date", "yyyyMM"))
+
+    packed = F.col("packed")
+    line = packed % 8
+    text = F.concat(
+        right(F.shiftright(packed, 3) - 1000, 5),
+        F.when(line == 1, "T").otherwise(" "),
+        F.when(line >= 6, "X").otherwise(" "),
+        char_of(DAILY_SOURCES, line),
+    )
+    cell = F.when(text.isNotNull(), F.struct(F.dayofmonth("date").alias("day"), text.alias("text")))
+    keys = ["station", "month", "element"]
+    rising = Window.partitionBy(*keys).orderBy("date")
+    lines = (
+        days.repartition(*keys)
+        .select(*keys, "date", cell.alias("cell"))
+        .withColumn("cells", F.collect_list("cell").over(rising.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("last", F.lead(F.lit(False), 1, True).over(rising))
+        .filter("last")
     )
 
-    def slot(packed: Column) -> Column:
-        line = packed % 8
-        text = F.concat(
-            right(F.shiftright(packed, 3) - 1000, 5),
-            F.when(line == 1, "T").otherwise(" "),
-            F.when(line >= 6, "X").otherwise(" "),
-            char_of(DAILY_SOURCES, line),
-        )
-        return F.coalesce(text, F.lit("-9999   "))
+    def missing(count: Column) -> Column:
+        return F.repeat(F.lit("-9999   "), count)
+
+    def day_before(slot: Column) -> Column:
+        return F.coalesce(F.get("cells", slot)["day"], F.lit(0))
 
+    slots = F.transform("cells", lambda c, i: F.concat(missing(c["day"] - day_before(i - 1) - 1), c["text"]))
+    body = F.concat(F.array_join(slots, ""), missing(31 - day_before(F.size("cells") - 1)))
     station = hex_id("USC", F.col("station"))
     return lines.select(
         F.concat(station, F.lit(".dly")).alias("file_name"),
-        F.concat(station, "month", "element", _joined(31, slot)).alias("line"),
+        F.concat(station, "month", "element", body).alias("line"),
     )
 
 
@@ -220,13 +242,15 @@ def stored(
 
     Like a real archive, the lines are encoded once and scanned by many
     queries. It also keeps the encoder's long expressions out of their plans.
+    Text is compressed: nearly all of it is blanks and missing values.
     """
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _stored:
         path = scratch_path(spark, name)
         df = build()
         if as_text:
-            df.select("line").write.text(path)
+            lines = df.select("line").write.option("maxRecordsPerFile", LINES_PER_FILE)
+            lines.text(path, compression="gzip")
         else:
             df.write.parquet(path)
         _stored[key] = path
