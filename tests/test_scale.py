@@ -59,3 +59,30 @@ def test_text_is_stored_compressed(spark, lineitem):
     names = [r.file_name for r in wl.list_files(spark, path).collect()]
     assert any(name.endswith(".gz") for name in names)
     assert spark.read.text(path).filter(F.length("value") == 269).count() == 3
+
+
+@pytest.mark.parametrize("days", [0, 7, 200])
+def test_climate_repeats_no_row_for_the_days_around(spark, days):
+    dates = [(2001, 1, 1), (2002, 1, 1), (2001, 6, 15), (2001, 12, 31), (2004, 2, 29)]
+    rows = [(None if i % 2 else "s", datetime.date(*d), "TMAX", float(i)) for i, d in enumerate(dates * 2)]
+    frame = spark.createDataFrame(rows, DAILY)
+    climate = wl.daily_climate(frame, days)
+    assert f"[-{days}," not in plan_of(climate) and f"sequence(-{days}" not in plan_of(climate)
+    best = {}
+    for name, date, _, value in rows:
+        best[name, date] = max(value, best.get((name, date), value))
+    around = {}
+    for (name, date), value in best.items():
+        own = datetime.date(2000, date.month, date.day).timetuple().tm_yday
+        for step in range(-days, days + 1):
+            around.setdefault((name, (own + step - 1) % 366 + 1), []).append(value)
+    got = {(r.id, r.day): (r.n_values, r.mean) for r in climate.collect()}
+    assert got == {k: (len(v), pytest.approx(sum(v) / len(v))) for k, v in around.items()}
+
+
+def test_anomalies_join_no_climate(spark):
+    rows = [("s", datetime.date(2001, 3, d), "TMAX", float(d)) for d in range(1, 20)] + [(None, datetime.date(2001, 3, 1), "TMAX", 1.0)]
+    found = wl.daily_anomalies(spark.createDataFrame(rows, DAILY), 1, 2)
+    assert "Join" not in plan_of(found)
+    got = {r.date.day: r.anomaly for r in found.collect()}
+    assert got == {d: 0.0 for d in range(2, 19)} | {1: -0.5, 19: 0.5}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..session import materialise, remove, stored
 from .joins import sized_join
 from .neighbours import NEIGHBOURS, WITHIN_KM, nearest_stations
-from .outliers import CLIMATE_DAYS, CLIMATE_VALUES, daily_climate, day_of_year
+from .outliers import CLIMATE_DAYS, CLIMATE_VALUES, with_climate
 
 ANOMALY = 10.0
 WITNESSES = 3
@@ -37,10 +37,7 @@ def daily_anomalies(
     so are missing values and dates and null ids and elements. Rows that repeat a
     station, element and date are one, with the largest value.
     """
-    climate = daily_climate(daily, days).filter(F.col("n_values") >= min_values)
-    own = _present(daily).groupBy("id", "element", "date").agg(F.max("value").alias("value"))
-    # a station's days are many keys, so none is hot
-    met = own.withColumn("day", day_of_year(F.col("date"))).join(climate, ["id", "element", "day"])
+    met = with_climate(daily, days).filter(F.col("n_values") >= min_values)
     anomaly = F.round(F.col("value").cast("double") - F.col("mean"), 4)
     return met.select("id", "element", "date", "value", anomaly.alias("anomaly"))
 

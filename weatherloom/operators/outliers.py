@@ -145,30 +145,88 @@ def day_of_year(date: Column) -> Column:
     return F.dayofyear(F.make_date(F.lit(2000), F.month(date), F.dayofmonth(date)))
 
 
+YEAR = 366
+
+
+def _day_sums(own: DataFrame) -> DataFrame:
+    """(id, element, day, n, s, q): count, sum and sum of squares of the tenths of single days."""
+    tenths = F.round(F.col("value").cast("double") * 10).cast("long")
+    return own.groupBy("id", "element", day_of_year(F.col("date")).alias("day")).agg(
+        F.count("*").alias("n"), F.sum(tenths).alias("s"), F.sum(tenths * tenths).alias("q")
+    )
+
+
+def _turns(single: DataFrame, days: int) -> DataFrame:
+    """(id, element, at, n, s, q): what the sums around a day of the year gain or lose at ``at``.
+
+    A day counts from ``days`` before it to ``days`` after it, an arc that goes on at the
+    other end of the year: two rows, or four at the turn, however wide the arc is.
+    """
+    begin, end = F.col("day") - days, F.col("day") + days
+    first_lap, last_lap = F.floor((begin - 1) / YEAR), F.floor((end - 1) / YEAR)
+    arcs = single.withColumn("lap", F.explode(F.sequence(first_lap, last_lap)))
+    begin = F.greatest(begin - F.col("lap") * YEAR, F.lit(1)).cast("int")
+    end = F.least(end - F.col("lap") * YEAR, F.lit(YEAR)).cast("int")
+    turns = F.array(
+        F.struct(begin.alias("at"), *(F.col(c).alias(c) for c in "nsq")),
+        F.struct((end + 1).alias("at"), *((-F.col(c)).alias(c) for c in "nsq")),
+    )
+    return arcs.select("id", "element", F.explode(turns).alias("turn")).select("id", "element", "turn.*")
+
+
+def _around() -> tuple[Column, Column, Column]:
+    """n_values, mean and deviation of the running sums of ``_turns``.
+
+    A series has at most four rows for each day of the year, and its dates.
+    """
+    so_far = Window.partitionBy("id", "element").orderBy("at")
+    n_values, total, squares = (F.sum(c).over(so_far) for c in "nsq")
+    n, s, q = (c.cast("double") for c in (n_values, total, squares))
+    spread = F.sqrt(F.greatest((q - s * s / n) / (n - 1), F.lit(0.0))) / 10
+    return n_values, F.when(n > 0, s / n / 10), F.when(n > 1, spread)
+
+
 def daily_climate(daily: DataFrame, days: int = CLIMATE_DAYS) -> DataFrame:
     """(id, element, day, n_values, mean, deviation) for each day of the year.
 
     Over the values of all years on the day and ``days`` days on both sides, around the
     turn of the year too; a single value has no deviation. Values are counted and summed
-    for each single day first; these at most 366 rows of a station and element are then
-    repeated for the days around them, not the values. Sums are of whole tenths, so they
-    are exact in any order.
+    for each single day first. What a day adds to the days around it is a gain where its
+    arc begins and a loss behind its end; running sums over these few rows hold from one
+    to the next, and only the result is repeated for the days between. Sums are of whole
+    tenths, so they are exact in any order.
     """
-    tenths = F.round(F.col("value").cast("double") * 10).cast("long")
-    single = (
-        _one_per_date(daily, "id", "element")
-        .groupBy("id", "element", day_of_year(F.col("date")).alias("own"))
-        .agg(F.count("*").alias("n"), F.sum(tenths).alias("s"), F.sum(tenths * tenths).alias("q"))
-    )
-    step = F.explode(F.sequence(F.lit(-days), F.lit(days))).alias("step")
-    spread = single.select("id", "element", "own", "n", "s", "q", step)
-    around = spread.groupBy("id", "element", (F.pmod(F.col("own") + F.col("step") - 1, F.lit(366)) + 1).alias("day"))
-    sums = around.agg(F.sum("n").alias("n_values"), F.sum("s").alias("s"), F.sum("q").alias("q"))
-    n, s, q = (F.col(c).cast("double") for c in ("n_values", "s", "q"))
-    spread = F.sqrt(F.greatest((q - s * s / n) / (n - 1), F.lit(0.0))) / 10
-    return sums.select(
-        "id", "element", "day", "n_values", (s / n / 10).alias("mean"), F.when(n > 1, spread).alias("deviation")
+    turns = _turns(_day_sums(_one_per_date(daily, "id", "element")), days)
+    n_values, mean, deviation = _around()
+    next_at = F.lead("at").over(Window.partitionBy("id", "element").orderBy("at"))
+    steps = turns.repartition("id", "element").select(
+        "id", "element", "at", next_at.alias("next_at"),
+        n_values.alias("n_values"), mean.alias("mean"), deviation.alias("deviation"),
+    )
+    steps = steps.filter((F.col("n_values") > 0) & (F.col("next_at") > F.col("at")))
+    day = F.explode(F.sequence(F.col("at"), F.col("next_at") - 1)).alias("day")
+    return steps.select("id", "element", day, "n_values", "mean", "deviation")
+
+
+def with_climate(daily: DataFrame, days: int = CLIMATE_DAYS) -> DataFrame:
+    """(id, element, date, value, n_values, mean, deviation): values with their ``daily_climate``.
+
+    One row per station, element and date, with the largest value; null ids and elements
+    are left out. The values stand among the gains and losses of their series and take
+    the running sums there, so no climate is written out and joined.
+    """
+    own = _one_per_date(daily, "id", "element").filter(F.col("id").isNotNull() & F.col("element").isNotNull())
+    turns = _turns(_day_sums(own), days).select(
+        "id", "element", "at", "n", "s", "q", F.lit(None).cast("date").alias("date"),
+        F.lit(None).cast(own.schema["value"].dataType).alias("value"),
+    )
+    zero = [F.lit(0).cast("long").alias(c) for c in "nsq"]
+    values = own.select("id", "element", day_of_year(F.col("date")).alias("at"), *zero, "date", "value")
+    n_values, mean, deviation = _around()
+    met = turns.unionByName(values).repartition("id", "element").select(
+        "id", "element", "date", "value", n_values.alias("n_values"), mean.alias("mean"), deviation.alias("deviation")
     )
+    return met.filter(F.col("date").isNotNull())
 
 
 def climate_outliers(
@@ -183,13 +241,9 @@ def climate_outliers(
     The climate of a day needs ``min_values`` values and a deviation. Repeated rows of a
     station, element and date count once, with their largest value.
     """
-    climate = daily_climate(daily, days).filter((F.col("n_values") >= min_values) & (F.col("deviation") > 0))
-    own = _one_per_date(daily, "id", "element").withColumn("day", day_of_year(F.col("date")))
-    # a station's days are many keys, so none is hot
-    met = own.join(climate, ["id", "element", "day"])
+    met = with_climate(daily, days).filter((F.col("n_values") >= min_values) & (F.col("deviation") > 0))
     score = (F.col("value").cast("double") - F.col("mean")) / F.col("deviation")
-    rows = met.select("id", "element", "date", "value", "n_values", "mean", "deviation", score.alias("score"))
-    return rows.filter(F.abs("score") >= limit)
+    return met.withColumn("score", score).filter(F.abs("score") >= limit)
 
 
 def value_gaps(daily: DataFrame, gap: float = GAP) -> DataFrame:
