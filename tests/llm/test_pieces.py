@@ -69,3 +69,18 @@ def test_decoding_of_any_ids(spark):
 
 def test_empty(empty):
     assert encode_pieces(empty, MODEL).count() == 0
+
+
+def test_query_returns_all_segmentations(spark, tmp_path):
+    from weatherloom.llm.catalog import op2_sentencepiece
+
+    texts = [(1, "hello world, hello"), (2, ""), (3, None), (4, "é▁日本\n\nx y"), (5, "a")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    model = load(MODEL)
+    got = {r.doc_id: r for r in op2_sentencepiece(spark, str(tmp_path)).collect()}
+    for key, text in texts:
+        want = model.encode_n_best(text or "", 4)
+        assert got[key].n_best == [ids for _, ids in want]
+        assert got[key].n_best_scores == pytest.approx([s for s, _ in want])
+        assert got[key].n_best[0] == got[key].ids
+        assert {model.decode(ids) for ids in got[key].n_best} == {text or ""}

@@ -350,13 +350,32 @@ def _encoded(
         pa.array(best, pa.list_(pa.float64())),
     ]
     if alternatives:
-        lists = [[pieces.changed(c, way) for _, way in w] for c, w in zip(codes, ways, strict=True)]
-        columns.append(pa.array(lists, pa.list_(pa.list_(pa.int32()))))
+        columns.append(_all_ways(ids, np.concatenate([[0], np.cumsum(lengths)]), bounds, ways))
     if decoded:
         columns.append(pieces.decode_all(columns[1]))
     return pa.RecordBatch.from_arrays(columns, names=list(names))
 
 
+def _all_ways(ids: np.ndarray, ends: np.ndarray, bounds: np.ndarray, ways: list) -> pa.ListArray:
+    """The ids of all ways of all texts: rows of the best ids with the changed units put in.
+
+    ``ends`` are the ends of units in ``ids``, ``bounds`` the ends of texts in units.
+    """
+    parts, sizes = [], []
+    for first, last, found in zip(bounds[:-1].tolist(), bounds[1:].tolist(), ways, strict=True):
+        for _, changed in found:
+            at, size = ends[first], 0
+            for place in sorted(changed):
+                parts += [ids[at : ends[first + place]], np.array(changed[place], dtype=np.int32)]
+                size += len(parts[-2]) + len(parts[-1])
+                at = ends[first + place + 1]
+            parts.append(ids[at : ends[last]])
+            sizes.append(size + len(parts[-1]))
+    flat = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
+    each = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(flat, pa.int32()))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ways)]), pa.int32()), each)
+
+
 def decode_pieces(ids: Column, model: str) -> Column:
     """The text of an array of piece ids; null for null. Unknown bytes become U+FFFD."""
 
