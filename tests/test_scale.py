@@ -86,3 +86,13 @@ def test_anomalies_join_no_climate(spark):
     assert "Join" not in plan_of(found)
     got = {r.date.day: r.anomaly for r in found.collect()}
     assert got == {d: 0.0 for d in range(2, 19)} | {1: -0.5, 19: 0.5}
+
+
+def test_chunks_are_cut_from_bytes_that_are_made_once(spark):
+    lines = spark.createDataFrame([("ab" + "123456" + "78",), ("ab123\r",), ("ab",), ("",), (None,), ("abéé1",)], "line string")
+    raw = lines.select("line", C.line_bytes(F.col("line")).alias("raw"))
+    chunks = C.line_chunks(F.col("raw"), 2, 3, 2)
+    got = [r.chunks for r in raw.select(chunks.alias("chunks")).collect()]
+    assert got[:5] == [["123", "456"], ["123"], [], [], []]
+    assert len(got[5]) == 2
+    assert "filter(" not in plan_of(raw.select(chunks.alias("chunks")))

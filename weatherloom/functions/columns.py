@@ -121,14 +121,16 @@ def slot_values(raw: Column, length: Column, layout: SlotLayout) -> Column:
 def line_chunks(raw: Column, start: int, width: int, count: int) -> Column:
     """Up to ``count`` chunks of ``width`` bytes from ``start``; the last one
     may be short and empty ones are left out. A carriage return is no part."""
-    line = F.substring(raw, F.lit(1), line_length(raw))
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.lit(count - 1)),
-        lambda i: F.substring(line, F.lit(start + 1) + i * F.lit(width), F.lit(width)).cast(
-            "string"
-        ),
-    )
-    return F.filter(chunks, lambda chunk: chunk != "")
+    rest = line_length(raw) - F.lit(start)
+
+    def chunk(i: int) -> Column:
+        size = F.least(F.lit(width), rest - F.lit(i * width))
+        return F.substring(raw, F.lit(start + i * width + 1), size).cast("string")
+
+    # written out, since a lambda runs interpreted
+    filled = F.least(F.ceil(rest / F.lit(width)).cast("int"), F.lit(count))
+    chunks = F.slice(F.array(*[chunk(i) for i in range(count)]), 1, filled)
+    return F.when(rest > 0, chunks).otherwise(F.array().cast("array<string>"))
 
 
 def value_at(values: Column, index: Column | int) -> Column:

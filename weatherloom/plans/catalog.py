@@ -528,16 +528,19 @@ def b14(spark, folder):
 )
 def b15(spark, folder):
     """The filled slots of every daily line as text."""
-    raw = C.line_bytes(F.col("line"))
+    raw = F.col("raw")
     chunks = C.line_chunks(raw, DAILY.first_slot, DAILY.slot_width, DAILY.slots)
     return (
         encode.daily_lines(spark, folder)
+        .select(C.line_bytes(F.col("line")).alias("raw"))
         .select(
             C.cut(raw, DAILY.id).alias("id"),
             F.concat_ws("-", C.cut(raw, DAILY.year), C.cut(raw, DAILY.month), F.lit("01")).alias("month"),
             C.cut(raw, DAILY.element).alias("element"),
-            F.posexplode(chunks).alias("slot", "chunk"),
+            chunks.alias("chunks"),
         )
+        # cut once, then exploded without the line; the outer form asks no size before
+        .select("id", "month", "element", F.posexplode_outer("chunks").alias("slot", "chunk"))
         .filter(~F.col("chunk").startswith("-9999"))
         .withColumn("slot", F.col("slot") + 1)
     )
