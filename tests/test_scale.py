@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 import weatherloom as wl
 from weatherloom.functions import columns as C
+from weatherloom.operators import corroboration
 from weatherloom.plans import encode
+from weatherloom.session import materialise
 
 DAILY = "id string, date date, element string, value float"
 
@@ -96,3 +98,24 @@ def test_chunks_are_cut_from_bytes_that_are_made_once(spark):
     assert got[:5] == [["123", "456"], ["123"], [], [], []]
     assert len(got[5]) == 2
     assert "filter(" not in plan_of(raw.select(chunks.alias("chunks")))
+
+
+@pytest.mark.parametrize("days", [0, 1, 400])
+def test_a_year_asks_a_neighbour_once(spark, days):
+    dates = [datetime.date(2000, 12, 30) + datetime.timedelta(k) for k in range(4)] + [datetime.date(2002, 1, 1)]
+    rows = [("a", "TMAX", d, float(k), 20.0 + k) for k, d in enumerate(dates)]
+    rows += [(s, "TMAX", d, 0.0, 2.0 * k) for k, d in enumerate(dates[1:]) for s in "bc"] + [("b", "TMIN", dates[0], 0.0, 99.0)]
+    anomalies = spark.createDataFrame(rows, "id string, element string, date date, value float, anomaly double")
+    years = materialise(corroboration._years(anomalies, 10.0, days), "years")
+    own = {(r.id, r.element, r.year): r.far_dates for r in years.collect() if r.far_dates}
+    assert own == {("a", "TMAX", y): [d for d in dates if d.year == y] for y in (2000, 2001, 2002)} | {("b", "TMIN", 2000): dates[:1]}
+    near = spark.createDataFrame([("a", ["b", "c", "none"]), ("b", ["a"])], "id string, near array<string>")
+    found = corroboration._alone(years, near, 10.0, 2, days)
+    assert "sequence(" not in plan_of(found) and "date_add" not in plan_of(found)  # no value is repeated for days
+    want = {}
+    for k, d in enumerate(dates):
+        met = [2.0 * j for j, on in enumerate(dates[1:]) if abs((on - d).days) <= days]
+        if met:
+            want[d] = (float(k), 20.0 + k, 2, max(met))
+    assert {r.date: (r.value, r.anomaly, r.n_neighbours, r.best_anomaly) for r in found.collect()} == want
+    assert dict(found.dtypes)["n_neighbours"] == "int"

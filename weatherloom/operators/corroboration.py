@@ -22,6 +22,8 @@ NEAR_ROW_BYTES = 512
 WARM_NIGHT = 7.0
 NAUGHTS = (0.0, -17.8)  # zero degrees Celsius and zero Fahrenheit
 SAME_VALUES = 10
+# a value's columns and their lists in the row of a year
+LISTED = {"date": "dates", "value": "values", "anomaly": "anomalies"}
 
 
 def _present(daily: DataFrame) -> DataFrame:
@@ -64,12 +66,13 @@ def uncorroborated(
     stations that have one; with fewer than ``witnesses`` a value is not judged.
     ``stations`` has id, lat and lon, one row for each id.
 
-    The anomalies are stored once; all but the result is removed at the end. Suspicious
-    values meet the list of their neighbours by a join of counted size, which spreads
-    the rows of one station where the lists are too many to broadcast, and then the
-    anomalies by station, element and date, a key of one row.
+    The anomalies are stored once, a year of a station and element in one row; all but
+    the result is removed at the end. Years with suspicious values meet the list of their
+    neighbours by a join of counted size, which spreads the rows of one station where the
+    lists are too many to broadcast, and then the same year of each neighbour. So a year
+    asks a neighbour once, and only what lies on the days around goes on.
     """
-    rows, path = stored(daily_anomalies(daily, climate_days, min_values), "anomalies")
+    rows, path = stored(_years(daily_anomalies(daily, climate_days, min_values), limit, days), "anomalies")
     try:
         near = nearest_stations(stations, count, within_km)
         near = near.groupBy("id").agg(F.collect_list("neighbour").alias("near"))  # at most ``count``
@@ -78,23 +81,40 @@ def uncorroborated(
         remove(rows.sparkSession, path)
 
 
-def _alone(rows: DataFrame, near: DataFrame, limit: float, witnesses: int, days: int) -> DataFrame:
-    suspects = rows.filter(F.abs("anomaly") >= limit)
-    asked = sized_join(suspects, near, "id", "inner", NEAR_ROW_BYTES)
-    value = ["id", "element", "date", "value", "anomaly"]
-    asked = asked.select(*value, F.explode("near").alias("neighbour"))
-    step = F.explode(F.sequence(F.lit(-days), F.lit(days))).alias("step")
-    asked = asked.select(*value, "neighbour", step).withColumn("on", F.date_add("date", F.col("step")))
-    witness = rows.select(
-        F.col("id").alias("neighbour"), "element", F.col("date").alias("on"), F.col("anomaly").alias("other")
-    )
-    met = asked.join(witness, ["neighbour", "element", "on"])
-    judged = met.groupBy("id", "element", "date").agg(
-        F.first("value").alias("value"),
-        F.first("anomaly").alias("anomaly"),
-        F.size(F.collect_set("neighbour")).alias("n_neighbours"),
-        F.max(F.col("other") * F.signum("anomaly")).alias("best_anomaly"),
-    )
+def _years(rows: DataFrame, limit: float, days: int) -> DataFrame:
+    """(id, element, year, dates, anomalies, far_dates, far_values, far_anomalies): a row for a year.
+
+    ``dates`` go on for ``days`` days before and after the year, the suspicious
+    ``far_dates`` do not. A year has one value for each date, and ``daily_anomalies`` has
+    brought its series together already.
+    """
+    reached = F.sequence(F.year(F.date_sub("date", days)), F.year(F.date_add("date", days)))
+    rows = rows.select("*", F.explode(reached).alias("year"))
+    far = (F.col("year") == F.year("date")) & (F.abs("anomaly") >= limit)
+    listed = [F.collect_list(c).alias(name) for c, name in LISTED.items() if c != "value"]
+    listed += [F.collect_list(F.when(far, F.col(c))).alias(f"far_{name}") for c, name in LISTED.items()]
+    return rows.groupBy("id", "element", "year").agg(*listed)
+
+
+def _alone(years: DataFrame, near: DataFrame, limit: float, witnesses: int, days: int) -> DataFrame:
+    own = ["id", "element", "year", "far_dates", "far_values", "far_anomalies"]
+    asked = sized_join(years.filter(F.size("far_dates") > 0).select(own), near, "id", "inner", NEAR_ROW_BYTES)
+    asked = asked.select(*own, F.explode("near").alias("neighbour"))
+    witness = years.select(F.col("id").alias("neighbour"), "element", "year", "dates", "anomalies")
+    met = asked.join(witness.hint("merge"), ["neighbour", "element", "year"])
+    met = met.select("*", F.posexplode("far_dates").alias("far_at", "date"))
+    met = met.select("*", F.posexplode("dates").alias("at", "on")).filter(F.abs(F.datediff("on", "date")) <= days)
+    met = met.select(
+        "neighbour", "id", "element", "date",
+        F.get("far_values", F.col("far_at")).alias("value"),
+        F.get("far_anomalies", F.col("far_at")).alias("anomaly"),
+        F.get("anomalies", F.col("at")).alias("other"),
+    )
+    first = [F.first(c).alias(c) for c in ("value", "anomaly")]
+    best = F.max(F.col("other") * F.signum("anomaly")).alias("best_anomaly")
+    each = met.groupBy("id", "element", "date", "neighbour").agg(*first, best)
+    n_neighbours = F.count("*").cast("int").alias("n_neighbours")
+    judged = each.groupBy("id", "element", "date").agg(*first, n_neighbours, F.max("best_anomaly").alias("best_anomaly"))
     beyond = F.round(F.abs("anomaly") - F.col("best_anomaly"), 4) >= limit
     return judged.filter(beyond & (F.col("n_neighbours") >= witnesses))
 
