@@ -1,3 +1,5 @@
+import random
+
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -84,3 +86,33 @@ def test_query_returns_all_segmentations(spark, tmp_path):
         assert got[key].n_best_scores == pytest.approx([s for s, _ in want])
         assert got[key].n_best[0] == got[key].ids
         assert {model.decode(ids) for ids in got[key].n_best} == {text or ""}
+
+
+@pytest.mark.parametrize("scores", ["rank", "model"])
+def test_units_segmented_together(scores):
+    from weatherloom.llm.pieces import SHORT, Units
+
+    model = load(MODEL, scores)
+    rng = random.Random(5)
+    letters = "aaaeehilnorstth éñ.,x"
+    units = [" " + "".join(rng.choices(letters.replace(" ", ""), k=rng.randrange(1, 30))) for _ in range(3000)]
+    units += ["a", "  ", "x" * SHORT, "the" * 100, "\n", "日本", " a▁b", "あ\U0001f600"]
+    units = list(dict.fromkeys(units))
+    plain = model.plain(units)
+    assert plain.sum() > 2000 and plain[units.index("x" * SHORT)]
+    assert not plain[units.index("the" * 100)] and not plain[units.index("\n")]
+    some = [u for u, p in zip(units, plain, strict=True) if p]
+    ids, sizes, total, loss = model.segment_all(some)
+    ends = sizes.cumsum().tolist()
+    got = [(ids[b:e].tolist(), t, x) for b, e, t, x in zip([0, *ends], ends, total.tolist(), loss.tolist())]
+    assert got == [model.segment(u) for u in some]
+    # the same numbers whether a unit was learnt with others or asked for alone
+    together, alone = Units(model), Units(model)
+    together.learn(units[::2])
+    together.learn(units)
+    for u in units:
+        a, b = together[u], alone[u]
+        assert together.name(a) == u and together.ids_of(a) == alone.ids_of(b)
+        assert (together.score[a], together.loss[a]) == (alone.score[b], alone.loss[b])
+    assert len(together) == len(together.names) == len(units)
+    together.learn([])

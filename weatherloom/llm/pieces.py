@@ -8,7 +8,8 @@ segmentations off its heap in order of their score.
 No piece goes on after a space inside it, so the lattice of a text is a row of
 small lattices (units), which repeat and are kept. The N best of a text differ
 from the best one in few units: only the N - 1 places with the smallest loss can
-take part, and only their units are searched for alternatives.
+take part, and only their units are searched for alternatives. New units of many
+texts are segmented together, place by place in numpy.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ import heapq
 import math
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +35,17 @@ from weatherloom.llm.tokens import slices
 SPACE = "▁"  # fixed value: how models write a space
 KEPT_UNITS = 400_000  # about 250 bytes each
 KEPT_LISTS = 20_000
+TOGETHER = 20_000  # units segmented at once
+SHORT = 64  # letters; longer units are segmented alone, they are few
 SCALE = 1_000_000  # scores are whole numbers, so sums and ties are exact
 NO_OTHER = 1 << 62  # the loss where there is no second segmentation
 _LOW = -(1 << 62)
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Units(dict):
-    """Units by name, numbered as they come; a new one is segmented when it is asked for."""
+    """Units by name, numbered as they come; a new one is segmented when it is asked for,
+    or before, together with others."""
 
     def __init__(self, model: PieceModel):
         super().__init__()
@@ -58,6 +64,21 @@ class Units(dict):
         self.names.append(unit)
         return code
 
+    def learn(self, units: Iterable[str]) -> None:
+        """Segment the new ones of some units; those that need bytes or are long may stay new."""
+        new = [unit for unit in dict.fromkeys(units) if unit not in self]
+        for begin in range(0, len(new), TOGETHER):
+            part = new[begin : begin + TOGETHER]
+            part = list(compress(part, self.model.plain(part)))
+            if part:
+                ids, size, score, loss = self.model.segment_all(part)
+                self.ends.frombytes((len(self.ids) + np.cumsum(size)).tobytes())
+                self.ids.frombytes(ids.tobytes())
+                self.score.frombytes(score.tobytes())
+                self.loss.frombytes(loss.tobytes())
+                self.update(zip(part, range(len(self.names), len(self.names) + len(part)), strict=True))
+                self.names += part
+
     def name(self, code: int) -> str:
         return self.names[code]
 
@@ -111,8 +132,122 @@ class PieceModel:
         self.piece_size = np.array([len(p) for p in self.pieces], dtype=np.int64)
         self.piece_start = np.cumsum(self.piece_size) - self.piece_size
         self.piece_bytes = np.frombuffer(b"".join(self.pieces) + b"\0", dtype=np.uint8)
+        self._number_tree()
         self._clear()
 
+    def _number_tree(self) -> None:
+        """The tree as arrays: a hash table from node and letter to the next node."""
+        code: dict[str, int] = {}
+        keys, piece, value = [], [-1], [0]
+        waiting = [(0, self.tree)]
+        while waiting:
+            parent, letters = waiting.pop()
+            for letter, (onward, at, score) in letters.items():
+                keys.append((parent, code.setdefault(letter, len(code) + 1)))
+                if onward:
+                    waiting.append((len(piece), onward))
+                piece.append(at)
+                value.append(score)
+        self.n_codes = len(code) + 1
+        self.code = np.zeros(0x110000, dtype=np.int32)  # 0: in no piece
+        self.code[[ord(letter) for letter in code]] = list(code.values())
+        self.node_piece, self.node_value = np.array(piece, dtype=np.int32), np.array(value, dtype=np.int64)
+        self.single = np.zeros(self.n_codes, dtype=bool)
+        self.single[[k for (parent, k), at in zip(keys, piece[1:], strict=True) if parent == 0 and at >= 0]] = True
+        key = np.array([parent * self.n_codes + k for parent, k in keys], dtype=np.int64)
+        # a quarter full at most; the last slots are for those that find theirs taken
+        bits = max(4, (4 * len(key)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.slot_key = np.full((1 << bits) + len(key) + 1, -1, dtype=np.int64)
+        self.slot_node = np.full(len(self.slot_key), -1, dtype=np.int32)
+        slot, left = self._slot(key), np.arange(len(key))
+        while len(left):
+            free = left[self.slot_key[slot[left]] < 0]
+            self.slot_key[slot[free]] = key[free]
+            self.slot_node[slot[free]] = free + 1
+            left = left[self.slot_key[slot[left]] != key[left]]
+            slot[left] += 1
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * _SPREAD) >> self.shift).astype(np.int64)
+
+    def _onward(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The nodes that letters lead to, -1 for none."""
+        key = node * np.int64(self.n_codes) + code
+        slot = self._slot(key)
+        found = self.slot_key[slot]
+        out = np.where(found == key, self.slot_node[slot], -1)
+        left = np.flatnonzero((found != key) & (found >= 0))
+        while len(left):
+            slot[left] += 1
+            found = self.slot_key[slot[left]]
+            hit = found == key[left]
+            out[left[hit]] = self.slot_node[slot[left[hit]]]
+            left = left[~hit & (found >= 0)]
+        return out
+
+    def plain(self, units: list[str]) -> np.ndarray:
+        """Which of some units have few letters, all with pieces of their own."""
+        size = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
+        known = self.single[self.code[_letters(units)]]
+        return (size <= SHORT) & np.logical_and.reduceat(known, np.cumsum(size) - size)
+
+    def segment_all(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``segment`` of many ``plain`` units: ids of all, how many each has, scores and losses.
+
+        The same lattices and passes, over the first letters of all units, then the second
+        ones, and so on. Edges that begin (or end) at one place of a unit differ in their
+        other end, so a pass never writes one place twice at a time.
+        """
+        n = len(units)
+        size = np.fromiter(map(len, units), dtype=np.int64, count=n)
+        code = self.code[_letters(units)]
+        unit = np.repeat(np.arange(n), size)
+        first = np.cumsum(size) - size
+        behind = (first + size)[unit]
+        walker, node = np.arange(len(code)), np.zeros(len(code), dtype=np.int32)
+        begins, nodes = [], []
+        while len(walker):
+            node = self._onward(node, code[walker + len(begins)])
+            on = node >= 0
+            walker, node = walker[on], node[on]
+            whole = self.node_piece[node] >= 0
+            begins.append(walker[whole])
+            nodes.append(node[whole])
+            on = walker + len(begins) < behind[walker]
+            walker, node = walker[on], node[on]
+        begin, node = np.concatenate(begins), np.concatenate(nodes)
+        length = np.repeat(np.arange(1, len(begins) + 1), [len(b) for b in begins])
+        order = np.argsort(begin, kind="stable")  # by begin, then end, as ``lattice`` has them
+        begin, node, length = begin[order], node[order], length[order]
+        value, of = self.node_value[node], unit[begin]
+        # a unit has a place more than letters
+        i, place = begin + of, begin - first[of]
+        j = i + length
+        start = first + np.arange(n)
+        end = start + size
+        best = np.full(len(code) + n, _LOW)
+        rest = best.copy()
+        best[start], rest[end] = 0, 0
+        for at in _places(place):
+            best[j[at]] = np.maximum(best[j[at]], best[i[at]] + value[at])
+        for at in reversed(_places(place + length)):
+            rest[i[at]] = np.maximum(rest[i[at]], value[at] + rest[j[at]])
+        lost = best[end][of] - best[i] - value - rest[j]
+        free = np.flatnonzero(lost == 0)[::-1]
+        way = np.zeros(len(best), dtype=np.int64)
+        way[i[free]] = free  # the first edge without loss is written last
+        taken, at_end = np.zeros(len(i), dtype=bool), np.zeros(len(best), dtype=bool)
+        at_end[end] = True
+        here = start
+        while len(here):
+            taken[way[here]] = True
+            here = j[way[here]]
+            here = here[~at_end[here]]
+        edges = np.searchsorted(begin, first)
+        loss = np.minimum.reduceat(np.where(taken, NO_OTHER, lost), edges)
+        return self.node_piece[node[taken]], np.add.reduceat(taken.astype(np.int64), edges), best[end], loss
+
     def _clear(self) -> None:
         self.known = Units(self)
         self.others: dict[int, list[tuple[int, tuple[int, ...]]]] = {}
@@ -198,10 +333,11 @@ class PieceModel:
                 heapq.heappush(heap, (-(best[i] + value + behind), turn, i, behind + value, (ids, path)))
         return found
 
-    def codes(self, text: str) -> np.ndarray:
-        """The numbers of the text's units among the known ones."""
-        units = self.units.findall(" " + text) if text else []
-        return np.fromiter(map(self.known.__getitem__, units), dtype=np.int64, count=len(units))
+    def codes(self, texts: list[str]) -> list[np.ndarray]:
+        """The numbers of the texts' units among the known ones."""
+        units = [self.units.findall(" " + text) if text else [] for text in texts]
+        self.known.learn(chain.from_iterable(units))
+        return [np.fromiter(map(self.known.__getitem__, u), dtype=np.int64, count=len(u)) for u in units]
 
     def alternatives(self, codes: np.ndarray, n: int) -> list[tuple[int, dict[int, tuple[int, ...]]]]:
         """The ``n`` best of a text: loss against the best, and the ids of changed places."""
@@ -231,10 +367,10 @@ class PieceModel:
         return np.frombuffer(self.known.ids, dtype=np.int32)[first + np.arange(len(first))], size
 
     def encode(self, text: str) -> list[int]:
-        return self.gathered(self.codes(text))[0].tolist()
+        return self.gathered(self.codes([text])[0])[0].tolist()
 
     def encode_n_best(self, text: str, n: int) -> list[tuple[float, list[int]]]:
-        codes = self.codes(text)
+        codes = self.codes([text])[0]
         top = sum(self.known.score[c] for c in codes)
         ways = self.alternatives(codes, n)
         return [((top - lost) / SCALE, self.changed(codes, way)) for lost, way in ways]
@@ -280,6 +416,16 @@ class PieceModel:
             self._clear()
 
 
+def _letters(units: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+def _places(place: np.ndarray) -> list[np.ndarray]:
+    """The edges of each place, by place."""
+    order = np.argsort(place.astype(np.uint8), kind="stable")
+    return np.split(order, np.cumsum(np.bincount(place))[:-1])
+
+
 def _smallest(values: np.ndarray, n: int) -> np.ndarray:
     """The places of the ``n`` smallest values, ties in order."""
     if n >= len(values):
@@ -333,7 +479,7 @@ def _encoded(
     pieces: PieceModel, part: pa.RecordBatch, n: int, alternatives: bool, decoded: bool, names
 ) -> pa.RecordBatch:
     texts = part.column("text").fill_null("").to_pylist()
-    codes = [pieces.codes(t) for t in texts]
+    codes = pieces.codes(texts)
     ways = [pieces.alternatives(c, n) for c in codes]
     flat = np.concatenate(codes) if codes else np.zeros(0, dtype=np.int64)
     ids, lengths = pieces.gathered(flat)
